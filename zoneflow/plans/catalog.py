@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
-from ..operators import flows, history, trips
+from ..operators import flows, graph, history, trips
 from ..sources import files
 from ..sources import testdata as td
 
@@ -197,3 +197,91 @@ def q_standardize(spark, d):
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The smoke query of ``__spark_entry__.entry``."""
     return q_tumbling(spark, d)
+
+
+# ---- graph ---------------------------------------------------------------------------
+
+def r6(df: DataFrame, *cols: str) -> DataFrame:
+    """Round double columns to 6 places (oracle comparison only)."""
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def od_edges(spark, d) -> DataFrame:
+    return graph.od_graph(trips.typed_trips(td.trips(spark, d)))
+
+
+def nodes(spark, d) -> DataFrame:
+    return td.zone_dim(spark, d).select(F.col("zone_id").alias("node"))
+
+
+def event_supports(spark, d) -> DataFrame:
+    """Chebyshev supports of the forward/backward transition of the OD graph."""
+    return graph.chebyshev_supports(graph.supports(od_edges(spark, d), nodes(spark, d), "doubletransition"),
+                                    nodes(spark, d), 3)
+
+
+@query("adjacency_edges")
+def q_adjacency_edges(spark, d):
+    """OD graph written as a wide matrix (one column per destination), read back as edges."""
+    zone_ids = [r[0] for r in td.zone_dim(spark, d).select("zone_id").orderBy("zone_id").collect()]
+    wide = (od_edges(spark, d).groupBy("src").pivot("dst", zone_ids).agg(F.sum("w")))
+    wide = nodes(spark, d).join(wide, F.col("node") == F.col("src"), "left").drop("src")
+    return files.wide_to_edges(wide, "node", [str(z) for z in zone_ids], zone_ids)
+
+
+@query("degrees")
+def q_degrees(spark, d):
+    return r6(graph.degrees(od_edges(spark, d), nodes(spark, d)), "degree")
+
+
+@query("gaussian_kernel")
+def q_gaussian_kernel(spark, d):
+    return r6(graph.gaussian_kernel(od_edges(spark, d), nodes(spark, d)), "w", "sigma")
+
+
+@query("transition")
+def q_transition(spark, d):
+    return r6(graph.transition(od_edges(spark, d)), "w")
+
+
+@query("double_transition")
+def q_double_transition(spark, d):
+    return r6(graph.supports(od_edges(spark, d), nodes(spark, d), "doubletransition"), "w")
+
+
+@query("sym_normalize")
+def q_sym_normalize(spark, d):
+    return r6(graph.sym_normalize(od_edges(spark, d)), "w")
+
+
+@query("normalized_laplacian")
+def q_normalized_laplacian(spark, d):
+    return r6(graph.normalized_laplacian(od_edges(spark, d), nodes(spark, d)), "w")
+
+
+@query("symmetrize_max")
+def q_symmetrize_max(spark, d):
+    return graph.symmetrize_max(od_edges(spark, d))
+
+
+@query("scaled_laplacian")
+def q_scaled_laplacian(spark, d):
+    return r6(graph.scaled_laplacian(od_edges(spark, d), nodes(spark, d), 2.0), "w")
+
+
+@query("identity_edges")
+def q_identity_edges(spark, d):
+    return graph.supports(od_edges(spark, d), nodes(spark, d), "identity")
+
+
+@query("chebyshev_supports")
+def q_chebyshev(spark, d):
+    return r6(event_supports(spark, d), "w")
+
+
+@query("diffusion_features")
+def q_diffusion(spark, d):
+    """Every Chebyshev support applied to the daily flow of every (flow type, day)."""
+    g = day_grid(spark, d)
+    return r6(graph.diffusion(g, event_supports(spark, d), ["flow_type", "interval_start"], "zone_id", "flow"),
+              "value")

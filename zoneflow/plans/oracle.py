@@ -121,3 +121,78 @@ q("sliding_history", """SELECT flow_type, zone_id, interval_start, flow,
   QUALIFY count(*) OVER hw = 12""")
 q("standardize", """SELECT flow_type, zone_id, interval_start, round(mu, 6) AS mu, round(sd, 6) AS sd,
   round((last - mu) / sd, 6) AS z_last FROM hist WHERE n_hist = 12""")
+
+# ---- graph ---------------------------------------------------------------------------
+GRAPH = """,
+nodes AS (SELECT zone_id AS node FROM zones),
+g AS (SELECT pu_zone AS src, do_zone AS dst, CAST(count(*) AS DOUBLE) AS w FROM trips
+      WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL GROUP BY ALL),
+deg AS (SELECT src, sum(w) AS d FROM g GROUP BY src),
+degt AS (SELECT dst AS src, sum(w) AS d FROM g GROUP BY dst),
+tr0 AS (SELECT g.src, g.dst, g.w / deg.d AS w FROM g JOIN deg USING (src)),
+tr1 AS (SELECT g.dst AS src, g.src AS dst, g.w / degt.d AS w FROM g JOIN degt ON g.dst = degt.src),
+sup AS (SELECT CAST(0 AS BIGINT) AS support, * FROM tr0 UNION ALL SELECT CAST(1 AS BIGINT), * FROM tr1),
+p AS (SELECT support, dst AS src, src AS dst, w FROM sup),
+eye AS (SELECT s.support, n.node AS src, n.node AS dst, 1.0::DOUBLE AS w
+        FROM (SELECT DISTINCT support FROM sup) s CROSS JOIN nodes n),
+p2 AS (SELECT a.support, a.src, b.dst, sum(a.w * b.w) AS w FROM p a JOIN p b
+       ON a.support = b.support AND a.dst = b.src GROUP BY ALL),
+t2 AS (SELECT support, src, dst, sum(w) AS w FROM
+         (SELECT support, src, dst, 2 * w AS w FROM p2 UNION ALL SELECT support, src, dst, -w FROM eye)
+       GROUP BY ALL HAVING sum(w) <> 0),
+cheb AS (SELECT support * 3 AS k, src, dst, w FROM eye
+         UNION ALL SELECT support * 3 + 1, src, dst, w FROM p
+         UNION ALL SELECT support * 3 + 2, src, dst, w FROM t2),
+isq AS (SELECT src AS node, CASE WHEN d > 0 THEN 1.0 / sqrt(d) ELSE 0.0 END AS inv FROM deg),
+sym AS (SELECT g.dst AS src, g.src AS dst, g.w * a.inv * b.inv AS w
+        FROM g JOIN isq a ON g.src = a.node JOIN isq b ON g.dst = b.node),
+nlap AS (SELECT src, dst, sum(w) AS w FROM
+           (SELECT node AS src, node AS dst, 1.0::DOUBLE AS w FROM nodes UNION ALL SELECT src, dst, -w FROM sym WHERE w <> 0)
+         GROUP BY ALL HAVING sum(w) <> 0),
+smax AS (SELECT src, dst, greatest(max(w), 0.0) AS w FROM
+           (SELECT src, dst, w FROM g UNION ALL SELECT dst, src, w FROM g) GROUP BY ALL HAVING greatest(max(w), 0.0) <> 0),
+sdeg AS (SELECT src, sum(w) AS d FROM smax GROUP BY src),
+sisq AS (SELECT src AS node, CASE WHEN d > 0 THEN 1.0 / sqrt(d) ELSE 0.0 END AS inv FROM sdeg),
+ssym AS (SELECT s.dst AS src, s.src AS dst, s.w * a.inv * b.inv AS w
+         FROM smax s JOIN sisq a ON s.src = a.node JOIN sisq b ON s.dst = b.node),
+snlap AS (SELECT src, dst, sum(w) AS w FROM
+            (SELECT node AS src, node AS dst, 1.0::DOUBLE AS w FROM nodes UNION ALL SELECT src, dst, -w FROM ssym WHERE w <> 0)
+          GROUP BY ALL HAVING sum(w) <> 0),
+scal AS (SELECT src, dst, sum(w) AS w FROM
+           (SELECT src, dst, w * (2.0 / 2.0) AS w FROM snlap UNION ALL SELECT node, node, -1.0 FROM nodes)
+         GROUP BY ALL HAVING sum(w) <> 0),
+kst AS (SELECT count(*) FILTER (WHERE NOT isfinite(w)) AS n_inf,
+               sum(w) FILTER (WHERE isfinite(w)) AS s1 FROM g),
+kmean AS (SELECT (SELECT count(*) FROM nodes) ^ 2 - n_inf AS m, s1 / ((SELECT count(*) FROM nodes) ^ 2 - n_inf) AS mean
+          FROM kst),
+ksig AS (SELECT sqrt((coalesce(sum((g.w - kmean.mean) ^ 2), 0) + (kmean.m - count(*)) * kmean.mean * kmean.mean) / kmean.m)
+                AS sigma
+         FROM g, kmean WHERE isfinite(g.w) GROUP BY kmean.m, kmean.mean)
+"""
+
+
+def qg(name: str, body: str) -> None:
+    ORACLE[name] = BASE + GRAPH + body
+
+
+qg("adjacency_edges", """SELECT n1.node AS src, n2.node AS dst, coalesce(g.w, 0.0) AS w
+  FROM nodes n1 CROSS JOIN nodes n2 LEFT JOIN g ON g.src = n1.node AND g.dst = n2.node""")
+qg("degrees", "SELECT node, round(coalesce(d, 0.0), 6) AS degree FROM nodes LEFT JOIN deg ON node = src")
+qg("gaussian_kernel", """SELECT src, dst, w AS w_in,
+  round(CASE WHEN isfinite(w) THEN exp(-((w / sigma) ^ 2)) ELSE 0.0 END, 6) AS w, round(sigma, 6) AS sigma
+  FROM g, ksig""")
+qg("transition", "SELECT src, dst, round(w, 6) AS w FROM tr0 WHERE w <> 0")
+qg("double_transition", "SELECT support, src, dst, round(w, 6) AS w FROM sup WHERE w <> 0")
+qg("sym_normalize", "SELECT src, dst, round(w, 6) AS w FROM sym WHERE w <> 0")
+qg("normalized_laplacian", "SELECT src, dst, round(w, 6) AS w FROM nlap")
+qg("symmetrize_max", "SELECT src, dst, w FROM smax")
+qg("scaled_laplacian", "SELECT src, dst, round(w, 6) AS w FROM scal")
+qg("identity_edges", "SELECT CAST(0 AS BIGINT) AS support, node AS src, node AS dst, 1.0::DOUBLE AS w FROM nodes")
+qg("chebyshev_supports", "SELECT CAST(k AS BIGINT) AS k, src, dst, round(w, 6) AS w FROM cheb")
+qg("diffusion_features", """SELECT flow_type, interval_start, k, zone_id, round(sum(v), 6) AS value FROM (
+    SELECT g.flow_type, g.interval_start, CAST(c.k AS BIGINT) AS k, c.src AS zone_id, c.w * g.flow AS v
+    FROM grid g JOIN cheb c ON c.dst = g.zone_id
+    UNION ALL
+    SELECT g.flow_type, g.interval_start, ks.k, g.zone_id, 0.0 AS v
+    FROM grid g CROSS JOIN (SELECT DISTINCT CAST(k AS BIGINT) AS k FROM cheb) ks)
+  GROUP BY ALL""")
