@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
-from ..operators import flows, graph, history, trips
+from ..operators import anomaly, flows, forecast, graph, history, trips
+from ..session import checkpoint_table
 from ..sources import files
 from ..sources import testdata as td
 
@@ -194,9 +195,6 @@ def q_standardize(spark, d):
     return history.standardize(day_grid(spark, d), HISTORY_STEPS)
 
 
-def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """The smoke query of ``__spark_entry__.entry``."""
-    return q_tumbling(spark, d)
 
 
 # ---- graph ---------------------------------------------------------------------------
@@ -207,7 +205,9 @@ def r6(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def od_edges(spark, d) -> DataFrame:
-    return graph.od_graph(trips.typed_trips(td.trips(spark, d)))
+    """OD graph of all trips, written once to the shared checkpoint folder: it is small
+    (zones^2 rows) and read by many joins and bound checks of the same query."""
+    return checkpoint_table(graph.od_graph(trips.typed_trips(td.trips(spark, d))), "od_graph")
 
 
 def nodes(spark, d) -> DataFrame:
@@ -216,8 +216,8 @@ def nodes(spark, d) -> DataFrame:
 
 def event_supports(spark, d) -> DataFrame:
     """Chebyshev supports of the forward/backward transition of the OD graph."""
-    return graph.chebyshev_supports(graph.supports(od_edges(spark, d), nodes(spark, d), "doubletransition"),
-                                    nodes(spark, d), 3)
+    n = nodes(spark, d)
+    return graph.chebyshev_supports(graph.supports(od_edges(spark, d), n, "doubletransition"), n, 3)
 
 
 @query("adjacency_edges")
@@ -285,3 +285,68 @@ def q_diffusion(spark, d):
     g = day_grid(spark, d)
     return r6(graph.diffusion(g, event_supports(spark, d), ["flow_type", "interval_start"], "zone_id", "flow"),
               "value")
+
+
+# ---- forecast and anomalies --------------------------------------------------------------
+
+FIT_CUT = "2024-01-20"
+
+
+def p_edges(spark, d) -> DataFrame:
+    return graph.transition(od_edges(spark, d))
+
+
+def predictions(spark, d) -> DataFrame:
+    return forecast.next_step(day_grid(spark, d), p_edges(spark, d))
+
+
+def residual_table(spark, d) -> DataFrame:
+    return anomaly.residuals(predictions(spark, d))
+
+
+@query("forecast_next")
+def q_forecast_next(spark, d):
+    return predictions(spark, d)
+
+
+@query("forecast_horizon")
+def q_forecast_horizon(spark, d):
+    return forecast.diffusion_forecast(day_grid(spark, d), p_edges(spark, d), DAY, horizon=3)
+
+
+@query("backtest")
+def q_backtest(spark, d):
+    return forecast.backtest(predictions(spark, d))
+
+
+@query("residuals")
+def q_residuals(spark, d):
+    return residual_table(spark, d)
+
+
+@query("anomalies")
+def q_anomalies(spark, d):
+    return anomaly.anomalies(residual_table(spark, d), td.zone_dim(spark, d))
+
+
+@query("anomaly_snapshot")
+def q_anomaly_snapshot(spark, d):
+    return anomaly.snapshot(anomaly.anomalies(residual_table(spark, d), td.zone_dim(spark, d)))
+
+
+@query("forecast_fitted")
+def q_forecast_fitted(spark, d):
+    return forecast.fitted_forecast(day_grid(spark, d), p_edges(spark, d), FIT_CUT)
+
+
+@query("score_windows")
+def q_score_windows(spark, d):
+    zone_ids = [r[0] for r in td.zone_dim(spark, d).select("zone_id").orderBy("zone_id").collect()]
+    p = forecast.dense_transition(p_edges(spark, d), zone_ids)
+    return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(p, zone_ids))
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """The smoke query of ``__spark_entry__.entry``: actual, forecast and residual of every
+    (flow type, zone, day) with 12 days of history."""
+    return residual_table(spark, d)

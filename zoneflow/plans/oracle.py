@@ -196,3 +196,48 @@ qg("diffusion_features", """SELECT flow_type, interval_start, k, zone_id, round(
     SELECT g.flow_type, g.interval_start, ks.k, g.zone_id, 0.0 AS v
     FROM grid g CROSS JOIN (SELECT DISTINCT CAST(k AS BIGINT) AS k FROM cheb) ks)
   GROUP BY ALL""")
+
+# ---- forecast and anomalies ---------------------------------------------------------
+FORECAST = """,
+fz AS (SELECT flow_type, interval_start, zone_id, flow AS actual, mu, sd, (last - mu) / sd AS z
+       FROM hist WHERE n_hist = 12),
+f1 AS (SELECT flow_type, interval_start, zone_id, sum(v) AS z FROM (
+         SELECT flow_type, interval_start, zone_id, 0.5 * z AS v FROM fz
+         UNION ALL
+         SELECT f.flow_type, f.interval_start, p.src AS zone_id, p.w * f.z * 0.5 AS v
+         FROM fz f JOIN tr0 p ON p.dst = f.zone_id) GROUP BY ALL),
+f2 AS (SELECT flow_type, interval_start, zone_id, sum(v) AS z FROM (
+         SELECT flow_type, interval_start, zone_id, 0.5 * z AS v FROM f1
+         UNION ALL
+         SELECT f.flow_type, f.interval_start, p.src AS zone_id, p.w * f.z * 0.5 AS v
+         FROM f1 f JOIN tr0 p ON p.dst = f.zone_id) GROUP BY ALL),
+f3 AS (SELECT flow_type, interval_start, zone_id, sum(v) AS z FROM (
+         SELECT flow_type, interval_start, zone_id, 0.5 * z AS v FROM f2
+         UNION ALL
+         SELECT f.flow_type, f.interval_start, p.src AS zone_id, p.w * f.z * 0.5 AS v
+         FROM f2 f JOIN tr0 p ON p.dst = f.zone_id) GROUP BY ALL),
+pred AS (SELECT fz.flow_type, fz.zone_id, fz.interval_start, fz.actual,
+                CAST(trunc(round(f1.z * fz.sd + fz.mu, 9)) AS BIGINT) AS forecast
+         FROM fz JOIN f1 USING (flow_type, interval_start, zone_id)),
+res AS (SELECT *, abs(actual - forecast) AS residual FROM pred),
+anom AS (SELECT r.interval_start, r.flow_type, r.zone_id, z.graph_id, z.zone_name, r.actual, r.forecast, r.residual
+         FROM res r JOIN zones z ON r.zone_id = z.zone_id WHERE r.residual > 10)
+"""
+
+
+def qf(name: str, body: str) -> None:
+    ORACLE[name] = BASE + GRAPH + FORECAST + body
+
+
+qf("forecast_next", "SELECT * FROM pred")
+qf("forecast_horizon", """
+  SELECT fz.flow_type, fz.zone_id, fz.interval_start + (h.horizon - 1) * INTERVAL 1 DAY AS interval_start,
+         CAST(h.horizon AS INTEGER) AS horizon, CAST(trunc(round(h.z * fz.sd + fz.mu, 9)) AS BIGINT) AS forecast
+  FROM fz JOIN (SELECT 1 AS horizon, * FROM f1 UNION ALL SELECT 2, * FROM f2 UNION ALL SELECT 3, * FROM f3) h
+  USING (flow_type, interval_start, zone_id)""")
+qf("backtest", """SELECT flow_type, count(*) AS n_steps, round(avg(abs(actual - forecast)), 6) AS mae,
+  max(abs(actual - forecast)) AS max_abs_error, round(avg(actual), 6) AS mean_actual FROM pred GROUP BY flow_type""")
+qf("residuals", "SELECT * FROM res")
+qf("anomalies", "SELECT * FROM anom")
+qf("anomaly_snapshot", """SELECT *, CAST(row_number() OVER (ORDER BY flow_type, graph_id) - 1 AS BIGINT) AS doc_id
+  FROM anom WHERE interval_start = (SELECT max(interval_start) FROM anom)""")
