@@ -346,6 +346,29 @@ def q_score_windows(spark, d):
     return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(p, zone_ids))
 
 
+def total_grid(spark, d) -> DataFrame:
+    return history.dense_grid(flows.tumbling_flow(td.events_total(spark, d), "1 day"), td.zone_dim(spark, d), DAY)
+
+
+def total_residuals(spark, d) -> DataFrame:
+    return anomaly.residuals(forecast.next_step(total_grid(spark, d), p_edges(spark, d)))
+
+
+@query("residuals_total")
+def q_residuals_total(spark, d):
+    return total_residuals(spark, d)
+
+
+@query("anomalies_total")
+def q_anomalies_total(spark, d):
+    return anomaly.anomalies(total_residuals(spark, d), td.zone_dim(spark, d))
+
+
+@query("anomaly_snapshot_total")
+def q_anomaly_snapshot_total(spark, d):
+    return anomaly.snapshot(anomaly.anomalies(total_residuals(spark, d), td.zone_dim(spark, d)))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The smoke query of ``__spark_entry__.entry``: actual, forecast and residual of every
     (flow type, zone, day) with 12 days of history."""

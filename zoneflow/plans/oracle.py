@@ -241,3 +241,24 @@ qf("residuals", "SELECT * FROM res")
 qf("anomalies", "SELECT * FROM anom")
 qf("anomaly_snapshot", """SELECT *, CAST(row_number() OVER (ORDER BY flow_type, graph_id) - 1 AS BIGINT) AS doc_id
   FROM anom WHERE interval_start = (SELECT max(interval_start) FROM anom)""")
+
+# Single-channel binding: every event type counted as flow type 'all'.
+BASE_TOTAL = BASE.replace("ev AS (SELECT event_type AS flow_type,", "ev AS (SELECT 'all' AS flow_type,")
+assert BASE_TOTAL != BASE
+
+
+def qt(name: str, body: str) -> None:
+    ORACLE[name] = BASE_TOTAL + GRAPH + FORECAST + body
+
+
+qt("residuals_total", "SELECT * FROM res")
+qt("anomalies_total", "SELECT * FROM anom")
+qt("anomaly_snapshot_total", """SELECT *, CAST(row_number() OVER (ORDER BY flow_type, graph_id) - 1 AS BIGINT) AS doc_id
+  FROM anom WHERE interval_start = (SELECT max(interval_start) FROM anom)""")
+# Live loop: the same anomalies for every step closed by the watermark (all days but the last).
+qt("live_anomalies", "SELECT * FROM anom WHERE interval_start < (SELECT max(interval_start) FROM w)")
+# Streaming 5-minute counts: windows whose end is at or before the watermark (max event time).
+q("stream_tumbling", """SELECT * FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, time) AS interval_start, flow_type, region_id AS zone_id, count(*) AS flow
+  FROM ev WHERE time IS NOT NULL AND region_id IS NOT NULL GROUP BY ALL) x
+  WHERE interval_start + INTERVAL 5 MINUTE <= (SELECT max(time) FROM ev)""")

@@ -65,6 +65,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("user_id") % EVENT_ZONES).cast("long").alias("region_id"))
 
 
+def events_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events in a single channel ``all`` (every event type counted together)."""
+    return events(spark, sf_dir).withColumn("flow_type", F.lit("all"))
+
+
 def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bike-style trips with station coordinates (lat/lon inside a 0.1 x 0.1 degree box).
 
