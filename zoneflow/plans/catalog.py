@@ -373,3 +373,53 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     """The smoke query of ``__spark_entry__.entry``: actual, forecast and residual of every
     (flow type, zone, day) with 12 days of history."""
     return residual_table(spark, d)
+
+
+# ---- spatial ---------------------------------------------------------------------------
+
+from ..functions import geo  # noqa: E402
+from ..operators import spatial  # noqa: E402
+
+
+def area_shapes(spark, d) -> DataFrame:
+    return spatial.restrict_shapes(td.zone_shapes(spark, d), td.area(spark, d))
+
+
+def assigned_bike(spark, d) -> DataFrame:
+    return spatial.assign_trip_zones(td.bike_trips(spark, d), area_shapes(spark, d))
+
+
+@query("project_points")
+def q_project_points(spark, d):
+    b = td.bike_trips(spark, d)
+    x, y = geo.project(F.col("start station latitude"), F.col("start station longitude"))
+    return b.select("starttime", F.round("start station latitude", 6).alias("lat"),
+                    F.round("start station longitude", 6).alias("lon"),
+                    F.round(x, 4).alias("x"), F.round(y, 4).alias("y"))
+
+
+@query("zone_shapes")
+def q_zone_shapes(spark, d):
+    return spatial.shape_summary(area_shapes(spark, d))
+
+
+@query("zone_assign")
+def q_zone_assign(spark, d):
+    return assigned_bike(spark, d).select("starttime", "stoptime", "pu_zone", "do_zone")
+
+
+@query("geo_points")
+def q_geo_points(spark, d):
+    b = assigned_bike(spark, d)
+    return spatial.geo_points(b, "start station latitude", "start station longitude").select(
+        "starttime", "pu_zone", "location")
+
+
+@query("flow_map")
+def q_flow_map(spark, d):
+    return spatial.flow_map(day_windows(spark, d), area_shapes(spark, d))
+
+
+@query("alias_union")
+def q_alias_union(spark, d):
+    return spatial.alias_union(day_windows(spark, d), area_shapes(spark, d))

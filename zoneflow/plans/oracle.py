@@ -262,3 +262,62 @@ q("stream_tumbling", """SELECT * FROM (
   SELECT time_bucket(INTERVAL 5 MINUTE, time) AS interval_start, flow_type, region_id AS zone_id, count(*) AS flow
   FROM ev WHERE time IS NOT NULL AND region_id IS NOT NULL GROUP BY ALL) x
   WHERE interval_start + INTERVAL 5 MINUTE <= (SELECT max(time) FROM ev)""")
+
+# ---- spatial ---------------------------------------------------------------------------
+from ..functions import geo as _geo  # noqa: E402
+
+
+def _frac(e: str) -> str:
+    return f"(abs(({e}) * 7.31::DOUBLE) - floor(abs(({e}) * 7.31::DOUBLE)))"
+
+
+def _proj(lat: str, lon: str, axis: str) -> str:
+    es = f"(sin(radians({lat})) * {_geo._E!r})"
+    t = f"(tan({3.141592653589793 / 4!r} - radians({lat}) / 2) / pow((1.0 - {es}) / (1.0 + {es}), {_geo._E / 2!r}))"
+    rho = f"(pow({t}, {_geo._N!r}) * {_geo.GRS80_A * _geo._F!r})"
+    theta = f"(radians({lon} - ({_geo.CENTRAL_MERIDIAN!r})) * {_geo._N!r})"
+    if axis == "x":
+        return f"(({rho} * sin({theta})) / {_geo.US_FOOT_M!r} + {_geo.FALSE_EASTING_FT!r})"
+    return f"(({_geo._RHO0!r} - {rho} * cos({theta})) / {_geo.US_FOOT_M!r} + {_geo.FALSE_NORTHING_FT!r})"
+
+
+SPATIAL = f""",
+bike AS (
+  SELECT o.o_orderdate AS starttime,
+         o.o_orderdate + to_minutes(CAST(o.o_orderkey % 97 AS INTEGER)) AS stoptime,
+         40.70::DOUBLE + 0.1::DOUBLE * {_frac("c.c_acctbal")} AS slat,
+         -74.02::DOUBLE + 0.1::DOUBLE * {_frac("o.o_totalprice")} AS slon,
+         40.70::DOUBLE + 0.1::DOUBLE * {_frac("o.o_totalprice * 3.0::DOUBLE")} AS elat,
+         -74.02::DOUBLE + 0.1::DOUBLE * {_frac("c.c_acctbal * 3.0::DOUBLE")} AS elon
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+bxy AS (SELECT *, {_proj("slat", "slon", "x")} AS sx, {_proj("slat", "slon", "y")} AS sy,
+               {_proj("elat", "elon", "x")} AS ex, {_proj("elat", "elon", "y")} AS ey FROM bike),
+shapes AS (SELECT zone_id, 975000.0::DOUBLE + (graph_id % 5) * 6000.0::DOUBLE AS x0,
+                  190000.0::DOUBLE + floor(graph_id / 5) * 9000.0::DOUBLE AS y0 FROM area),
+assigned AS (
+  SELECT b.*,
+    (SELECT min(zone_id) FROM shapes s WHERE b.sx > s.x0 AND b.sx < s.x0 + 6000.0 AND b.sy > s.y0 AND b.sy < s.y0 + 9000.0)
+      AS pu_zone,
+    (SELECT min(zone_id) FROM shapes s WHERE b.ex > s.x0 AND b.ex < s.x0 + 6000.0 AND b.ey > s.y0 AND b.ey < s.y0 + 9000.0)
+      AS do_zone
+  FROM bxy b),
+summary AS (SELECT zone_id, CAST(4 AS BIGINT) AS n_vertices, x0 AS xmin, x0 + 6000.0 AS xmax, y0 AS ymin,
+                   y0 + 9000.0 AS ymax FROM shapes)
+"""
+
+
+def qs(name: str, body: str) -> None:
+    ORACLE[name] = BASE + SPATIAL + body
+
+
+qs("project_points", """SELECT starttime, round(slat, 6) AS lat, round(slon, 6) AS lon, round(sx, 4) AS x,
+  round(sy, 4) AS y FROM bxy""")
+qs("zone_shapes", "SELECT * FROM summary")
+qs("zone_assign", """SELECT starttime, stoptime, pu_zone, do_zone FROM assigned
+  WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
+qs("flow_map", "SELECT w.*, s.n_vertices, s.xmin, s.xmax, s.ymin, s.ymax FROM w JOIN summary s USING (zone_id)")
+qs("alias_union", "SELECT * FROM w UNION ALL BY NAME SELECT * FROM summary")
+qs("stream_passthrough", """SELECT starttime, stoptime, round(slat, 6) AS "start station latitude",
+  round(slon, 6) AS "start station longitude", round(elat, 6) AS "end station latitude",
+  round(elon, 6) AS "end station longitude", pu_zone AS "PULocationID", do_zone AS "DOLocationID"
+  FROM assigned WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")

@@ -67,3 +67,22 @@ def q_live_anomalies(spark: SparkSession, d: str) -> DataFrame:
         closed = tumbling.stream_tumbling(valid, "1 day", "0 seconds")
         live.start_live(closed, det, f"{base}/ckpt").awaitTermination()
     return live.read_anomalies(spark, det)
+
+
+@query("stream_passthrough")
+def q_stream_passthrough(spark: SparkSession, d: str) -> DataFrame:
+    """Wide bike rows (both ends with coordinates and zones) -> JSON files -> stream with the
+    8-column schema -> unchanged append sink -> the sink table."""
+    from .. import schemas
+
+    base = shared_path(spark, "passthrough")
+    wide = catalog.assigned_bike(spark, d).select(
+        "starttime", "stoptime", "start station latitude", "start station longitude",
+        "end station latitude", "end station longitude",
+        F.col("pu_zone").alias("PULocationID"), F.col("do_zone").alias("DOLocationID"))
+    wide.write.mode("append").json(f"{base}/log")
+    stream = spark.readStream.schema(schemas.BIKE_STREAM).json(f"{base}/log")
+    q = tumbling.start_append(stream, f"{base}/sink", f"{base}/ckpt")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/sink")
+    return out.select(*[F.round(c, 6).alias(c) if "station" in c else F.col(c) for c in out.columns])

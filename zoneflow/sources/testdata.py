@@ -90,3 +90,27 @@ def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(-74.02) + 0.1 * frac(F.col("o_totalprice"))).alias("start station longitude"),
                     (F.lit(40.70) + 0.1 * frac(F.col("o_totalprice") * 3.0)).alias("end station latitude"),
                     (F.lit(-74.02) + 0.1 * frac(F.col("c_acctbal") * 3.0)).alias("end station longitude")))
+
+
+# Fixed values of the zone-polygon binding: a 5 x 5 tiling of rectangles (feet) over the
+# projected coordinate box of ``bike_trips``; zone with graph id g is tile (g % 5, g // 5).
+TILE_X0 = 975_000.0
+TILE_Y0 = 190_000.0
+TILE_W = 6_000.0
+TILE_H = 9_000.0
+TILES_PER_ROW = 5
+
+
+def zone_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``zone_id, ring`` for every zone of the dimension (rectangles by the rule above)."""
+    z = zone_dim(spark, sf_dir)
+    gx = (F.col("graph_id") % TILES_PER_ROW).cast("double")
+    gy = F.floor(F.col("graph_id") / TILES_PER_ROW).cast("double")
+    x0 = F.lit(TILE_X0) + gx * TILE_W
+    y0 = F.lit(TILE_Y0) + gy * TILE_H
+
+    def pt(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    ring = F.array(pt(x0, y0), pt(x0 + TILE_W, y0), pt(x0 + TILE_W, y0 + TILE_H), pt(x0, y0 + TILE_H))
+    return z.select("zone_id", ring.alias("ring"))
