@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import quantize
 from ..session import broadcast_if_bounded, row_bound_ok
 from .history import add_seconds, with_history
 
@@ -29,9 +30,9 @@ KEYS = ["flow_type", "interval_start"]
 
 
 def to_count(x) -> F.Column:
-    """De-standardised value -> integer count by truncation toward zero. Rounding to 9
-    places first keeps float noise (4.9999999999) from dropping a whole unit."""
-    return F.round(x, 9).cast("long")
+    """De-standardised value -> integer count by truncation toward zero. Snapping to
+    2^-20 first keeps float noise (4.9999999999) from dropping a whole unit."""
+    return quantize(x, 20).cast("long")
 
 
 def standardized_inputs(grid: DataFrame, n: int = 12) -> DataFrame:
@@ -101,8 +102,8 @@ def backtest(pred: DataFrame) -> DataFrame:
     """Forecast against the next actual over every step: error summary per flow type."""
     err = F.abs(F.col("actual") - F.col("forecast"))
     return pred.groupBy("flow_type").agg(
-        F.count(F.lit(1)).alias("n_steps"), F.round(F.avg(err), 6).alias("mae"),
-        F.max(err).alias("max_abs_error"), F.round(F.avg(F.col("actual")), 6).alias("mean_actual"))
+        F.count(F.lit(1)).alias("n_steps"), F.avg(err).alias("mae"),
+        F.max(err).alias("max_abs_error"), F.avg(F.col("actual")).alias("mean_actual"))
 
 
 # ---- fitted model ---------------------------------------------------------------------
@@ -172,7 +173,8 @@ def diffusion_scorer(p: np.ndarray, zone_ids: list[int], a: float = 0.5, b: floa
         full = np.zeros(len(zone_ids))
         full[idx] = z
         z1 = a * z + b * (p[idx] @ full)
-        return pd.Series(np.trunc(np.round(z1 * sd + mu, 9)).astype("int64"), index=block.index)
+        snapped = np.floor((z1 * sd + mu) * 2.0 ** 20 + 0.5) / 2.0 ** 20
+        return pd.Series(np.trunc(snapped).astype("int64"), index=block.index)
 
     return score
 

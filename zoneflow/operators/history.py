@@ -147,6 +147,5 @@ def standardize(grid: DataFrame, n: int = 12) -> DataFrame:
     """Per series and target step: mean and population std of the previous ``n`` flows
     (std 0 -> 1) and the standardised last flow ``z_last = (x[t-1] - mu) / sd``."""
     h = with_history(grid, n)
-    return h.select("flow_type", "zone_id", "interval_start",
-                    F.round("mu", 6).alias("mu"), F.round("sd", 6).alias("sd"),
-                    F.round((F.col("last") - F.col("mu")) / F.col("sd"), 6).alias("z_last"))
+    return h.select("flow_type", "zone_id", "interval_start", "mu", "sd",
+                    ((F.col("last") - F.col("mu")) / F.col("sd")).alias("z_last"))

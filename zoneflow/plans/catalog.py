@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as ev
 from ..operators import anomaly, flows, forecast, graph, history, trips
+from ..functions.numeric import quantize
 from ..session import checkpoint_table
 from ..sources import files
 from ..sources import testdata as td
@@ -192,16 +193,16 @@ def q_sliding_history(spark, d):
 
 @query("standardize")
 def q_standardize(spark, d):
-    return history.standardize(day_grid(spark, d), HISTORY_STEPS)
+    return r6(history.standardize(day_grid(spark, d), HISTORY_STEPS), "mu", "sd", "z_last")
 
 
 
 
 # ---- graph ---------------------------------------------------------------------------
 
-def r6(df: DataFrame, *cols: str) -> DataFrame:
-    """Round double columns to 6 places (oracle comparison only)."""
-    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+def r6(df: DataFrame, *cols: str, bits: int = 24) -> DataFrame:
+    """Snap double output columns to 2^-bits (comparison with the oracle only)."""
+    return df.select(*[quantize(F.col(c), bits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def od_edges(spark, d) -> DataFrame:
@@ -316,7 +317,7 @@ def q_forecast_horizon(spark, d):
 
 @query("backtest")
 def q_backtest(spark, d):
-    return forecast.backtest(predictions(spark, d))
+    return r6(forecast.backtest(predictions(spark, d)), "mae", "mean_actual")
 
 
 @query("residuals")
@@ -393,9 +394,9 @@ def assigned_bike(spark, d) -> DataFrame:
 def q_project_points(spark, d):
     b = td.bike_trips(spark, d)
     x, y = geo.project(F.col("start station latitude"), F.col("start station longitude"))
-    return b.select("starttime", F.round("start station latitude", 6).alias("lat"),
-                    F.round("start station longitude", 6).alias("lon"),
-                    F.round(x, 4).alias("x"), F.round(y, 4).alias("y"))
+    return b.select("starttime", quantize(F.col("start station latitude")).alias("lat"),
+                    quantize(F.col("start station longitude")).alias("lon"),
+                    quantize(x, 10).alias("x"), quantize(y, 10).alias("y"))
 
 
 @query("zone_shapes")

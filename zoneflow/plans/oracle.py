@@ -6,6 +6,8 @@ Every computed column carries the same alias as on the Spark side; doubles are r
 
 from __future__ import annotations
 
+from ..functions.numeric import quantize_sql
+
 ORACLE: dict[str, str] = {}
 
 TRIPS = """
@@ -66,6 +68,33 @@ def q(name: str, body: str) -> None:
     ORACLE[name] = BASE + body
 
 
+def snap_rounding(sql: str) -> str:
+    """Rewrite every ``round(expr, k)`` into binary snapping (see ``functions.numeric``):
+    k = 6 -> 2^-24, k = 4 -> 2^-10, k = 9 -> 2^-20."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        out.append(sql[i:j])
+        k, depth, comma = j + 6, 1, None
+        while depth:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            if ch == "," and depth == 1:
+                comma = k
+            k += 1
+        bits = {"6": 24, "4": 10, "9": 20}[sql[comma + 1:k - 1].strip()]
+        out.append(quantize_sql(snap_rounding(sql[j + 6:comma]), bits))
+        i = k
+
+
 q("trips", "SELECT * FROM trips")
 q("zones", "SELECT * FROM zones")
 q("trips_in_area", """SELECT * FROM trips
@@ -321,3 +350,8 @@ qs("stream_passthrough", """SELECT starttime, stoptime, round(slat, 6) AS "start
   round(slon, 6) AS "start station longitude", round(elat, 6) AS "end station latitude",
   round(elon, 6) AS "end station longitude", pu_zone AS "PULocationID", do_zone AS "DOLocationID"
   FROM assigned WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
+q("stream_source", "SELECT * FROM fe")
+
+
+for _k in list(ORACLE):
+    ORACLE[_k] = snap_rounding(ORACLE[_k])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as ev
 from ..operators import graph
+from ..functions.numeric import quantize
 from ..session import shared_path
 from ..sources import testdata as td
 from ..streaming import live, source, tumbling
@@ -85,4 +86,17 @@ def q_stream_passthrough(spark: SparkSession, d: str) -> DataFrame:
     q = tumbling.start_append(stream, f"{base}/sink", f"{base}/ckpt")
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/sink")
-    return out.select(*[F.round(c, 6).alias(c) if "station" in c else F.col(c) for c in out.columns])
+    return out.select(*[quantize(F.col(c)).alias(c) if "station" in c else F.col(c) for c in out.columns])
+
+
+@query("stream_source")
+def q_stream_source(spark: SparkSession, d: str) -> DataFrame:
+    """Trip flow events published as ``topic, value`` message files, read from the beginning
+    by a stream, parsed (topic -> flow type, JSON -> time, zone), rejects split off, valid
+    rows appended to a table."""
+    base = shared_path(spark, "stream_source")
+    publish_to_files(catalog.flow_events(spark, d), f"{base}/log", catalog.SOURCE)
+    valid, rejects = source.split_rejects(source.flow_events(source.file_messages(spark, f"{base}/log")))
+    tumbling.start_append(valid, f"{base}/events", f"{base}/ckpt").awaitTermination()
+    tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects").awaitTermination()
+    return spark.read.parquet(f"{base}/events")
