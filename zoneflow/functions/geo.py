@@ -64,6 +64,11 @@ def ring_edges(ring: Column) -> Column:
 
 def on_boundary(ring: Column, px: Column, py: Column, eps: float = 1e-9) -> Column:
     """True when the point lies on an edge (collinear and inside the edge's extent)."""
+    return edges_touch(ring_edges(ring), px, py, eps)
+
+
+def edges_touch(edges: Column, px: Column, py: Column, eps: float = 1e-9) -> Column:
+    """``on_boundary`` over a precomputed edge array."""
     def on_edge(e):
         dx = e["x2"] - e["x1"]
         dy = e["y2"] - e["y1"]
@@ -72,17 +77,22 @@ def on_boundary(ring: Column, px: Column, py: Column, eps: float = 1e-9) -> Colu
         return ((F.abs(cross) <= tol)
                 & (px >= F.least(e["x1"], e["x2"]) - eps) & (px <= F.greatest(e["x1"], e["x2"]) + eps)
                 & (py >= F.least(e["y1"], e["y2"]) - eps) & (py <= F.greatest(e["y1"], e["y2"]) + eps))
-    return F.exists(ring_edges(ring), on_edge)
+    return F.exists(edges, on_edge)
 
 
 def crosses(ring: Column, px: Column, py: Column) -> Column:
     """Even-odd rule: the number of edges a ray to +x crosses is odd."""
+    return edges_cross(ring_edges(ring), px, py)
+
+
+def edges_cross(edges: Column, px: Column, py: Column) -> Column:
+    """``crosses`` over a precomputed edge array."""
     def crossing(e):
         straddles = (e["y1"] > py) != (e["y2"] > py)
         x_at = F.when(e["y2"] != e["y1"],
                       (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
         return straddles & (px < x_at)
-    return (F.size(F.filter(ring_edges(ring), crossing)) % 2) == 1
+    return (F.size(F.filter(edges, crossing)) % 2) == 1
 
 
 def strictly_inside(ring: Column, px: Column, py: Column) -> Column:
@@ -90,6 +100,11 @@ def strictly_inside(ring: Column, px: Column, py: Column) -> Column:
     return crosses(ring, px, py) & ~on_boundary(ring, px, py)
 
 
+def strictly_inside_edges(edges: Column, px: Column, py: Column) -> Column:
+    """``strictly_inside`` over a precomputed edge array."""
+    return edges_cross(edges, px, py) & ~edges_touch(edges, px, py)
+
+
 def bbox(ring: Column) -> dict[str, Column]:
     xs = F.transform(ring, lambda p: p["x"])
     ys = F.transform(ring, lambda p: p["y"])

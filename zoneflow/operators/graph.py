@@ -10,12 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_bounded
+from ..session import bounded_values, broadcast_if_bounded
 
 MAX_BROADCAST_ROWS = 2_000_000
 SUPPORT_KINDS = ("scalap", "normlap", "symnadj", "transition", "doubletransition", "identity")
 
 
+def support_ids(kind: str) -> list[int]:
+    """Support indices produced by ``supports(kind)``."""
+    return [0, 1] if kind == "doubletransition" else [0]
+
+
 def edges_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("src").cast("long"), F.col("dst").cast("long"), F.col("w").cast("double"))
 
@@ -177,11 +182,12 @@ def matmul(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("support",)) ->
                    .agg(F.sum(F.col("_aw") * F.col("_bw")).alias("w")))
 
 
-def chebyshev_supports(sup: DataFrame, nodes: DataFrame, order: int = 3) -> DataFrame:
+def chebyshev_supports(sup: DataFrame, nodes: DataFrame, order: int = 3,
+                       support_ids: list[int] | None = None) -> DataFrame:
     """Chebyshev polynomials of each support: ``p = S^T``, ``T0 = I``, ``T1 = p``,
     ``Tk = 2 p T(k-1) - T(k-2)``. Output ``k = support * order + degree`` with all
     ``order`` terms of every support (``doubletransition`` -> 6 matrices for order 3)."""
-    ids = [r[0] for r in sup.select("support").distinct().orderBy("support").collect()]
+    ids = support_ids if support_ids is not None else bounded_values(sup.select("support").distinct(), 1_000)
     p = transpose(sup.select("support", "src", "dst", "w")).select("support", "src", "dst", "w")
     eye = identity_edges(nodes).select(F.explode(F.array(*[F.lit(i) for i in ids])).alias("support"),
                                        "src", "dst", "w")
@@ -198,7 +204,7 @@ def chebyshev_supports(sup: DataFrame, nodes: DataFrame, order: int = 3) -> Data
 
 
 def diffusion(signal: DataFrame, sup: DataFrame, keys: list[str], zone_col: str = "zone_id",
-              value_col: str = "x") -> DataFrame:
+              value_col: str = "x", support_ks: list[int] | None = None) -> DataFrame:
     """Graph diffusion ``(S_k x)_i = sum_j S_k[i, j] x_j`` for every support ``k`` and every
     signal group ``keys``; nodes without neighbours get 0.
 
@@ -207,7 +213,7 @@ def diffusion(signal: DataFrame, sup: DataFrame, keys: list[str], zone_col: str
     """
     s = broadcast_if_bounded(sup.select("k", F.col("src").alias("_i"), F.col("dst").alias("_j"), F.col("w").alias("_w")),
                              MAX_BROADCAST_ROWS)
-    ks = [r[0] for r in sup.select("k").distinct().orderBy("k").collect()]
+    ks = support_ks if support_ks is not None else bounded_values(sup.select("k").distinct(), 1_000)
     sig = signal.select(*keys, F.col(zone_col).alias("_j"), F.col(value_col).cast("double").alias("_x"))
     contrib = sig.join(s, "_j").select(*keys, "k", F.col("_i").alias(zone_col), (F.col("_w") * F.col("_x")).alias("v"))
     zeros = sig.select(*keys, F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"),

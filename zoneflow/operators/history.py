@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import row_bound_ok
+from ..session import bounded_values
 
 # Number of distinct flow types (channels) a grid may have; a guard, not a cap on data.
 MAX_FLOW_TYPES = 1_000
@@ -51,17 +51,12 @@ def time_steps(windows: DataFrame, step_seconds: int, t0: Column | None = None,
 
 
 def _flow_types(windows: DataFrame) -> list[str]:
-    types = windows.select("flow_type").distinct()
-    if not row_bound_ok(types, MAX_FLOW_TYPES):
-        raise ValueError(f"more than {MAX_FLOW_TYPES} flow types: not a channel dimension")
-    return sorted(r[0] for r in types.collect() if r[0] is not None)
+    return bounded_values(windows.select("flow_type").distinct(), MAX_FLOW_TYPES)
 
 
 def _zone_rows(zones: DataFrame) -> list[tuple[int, int]]:
-    z = zones.select("zone_id", "graph_id")
-    if not row_bound_ok(z, MAX_ZONES):
-        raise ValueError(f"more than {MAX_ZONES} zones: not a zone dimension")
-    return sorted((int(r[0]), int(r[1])) for r in z.collect())
+    rows = bounded_values(zones.select(F.struct("zone_id", "graph_id")), MAX_ZONES)
+    return sorted((int(r[0]), int(r[1])) for r in rows)
 
 
 def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None, t1=None,

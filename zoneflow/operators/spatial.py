@@ -25,29 +25,40 @@ def shape_summary(shapes: DataFrame) -> DataFrame:
 
 def cell_index(shapes: DataFrame, cell: float) -> DataFrame:
     """Grid cells of side ``cell`` covering each polygon's bounding box -> per cell the
-    candidate polygons, sorted by zone id. Size = polygons x covered cells (bounded by the
-    zone layer and the cell size, not by the data)."""
+    candidate polygons (edges and bounding box precomputed once per polygon), sorted by
+    zone id. Size = polygons x covered cells (bounded by the zone layer and the cell
+    size, not by the data)."""
     b = geo.bbox(F.col("ring"))
-    c = shapes.select("zone_id", "ring",
-                      F.floor(b["xmin"] / cell).alias("x0"), F.floor(b["xmax"] / cell).alias("x1"),
-                      F.floor(b["ymin"] / cell).alias("y0"), F.floor(b["ymax"] / cell).alias("y1"))
-    c = c.select("zone_id", "ring", "y0", "y1", F.explode(F.sequence("x0", "x1")).alias("cx"))
-    c = c.select("zone_id", "ring", "cx", F.explode(F.sequence("y0", "y1")).alias("cy"))
-    return c.groupBy("cx", "cy").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("zone_id"), F.col("ring")))).alias("candidates"))
+    poly = shapes.select("zone_id", geo.ring_edges(F.col("ring")).alias("edges"),
+                         *[v.alias(k) for k, v in b.items()])
+    c = poly.select("*", F.floor(F.col("xmin") / cell).alias("x0"), F.floor(F.col("xmax") / cell).alias("x1"),
+                    F.floor(F.col("ymin") / cell).alias("y0"), F.floor(F.col("ymax") / cell).alias("y1"))
+    c = c.withColumn("cx", F.explode(F.sequence("x0", "x1")))
+    c = c.withColumn("cy", F.explode(F.sequence("y0", "y1")))
+    cand = F.struct("zone_id", "xmin", "xmax", "ymin", "ymax", "edges")
+    return c.groupBy("cx", "cy").agg(F.sort_array(F.collect_list(cand)).alias("candidates"))
+
+
+def zone_index(shapes: DataFrame, cell: float = 5000.0) -> DataFrame:
+    """Cell index ready for ``assign_zone``: broadcast only behind its row bound."""
+    return broadcast_if_bounded(cell_index(shapes, cell), MAX_CELL_ROWS)
 
 
-def assign_zone(points: DataFrame, x: str, y: str, shapes: DataFrame, out: str, cell: float = 5000.0) -> DataFrame:
+def assign_zone(points: DataFrame, x: str, y: str, shapes: DataFrame | None, out: str, cell: float = 5000.0,
+                index: DataFrame | None = None) -> DataFrame:
     """Adds ``out`` = the smallest zone id whose polygon strictly contains (x, y), or null.
 
     The point's grid cell is an equi-join key against the broadcast cell index (checked
     bound), so points are never shuffled and no point x polygon product is formed; the
     exact test then runs only on the few candidates of that cell.
     """
-    idx = broadcast_if_bounded(cell_index(shapes, cell), MAX_CELL_ROWS)
+    idx = index if index is not None else zone_index(shapes, cell)
     pts = points.withColumn("_cx", F.floor(F.col(x) / cell)).withColumn("_cy", F.floor(F.col(y) / cell))
     j = pts.join(idx, (pts["_cx"] == idx["cx"]) & (pts["_cy"] == idx["cy"]), "left")
-    hit = F.filter(F.col("candidates"), lambda c: geo.strictly_inside(c["ring"], F.col(x), F.col(y)))
+    px, py = F.col(x), F.col(y)
+    hit = F.filter(F.col("candidates"),
+                   lambda c: (px > c["xmin"]) & (px < c["xmax"]) & (py > c["ymin"]) & (py < c["ymax"])
+                   & geo.strictly_inside_edges(c["edges"], px, py))
     return j.withColumn(out, F.try_element_at(hit, F.lit(1))["zone_id"]).drop("_cx", "_cy", "cx", "cy", "candidates")
 
 
@@ -58,8 +69,9 @@ def assign_trip_zones(bike: DataFrame, shapes: DataFrame, cell: float = 5000.0)
     sx, sy = geo.project(F.col("start station latitude"), F.col("start station longitude"))
     ex, ey = geo.project(F.col("end station latitude"), F.col("end station longitude"))
     pts = bike.select("*", sx.alias("_sx"), sy.alias("_sy"), ex.alias("_ex"), ey.alias("_ey"))
-    pts = assign_zone(pts, "_sx", "_sy", shapes, "pu_zone", cell)
-    pts = assign_zone(pts, "_ex", "_ey", shapes, "do_zone", cell)
+    idx = zone_index(shapes, cell)
+    pts = assign_zone(pts, "_sx", "_sy", None, "pu_zone", cell, idx)
+    pts = assign_zone(pts, "_ex", "_ey", None, "do_zone", cell, idx)
     return pts.dropna(how="any", subset=["pu_zone", "do_zone"]).drop("_sx", "_sy", "_ex", "_ey")
 
 

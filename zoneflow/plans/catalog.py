@@ -215,10 +215,17 @@ def nodes(spark, d) -> DataFrame:
     return td.zone_dim(spark, d).select(F.col("zone_id").alias("node"))
 
 
-def event_supports(spark, d) -> DataFrame:
-    """Chebyshev supports of the forward/backward transition of the OD graph."""
+CHEB_ORDER = 3
+SUPPORT_KIND = "doubletransition"
+
+
+def event_supports(spark, d, materialize: bool = False) -> DataFrame:
+    """Chebyshev supports of the forward/backward transition of the OD graph (written once
+    to the checkpoint folder when reused by later joins)."""
     n = nodes(spark, d)
-    return graph.chebyshev_supports(graph.supports(od_edges(spark, d), n, "doubletransition"), n, 3)
+    cheb = graph.chebyshev_supports(graph.supports(od_edges(spark, d), n, SUPPORT_KIND), n, CHEB_ORDER,
+                                    graph.support_ids(SUPPORT_KIND))
+    return checkpoint_table(cheb, "supports") if materialize else cheb
 
 
 @query("adjacency_edges")
@@ -284,8 +291,9 @@ def q_chebyshev(spark, d):
 def q_diffusion(spark, d):
     """Every Chebyshev support applied to the daily flow of every (flow type, day)."""
     g = day_grid(spark, d)
-    return r6(graph.diffusion(g, event_supports(spark, d), ["flow_type", "interval_start"], "zone_id", "flow"),
-              "value")
+    ks = list(range(len(graph.support_ids(SUPPORT_KIND)) * CHEB_ORDER))
+    return r6(graph.diffusion(g, event_supports(spark, d, materialize=True), ["flow_type", "interval_start"],
+                              "zone_id", "flow", ks), "value")
 
 
 # ---- forecast and anomalies --------------------------------------------------------------
@@ -294,7 +302,8 @@ FIT_CUT = "2024-01-20"
 
 
 def p_edges(spark, d) -> DataFrame:
-    return graph.transition(od_edges(spark, d))
+    """Transition matrix of the OD graph, written once (read by every diffusion step)."""
+    return checkpoint_table(graph.transition(od_edges(spark, d)), "transition")
 
 
 def predictions(spark, d) -> DataFrame:

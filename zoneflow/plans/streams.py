@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
-from ..operators import graph
 from ..functions.numeric import quantize
 from ..session import shared_path
 from ..sources import testdata as td
@@ -61,7 +60,7 @@ def q_live_anomalies(spark: SparkSession, d: str) -> DataFrame:
     evs = td.events_total(spark, d)
     schema = evs.schema
     zones = td.zone_dim(spark, d)
-    det = live.LiveDetector(f"{base}/out", zones, graph.transition(catalog.od_edges(spark, d)), DAY)
+    det = live.LiveDetector(f"{base}/out", zones, catalog.p_edges(spark, d), DAY)
     for _ in replay_chunks(evs, f"{base}/log", REPLAY_CHUNK_DAYS):
         stream = spark.readStream.schema(schema).parquet(f"{base}/log")
         valid, _rejects = source.split_rejects(stream)

@@ -88,6 +88,15 @@ def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_values(df: DataFrame, max_rows: int) -> list:
+    """First-column values of a small DataFrame (channel names, zone ids, support ids),
+    fetched in one job that stops after ``max_rows + 1`` rows; more rows is an error."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows, got more: not a dimension-sized table")
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only behind a checked row bound; otherwise leave the join to the
     planner (sort-merge, or AQE's runtime broadcast when the shuffled side turns out small)."""
