@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import with_doc_ids
 from .flows import zone_lookup
 
 DETECT_THRESHOLD = 10
@@ -34,5 +35,4 @@ def snapshot(anom: DataFrame) -> DataFrame:
     """Only the newest step of an appended anomaly history, numbered 0.. by (flow type,
     graph id) as document ids. One step holds at most flow types x zones rows."""
     newest = anom.agg(F.max("interval_start")).scalar()
-    last = anom.filter(F.col("interval_start") == newest)
-    return last.withColumn("doc_id", (F.row_number().over(Window.orderBy("flow_type", "graph_id")) - 1).cast("long"))
+    return with_doc_ids(anom.filter(F.col("interval_start") == newest))

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import events as ev
 from ..functions.numeric import quantize
 from ..session import shared_path
+from ..sources import sinks
 from ..sources import testdata as td
 from ..streaming import live, source, tumbling
 from . import catalog
@@ -21,9 +21,7 @@ from .catalog import DAY, query
 REPLAY_CHUNK_DAYS = 6
 
 
-def publish_to_files(events: DataFrame, path: str, topic_prefix: str) -> None:
-    """Append the events as JSON-lines ``{"topic", "value"}`` messages (one write)."""
-    ev.publish_payload(events, topic_prefix).write.mode("append").json(path)
+publish_to_files = sinks.write_event_log
 
 
 @query("stream_tumbling")

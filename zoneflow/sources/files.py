@@ -77,12 +77,22 @@ def window_step_filter(interval_col: Column, t0: Column, step_seconds: int, firs
     return (interval_col >= lo) & (interval_col < hi)
 
 
+def _date_prune(windows: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """On a day-partitioned window table also filter the partition column, so only the
+    partitions of the wanted days are listed and read."""
+    if "interval_date" not in windows.columns:
+        return windows
+    return windows.filter(F.col("interval_date").between(F.to_date(lo), F.to_date(hi)))
+
+
 def load_history(windows: DataFrame, t0: Column, step_seconds: int, n_steps: int = 12) -> DataFrame:
     """Full history read: the ``n_steps`` windows starting at ``t0`` (filter, not a row limit)."""
-    return windows.filter(window_step_filter(F.col("interval_start"), t0, step_seconds, 0, n_steps))
+    hi = t0 + F.make_dt_interval(secs=F.lit(step_seconds * n_steps))
+    w = _date_prune(windows, t0, hi)
+    return w.filter(window_step_filter(F.col("interval_start"), t0, step_seconds, 0, n_steps))
 
 
 def load_step(windows: DataFrame, t0: Column, step_seconds: int, step: int) -> DataFrame:
     """One-step read: windows whose ``interval_start == t0 + step * width``, for every zone."""
     at = t0 + F.make_dt_interval(secs=F.lit(step_seconds * step))
-    return windows.filter(F.col("interval_start") == at)
+    return _date_prune(windows, at, at).filter(F.col("interval_start") == at)

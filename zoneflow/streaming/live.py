@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, forecast, history
+from ..sources import sinks
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -25,9 +26,7 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+_write_partition = sinks.write_batch_partition
 
 
 @dataclass
@@ -79,7 +78,7 @@ class LiveDetector:
         found = anomaly.anomalies(anomaly.residuals(pred), self.zones, self.threshold)
         _write_partition(found, self.anomalies_path, batch_id)
         last = found.filter(F.col("interval_start") == history.ts_literal(new_max))
-        anomaly.snapshot(last).write.mode("overwrite").parquet(self.snapshot_path)
+        sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
 
 
 def start_live(closed_windows: DataFrame, detector: LiveDetector, checkpoint: str, available_now: bool = True):
