@@ -23,11 +23,12 @@ def align(actual: DataFrame, forecast: DataFrame) -> DataFrame:
         ["flow_type", "interval_start", "zone_id"])
 
 
-def anomalies(res: DataFrame, zones: DataFrame, threshold: float = DETECT_THRESHOLD) -> DataFrame:
+def anomalies(res: DataFrame, zones: DataFrame, threshold: float = DETECT_THRESHOLD,
+              lookup: DataFrame | None = None) -> DataFrame:
     """Zones whose residual exceeds the threshold (strict), with their dimension attributes,
-    over all flow types in one plan."""
+    over all flow types in one plan. ``lookup`` = a prepared ``zone_lookup(zones)``."""
     hot = res.filter(F.col("residual") > F.lit(threshold))
-    return hot.join(zone_lookup(zones), "zone_id").select(
+    return hot.join(lookup if lookup is not None else zone_lookup(zones), "zone_id").select(
         "interval_start", "flow_type", "zone_id", "graph_id", "zone_name", "actual", "forecast", "residual")
 
 

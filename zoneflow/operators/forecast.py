@@ -43,28 +43,39 @@ def standardized_inputs(grid: DataFrame, n: int = 12) -> DataFrame:
                     ((F.col("last") - F.col("mu")) / F.col("sd")).alias("z"))
 
 
-def diffuse_step(state: DataFrame, p: DataFrame, a: float, b: float) -> DataFrame:
+def diffuse_step(state: DataFrame, p: DataFrame, a: float, b: float, carry: tuple[str, ...] = ()) -> DataFrame:
     """One step ``z <- a z + b P z`` within every (flow type, step) block.
 
-    The own term travels with the zone's statistics; the neighbour terms come from one
-    join against P (broadcast under a bound) and both meet in a single aggregation.
+    Scatter-gather in one pass: each state row (zone j) meets the broadcast list of its
+    in-neighbours ``(i, P_ij)``, is exploded into its own term (which carries the zone's
+    statistics and the ``carry`` columns) and one term per neighbour, and one aggregation
+    per (block, zone) adds them up. The state is read once per step.
     """
-    own = state.select(*KEYS, "zone_id", (F.col("z") * a).alias("v"), "actual", "mu", "sd",
-                       F.lit(True).alias("own"))
-    nb = (state.select(*KEYS, F.col("zone_id").alias("_j"), "z")
-          .join(p, "_j")
-          .select(*KEYS, F.col("_i").alias("zone_id"), (F.col("_w") * F.col("z") * b).alias("v"),
-                  F.lit(None).cast("long").alias("actual"), F.lit(None).cast("double").alias("mu"),
-                  F.lit(None).cast("double").alias("sd"), F.lit(False).alias("own")))
-    return (own.unionByName(nb).groupBy(*KEYS, "zone_id")
-            .agg(F.sum("v").alias("z"), F.max("actual").alias("actual"), F.max("mu").alias("mu"),
-                 F.max("sd").alias("sd"), F.max("own").alias("own"))
+    kept = (*[c for c in ("actual", "mu", "sd") if c in state.columns], *carry)
+    types = dict(state.dtypes)
+    joined = state.join(p, state["zone_id"] == p["_j"], "left")
+    own = F.struct(F.col("zone_id").alias("target"), (F.col("z") * a).alias("v"),
+                   *[F.col(c).alias(c) for c in kept], F.lit(True).alias("own"))
+    nbs = F.transform(F.coalesce(F.col("_in"), F.array().cast("array<struct<_i:bigint,_w:double>>")),
+                      lambda e: F.struct(e["_i"].alias("target"), (e["_w"] * F.col("z") * b).alias("v"),
+                                         *[F.lit(None).cast(types[c]).alias(c) for c in kept],
+                                         F.lit(False).alias("own")))
+    parts = joined.select(*KEYS, F.inline(F.concat(F.array(own), nbs)))
+    return (parts.groupBy(*KEYS, F.col("target").alias("zone_id"))
+            .agg(F.sum("v").alias("z"), *[F.max(c).alias(c) for c in kept], F.max("own").alias("own"))
             .filter(F.col("own")).drop("own"))
 
 
 def transition_table(p_edges: DataFrame) -> DataFrame:
-    return broadcast_if_bounded(
-        p_edges.select(F.col("src").alias("_i"), F.col("dst").alias("_j"), F.col("w").alias("_w")), MAX_SUPPORT_ROWS)
+    """P grouped by destination: ``_j, _in = [(i, P_ij)]`` (N rows of at most N entries),
+    broadcast behind its row bound. Pass the result to the forecast functions to decide
+    this once."""
+    if set(p_edges.columns) == {"_j", "_in"}:
+        return p_edges
+    by_dst = p_edges.groupBy(F.col("dst").cast("long").alias("_j")).agg(
+        F.collect_list(F.struct(F.col("src").cast("long").alias("_i"), F.col("w").cast("double").alias("_w")))
+        .alias("_in"))
+    return broadcast_if_bounded(by_dst, MAX_DENSE_NODES)
 
 
 def diffusion_forecast(grid: DataFrame, p_edges: DataFrame, step_seconds: int, horizon: int = 3,
@@ -72,22 +83,21 @@ def diffusion_forecast(grid: DataFrame, p_edges: DataFrame, step_seconds: int, h
     """Forecasts for horizons 1..``horizon`` made from the n steps before each target t.
 
     Output ``flow_type, zone_id, interval_start, horizon, forecast`` where ``interval_start``
-    is the step forecast (t + h - 1).
+    is the step forecast (t + h - 1). One chain of ``horizon`` join+aggregate steps; the
+    earlier horizons ride along as columns, so no step is computed twice.
     """
     p = transition_table(p_edges)
     state = standardized_inputs(grid, n)
-    outs = []
+    carried: tuple[str, ...] = ()
     for h in range(1, horizon + 1):
-        state = diffuse_step(state, p, a, b)
-        outs.append(state.select(
-            "flow_type", "zone_id",
-            add_seconds(F.col("interval_start"), (h - 1) * step_seconds).alias("interval_start"),
-            F.lit(h).cast("int").alias("horizon"),
-            to_count(F.col("z") * F.col("sd") + F.col("mu")).alias("forecast")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+        state = diffuse_step(state, p, a, b, carried).withColumn(f"z{h}", F.col("z"))
+        carried = (*carried, f"z{h}")
+    rows = F.array(*[F.struct(F.lit(h).cast("int").alias("horizon"), F.col(f"z{h}").alias("zh"))
+                     for h in range(1, horizon + 1)])
+    out = state.select("flow_type", "zone_id", "interval_start", "mu", "sd", F.inline(rows))
+    return out.select("flow_type", "zone_id",
+                      add_seconds(F.col("interval_start"), (F.col("horizon") - 1) * step_seconds).alias("interval_start"),
+                      "horizon", to_count(F.col("zh") * F.col("sd") + F.col("mu")).alias("forecast"))
 
 
 def next_step(grid: DataFrame, p_edges: DataFrame, a: float = 0.5, b: float = 0.5, n: int = 12) -> DataFrame:
@@ -113,11 +123,9 @@ def lag_features(grid: DataFrame, p_edges: DataFrame, n: int = 12, b: float = 1.
     ``neigh = sum_j P_ij x_j(t-1)`` is the diffused last step."""
     h = with_history(grid, n)
     base = h.select(*KEYS, "zone_id", F.col("flow").alias("actual"), F.col("history").alias("lags"),
-                    F.col("last").cast("double").alias("last"))
-    p = transition_table(p_edges)
-    nb = (base.select(*KEYS, F.col("zone_id").alias("_j"), "last").join(p, "_j")
-          .groupBy(*KEYS, F.col("_i").alias("zone_id")).agg(F.sum(F.col("_w") * F.col("last") * b).alias("neigh")))
-    return base.join(nb, [*KEYS, "zone_id"], "left").fillna({"neigh": 0.0})
+                    F.col("last").cast("double").alias("z"))
+    out = diffuse_step(base, transition_table(p_edges), 0.0, b, ("lags",))
+    return out.select(*KEYS, "zone_id", "actual", "lags", F.col("z").alias("neigh"))
 
 
 def fitted_forecast(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> DataFrame:

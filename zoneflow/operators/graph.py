@@ -208,14 +208,22 @@ def diffusion(signal: DataFrame, sup: DataFrame, keys: list[str], zone_col: str
     """Graph diffusion ``(S_k x)_i = sum_j S_k[i, j] x_j`` for every support ``k`` and every
     signal group ``keys``; nodes without neighbours get 0.
 
-    One join of the signal against the (bounded, broadcast) supports and one aggregation;
-    the zero rows come from the signal itself, so no node x support product is joined.
+    Scatter-gather: each signal value x_j meets the broadcast list of the cells
+    ``(k, i, S_k[i, j])`` of its column j, is exploded into one term per cell plus a zero
+    term per support for itself, and one aggregation per (group, k, i) sums them. The
+    signal is read once; no node x support product is joined.
     """
-    s = broadcast_if_bounded(sup.select("k", F.col("src").alias("_i"), F.col("dst").alias("_j"), F.col("w").alias("_w")),
-                             MAX_BROADCAST_ROWS)
     ks = support_ks if support_ks is not None else bounded_values(sup.select("k").distinct(), 1_000)
-    sig = signal.select(*keys, F.col(zone_col).alias("_j"), F.col(value_col).cast("double").alias("_x"))
-    contrib = sig.join(s, "_j").select(*keys, "k", F.col("_i").alias(zone_col), (F.col("_w") * F.col("_x")).alias("v"))
-    zeros = sig.select(*keys, F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"),
-                       F.col("_j").alias(zone_col), F.lit(0.0).alias("v"))
-    return contrib.unionByName(zeros).groupBy(*keys, "k", zone_col).agg(F.sum("v").alias("value"))
+    cols = broadcast_if_bounded(
+        sup.groupBy(F.col("dst").cast("long").alias("_j")).agg(
+            F.collect_list(F.struct(F.col("k").cast("long").alias("k"), F.col("src").cast("long").alias("i"),
+                                    F.col("w").cast("double").alias("w"))).alias("_cells")),
+        MAX_BROADCAST_ROWS)
+    sig = signal.select(*keys, F.col(zone_col).cast("long").alias("_z"), F.col(value_col).cast("double").alias("_x"))
+    j = sig.join(cols, sig["_z"] == cols["_j"], "left")
+    cells = F.transform(F.coalesce(F.col("_cells"), F.array().cast("array<struct<k:bigint,i:bigint,w:double>>")),
+                        lambda c: F.struct(c["k"].alias("k"), c["i"].alias("i"), (c["w"] * F.col("_x")).alias("v")))
+    zeros = F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.col("_z").alias("i"), F.lit(0.0).alias("v"))
+                      for k in ks])
+    parts = j.select(*keys, F.inline(F.concat(cells, zeros)))
+    return parts.groupBy(*keys, "k", F.col("i").alias(zone_col)).agg(F.sum("v").alias("value"))

@@ -54,13 +54,18 @@ def _flow_types(windows: DataFrame) -> list[str]:
     return bounded_values(windows.select("flow_type").distinct(), MAX_FLOW_TYPES)
 
 
+def zone_list(zones: DataFrame) -> list[tuple[int, int]]:
+    """``(zone_id, graph_id)`` of a zone dimension, checked against MAX_ZONES."""
+    return _zone_rows(zones)
+
+
 def _zone_rows(zones: DataFrame) -> list[tuple[int, int]]:
     rows = bounded_values(zones.select(F.struct("zone_id", "graph_id")), MAX_ZONES)
     return sorted((int(r[0]), int(r[1])) for r in rows)
 
 
-def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None, t1=None,
-               flow_types: list[str] | None = None) -> DataFrame:
+def dense_grid(windows: DataFrame, zones: DataFrame | None, step_seconds: int, t0=None, t1=None,
+               flow_types: list[str] | None = None, zone_rows: list[tuple[int, int]] | None = None) -> DataFrame:
     """Zero-filled grid ``flow_type x step x zone`` between ``t0`` and ``t1`` (inclusive).
 
     Only scalars reach the driver: the time range (one aggregate row), the zone ids of the
@@ -74,7 +79,7 @@ def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None,
         t0 = lo if t0 is None else t0
         t1 = hi if t1 is None else t1
     types = flow_types if flow_types is not None else _flow_types(windows)
-    zone_rows = _zone_rows(zones)
+    zone_rows = zone_rows if zone_rows is not None else _zone_rows(zones)
     if t0 is None or t1 is None or not types or not zone_rows:
         return windows.sparkSession.createDataFrame(
             [], "flow_type string, interval_start timestamp_ntz, zone_id bigint, graph_id bigint, flow bigint")

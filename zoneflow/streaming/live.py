@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, forecast, history
+from ..operators.flows import zone_lookup
 from ..sources import sinks
 
 
@@ -40,6 +41,13 @@ class LiveDetector:
     a: float = 0.5
     b: float = 0.5
 
+    def __post_init__(self) -> None:
+        # Decided once for the whole stream: the zone list of the grid, the broadcast of
+        # the zone lookup and of the transition matrix (each behind its row bound).
+        self._zone_rows = history.zone_list(self.zones)
+        self._lookup = zone_lookup(self.zones)
+        self._p = forecast.transition_table(self.p_edges)
+
     @property
     def windows_path(self) -> str:
         return f"{self.base}/windows"
@@ -70,12 +78,13 @@ class LiveDetector:
         if prev_max is not None:
             start = max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
         hist = table.filter(F.col("interval_start") >= history.ts_literal(start))
-        types = sorted(r[0] for r in table.select("flow_type").distinct().collect())
-        grid = history.dense_grid(hist, self.zones, self.step_seconds, t0=start, t1=new_max, flow_types=types)
-        pred = forecast.next_step(grid, self.p_edges, self.a, self.b, self.n)
+        types = history._flow_types(table)
+        grid = history.dense_grid(hist, None, self.step_seconds, t0=start, t1=new_max, flow_types=types,
+                                  zone_rows=self._zone_rows)
+        pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
         if prev_max is not None:
             pred = pred.filter(F.col("interval_start") > history.ts_literal(prev_max))
-        found = anomaly.anomalies(anomaly.residuals(pred), self.zones, self.threshold)
+        found = anomaly.anomalies(anomaly.residuals(pred), self.zones, self.threshold, self._lookup)
         _write_partition(found, self.anomalies_path, batch_id)
         last = found.filter(F.col("interval_start") == history.ts_literal(new_max))
         sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
