@@ -28,11 +28,14 @@ def event_counts(events: DataFrame) -> DataFrame:
 def sort_events(events: DataFrame, n_partitions: int | None = None) -> DataFrame:
     """Event-time order for writing replay files: range partitions on time, sorted inside.
 
-    A range partitioning keeps the sort distributed (no single-task global sort).
+    A range partitioning keeps the sort distributed (no single-task global sort). The row
+    id is the last range key, so a run of identical (time, flow type, zone) rows, however
+    long, is still split across partitions instead of landing in one task.
     """
-    keys = ["time", "flow_type", "region_id"]
-    df = events.repartitionByRange(n_partitions, *keys) if n_partitions else events.repartitionByRange(*keys)
-    return df.sortWithinPartitions(*keys)
+    keys = ["time", "flow_type", "region_id", "_row"]
+    df = events.withColumn("_row", F.monotonically_increasing_id())
+    df = df.repartitionByRange(n_partitions, *keys) if n_partitions else df.repartitionByRange(*keys)
+    return df.sortWithinPartitions(*keys).drop("_row")
 
 
 def first_events(events: DataFrame, n: int) -> DataFrame:

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_if_bounded
-
 # Zone dimensions are city-sized (tens to thousands of rows); anything larger is joined
 # with a shuffle instead of a broadcast.
 MAX_BROADCAST_ZONES = 100_000
@@ -54,13 +52,15 @@ def in_range(col: Column, lo: str, hi: str, strict: bool = False) -> Column:
 def trips_in_area(trips: DataFrame, area: DataFrame) -> DataFrame:
     """Trips with both ends in the area (a trip leaving it is dropped entirely).
 
-    Two left-semi joins against the zone ids: no collected id list, and the zone side is
-    broadcast only behind a row bound.
+    Written as ``IN (subquery)`` predicates rather than joins on the finished trips:
+    Catalyst pushes a predicate down to the table each zone column comes from and only
+    then turns it into a left-semi join there, so when trips are themselves a join of
+    facts with dimensions, the area restriction runs on the dimension side before the
+    large joins. No id list is collected; the semi-join strategy is planned from the
+    zone table's size statistics.
     """
-    ids = broadcast_if_bounded(area.select(F.col("zone_id").cast("long").alias("_zid")).distinct(),
-                               MAX_BROADCAST_ZONES)
-    t = trips.join(ids, F.col("pu_zone") == ids["_zid"], "left_semi")
-    return t.join(ids, F.col("do_zone") == ids["_zid"], "left_semi")
+    ids = area.select(F.col("zone_id").cast("long"))
+    return trips.filter(F.col("pu_zone").isin(ids) & F.col("do_zone").isin(ids))
 
 
 def clean_trips(trips: DataFrame, area: DataFrame, lo: str, hi: str, strict: bool = False) -> DataFrame:
