@@ -97,9 +97,32 @@ def bounded_values(df: DataFrame, max_rows: int) -> list:
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only behind a checked row bound; otherwise leave the join to the
-    planner (sort-merge, or AQE's runtime broadcast when the shuffled side turns out small)."""
+# Plan nodes whose size statistic is not an upper bound of their output (they can emit
+# more rows than they read); with one of them in the plan the estimate proves nothing.
+_ROW_MULTIPLYING = ("Generate", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas",
+                    "MapPartitions", "MapElements", "FlatMapGroupsInPandasWithState", "PythonMapInArrow")
+BROADCAST_MAX_BYTES = 8 * 1024 * 1024
+
+
+def size_upper_bound(df: DataFrame) -> int | None:
+    """The optimiser's size estimate of ``df`` in bytes when it is an upper bound: for
+    file scans it is the file size, and filters, projections, aggregates, windows, joins
+    and unions only keep or raise it. None when the plan has a node that can multiply rows."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    if any(n in text for n in _ROW_MULTIPLYING):
+        return None
+    return int(str(plan.stats().sizeInBytes()))
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only behind a proven bound: the optimiser's upper-bound size
+    estimate when it is one and small enough (no job), else a row count that stops after
+    ``max_rows + 1`` rows. Otherwise leave the join to the planner (sort-merge, or AQE's
+    runtime broadcast when the shuffled side turns out small)."""
+    ub = size_upper_bound(df)
+    if ub is not None and ub <= max_bytes:
+        return F.broadcast(df)
     return F.broadcast(df) if row_bound_ok(df, max_rows) else df
 
 
