@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import anomaly, forecast, history
 from ..operators.flows import zone_lookup
 from ..sources import sinks
+from .tumbling import state_partitions
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -61,7 +62,9 @@ class LiveDetector:
         return f"{self.base}/snapshot"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        # The micro-batch belongs to the stream's cloned session, which runs without AQE;
+        # the tables are read through the caller's session so their batch jobs keep it.
+        spark = self.zones.sparkSession
         _write_partition(batch.select("interval_start", "flow_type", "zone_id", "flow"), self.windows_path, batch_id)
         stored = _read(spark, self.windows_path)
         if stored is None:
@@ -90,11 +93,13 @@ class LiveDetector:
         sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
 
 
-def start_live(closed_windows: DataFrame, detector: LiveDetector, checkpoint: str, available_now: bool = True):
+def start_live(closed_windows: DataFrame, detector: LiveDetector, checkpoint: str, available_now: bool = True,
+               n_state_partitions: int | None = None):
     """Run ``detector`` on every micro-batch of closed windows (append output mode)."""
     w = closed_windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(detector)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    return w.start()
+    with state_partitions(closed_windows.sparkSession, n_state_partitions):
+        return w.start()
 
 
 def read_anomalies(spark: SparkSession, detector: LiveDetector) -> DataFrame:

@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Number of state-store partitions of stateful queries started inside the block.
+
+    Streaming runs without AQE, and the partition count of a stateful operator is fixed
+    when the query first starts (then kept in its checkpoint). It should match the
+    cluster's cores, not a batch-oriented shuffle setting; default ``defaultParallelism``.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def stream_tumbling(events: DataFrame, width: str = "5 minutes", delay: str = "0 seconds",
                     time_col: str = "time", zone_col: str = "region_id") -> DataFrame:
     """``COUNT(*)`` per (window, flow type, zone) with watermark ``max(time) - delay``.
@@ -25,7 +44,8 @@ def stream_tumbling(events: DataFrame, width: str = "5 minutes", delay: str = "0
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
-                 available_now: bool = True, fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, fmt: str = "parquet", query_name: str | None = None,
+                 n_state_partitions: int | None = None) -> StreamingQuery:
     """Append sink with a checkpoint: each closed window is written exactly once, and a
     restart resumes from the checkpoint instead of appending duplicates."""
     w = df.writeStream.outputMode("append").format(fmt).option("path", path).option("checkpointLocation", checkpoint)
@@ -34,7 +54,8 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: list[s
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    return w.start()
+    with state_partitions(df.sparkSession, n_state_partitions):
+        return w.start()
 
 
 def with_date(df: DataFrame) -> DataFrame:
