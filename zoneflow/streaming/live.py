@@ -22,6 +22,7 @@ from .tumbling import state_partitions
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first write."""
     try:
         return spark.read.parquet(path)
     except Exception:  # table not written yet
@@ -62,26 +63,31 @@ class LiveDetector:
         return f"{self.base}/snapshot"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # no window closed in this trigger (also true on its replay)
+            return
         # The micro-batch belongs to the stream's cloned session, which runs without AQE;
         # the tables are read through the caller's session so their batch jobs keep it.
         spark = self.zones.sparkSession
         _write_partition(batch.select("interval_start", "flow_type", "zone_id", "flow"), self.windows_path, batch_id)
-        stored = _read(spark, self.windows_path)
-        if stored is None:
-            return
         # Batches after this id can exist only on a replay; they are ignored.
-        prev_max, lo, new_max = stored.filter(F.col("batch_id") <= batch_id).agg(
-            F.max(F.when(F.col("batch_id") < batch_id, F.col("interval_start"))),
-            F.min("interval_start"), F.max("interval_start")).first()
-        table = stored.filter(F.col("batch_id") <= batch_id).drop("batch_id")
-        if new_max is None or (prev_max is not None and new_max <= prev_max):
+        stored = spark.read.parquet(self.windows_path).filter(F.col("batch_id") <= batch_id)
+        per_type = stored.groupBy("flow_type").agg(
+            F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"),
+            F.max(F.when(F.col("batch_id") < batch_id, F.col("interval_start"))).alias("prev"))
+        rows = per_type.limit(history.MAX_FLOW_TYPES + 1).collect()
+        if len(rows) > history.MAX_FLOW_TYPES:
+            raise ValueError("too many flow types for a channel dimension")
+        types = sorted(r["flow_type"] for r in rows)
+        lo = min(r["lo"] for r in rows)
+        new_max = max(r["hi"] for r in rows)
+        prevs = [r["prev"] for r in rows if r["prev"] is not None]
+        prev_max = max(prevs) if prevs else None
+        if prev_max is not None and new_max <= prev_max:
             return
         # Only the steps closed now, and the n steps before them, are read.
-        start = lo
-        if prev_max is not None:
-            start = max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
+        start = lo if prev_max is None else max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
+        table = stored.drop("batch_id")
         hist = table.filter(F.col("interval_start") >= history.ts_literal(start))
-        types = history._flow_types(table)
         grid = history.dense_grid(hist, None, self.step_seconds, t0=start, t1=new_max, flow_types=types,
                                   zone_rows=self._zone_rows)
         pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
@@ -89,7 +95,14 @@ class LiveDetector:
             pred = pred.filter(F.col("interval_start") > history.ts_literal(prev_max))
         found = anomaly.anomalies(anomaly.residuals(pred), self.zones, self.threshold, self._lookup)
         _write_partition(found, self.anomalies_path, batch_id)
-        last = found.filter(F.col("interval_start") == history.ts_literal(new_max))
+        # The report of the newest step comes back from the partition just written.
+        schema = found.schema.add("batch_id", "long")
+        try:
+            written = spark.read.schema(schema).parquet(self.anomalies_path)
+        except Exception:  # nothing written yet: no anomaly so far
+            written = spark.createDataFrame([], schema)
+        last = (written.filter((F.col("batch_id") == batch_id)
+                               & (F.col("interval_start") == history.ts_literal(new_max))).drop("batch_id"))
         sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
 
 
