@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import events as ev
-from ..operators import anomaly, flows, forecast, graph, history, trips
+from ..functions import geo
 from ..functions.numeric import quantize
+from ..operators import anomaly, flows, forecast, graph, history, spatial, trips
+from ..operators import events as ev
 from ..session import checkpoint_table
 from ..sources import files
 from ..sources import testdata as td
@@ -387,9 +388,6 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- spatial ---------------------------------------------------------------------------
 
-from ..functions import geo  # noqa: E402
-from ..operators import spatial  # noqa: E402
-
 
 def area_shapes(spark, d) -> DataFrame:
     return spatial.restrict_shapes(td.zone_shapes(spark, d), td.area(spark, d))

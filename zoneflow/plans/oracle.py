@@ -6,6 +6,7 @@ Every computed column carries the same alias as on the Spark side; doubles are r
 
 from __future__ import annotations
 
+from ..functions import geo as _geo
 from ..functions.numeric import quantize_sql
 
 ORACLE: dict[str, str] = {}
@@ -293,7 +294,6 @@ q("stream_tumbling", """SELECT * FROM (
   WHERE interval_start + INTERVAL 5 MINUTE <= (SELECT max(time) FROM ev)""")
 
 # ---- spatial ---------------------------------------------------------------------------
-from ..functions import geo as _geo  # noqa: E402
 
 
 def _frac(e: str) -> str:
