@@ -355,3 +355,8 @@ q("stream_source", "SELECT * FROM fe")
 
 for _k in list(ORACLE):
     ORACLE[_k] = snap_rounding(ORACLE[_k])
+
+# The per-block pandas scorer runs the same horizon-1 diffusion forecast.
+qf("score_windows", "SELECT flow_type, interval_start, zone_id, actual, forecast FROM pred")
+for _k in ("score_windows",):
+    ORACLE[_k] = snap_rounding(ORACLE[_k])
