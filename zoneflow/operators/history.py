@@ -74,11 +74,24 @@ def dense_grid(windows: DataFrame, zones: DataFrame | None, step_seconds: int, t
     the full key; zones outside the dimension are not in the grid (they are rejects).
     """
     spark = windows.sparkSession
-    if t0 is None or t1 is None:
-        lo, hi = windows.agg(F.min("interval_start"), F.max("interval_start")).first()
-        t0 = lo if t0 is None else t0
-        t1 = hi if t1 is None else t1
-    types = flow_types if flow_types is not None else _flow_types(windows)
+    if flow_types is None:
+        # One job: per-channel time range (at most MAX_FLOW_TYPES rows) gives the channel
+        # names and the overall range together.
+        per_type = windows.groupBy("flow_type").agg(F.min("interval_start").alias("lo"),
+                                                    F.max("interval_start").alias("hi"))
+        rows = per_type.limit(MAX_FLOW_TYPES + 1).collect()
+        if len(rows) > MAX_FLOW_TYPES:
+            raise ValueError(f"more than {MAX_FLOW_TYPES} flow types: not a channel dimension")
+        rows = [r for r in rows if r["flow_type"] is not None]
+        types = sorted(r["flow_type"] for r in rows)
+        t0 = min((r["lo"] for r in rows), default=None) if t0 is None else t0
+        t1 = max((r["hi"] for r in rows), default=None) if t1 is None else t1
+    else:
+        types = flow_types
+        if t0 is None or t1 is None:
+            lo, hi = windows.agg(F.min("interval_start"), F.max("interval_start")).first()
+            t0 = lo if t0 is None else t0
+            t1 = hi if t1 is None else t1
     zone_rows = zone_rows if zone_rows is not None else _zone_rows(zones)
     if t0 is None or t1 is None or not types or not zone_rows:
         return windows.sparkSession.createDataFrame(
