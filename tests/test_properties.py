@@ -42,14 +42,12 @@ def test_history_is_ordered_oldest_first(spark):
 
 def test_numpy_block_scorer_matches_join_forecast(spark):
     """The same horizon-1 diffusion, once as joins and once per block in pandas."""
-    zone_ids = [r[0] for r in td.zone_dim(spark, D).select("zone_id").orderBy("zone_id").collect()]
     p = c.p_edges(spark, D)
     g = c.day_grid(spark, D)
     a = {(r["flow_type"], r["interval_start"], r["zone_id"]): r["forecast"]
          for r in forecast.next_step(g, p).collect()}
     b = {(r["flow_type"], r["interval_start"], r["zone_id"]): r["forecast"]
-         for r in forecast.score_windows(g, forecast.diffusion_scorer(forecast.dense_transition(p, zone_ids),
-                                                                      zone_ids)).collect()}
+         for r in forecast.score_windows(g, forecast.diffusion_scorer(), p_edges=p).collect()}
     assert a == b and len(a) > 0
 
 

@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import broadcast_if_bounded, row_bound_ok
+from ..session import broadcast_if_bounded
 from .history import add_seconds, with_history
 
 MAX_SUPPORT_ROWS = 2_000_000
-MAX_DENSE_NODES = 5_000
+MAX_GRAPH_NODES = 100_000
 KEYS = ["flow_type", "interval_start"]
 
 
@@ -75,7 +75,7 @@ def transition_table(p_edges: DataFrame) -> DataFrame:
     by_dst = p_edges.groupBy(F.col("dst").cast("long").alias("_j")).agg(
         F.collect_list(F.struct(F.col("src").cast("long").alias("_i"), F.col("w").cast("double").alias("_w")))
         .alias("_in"))
-    return broadcast_if_bounded(by_dst, MAX_DENSE_NODES)
+    return broadcast_if_bounded(by_dst, MAX_GRAPH_NODES)
 
 
 def diffusion_forecast(grid: DataFrame, p_edges: DataFrame, step_seconds: int, horizon: int = 3,
@@ -155,42 +155,42 @@ def fitted_forecast(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> Da
 
 # ---- any pandas scoring function over (flow type, step) blocks ------------------------
 
-def dense_transition(p_edges: DataFrame, zone_ids: list[int]) -> np.ndarray:
-    """Transition matrix as a dense N x N array (N = zone dimension, checked)."""
-    if len(zone_ids) > MAX_DENSE_NODES or not row_bound_ok(p_edges, MAX_SUPPORT_ROWS):
-        raise ValueError("graph too large for a dense per-block model")
-    pos = {z: i for i, z in enumerate(zone_ids)}
-    m = np.zeros((len(zone_ids), len(zone_ids)))
-    for r in p_edges.select("src", "dst", "w").collect():
-        if r[0] in pos and r[1] in pos:
-            m[pos[r[0]], pos[r[1]]] = r[2]
-    return m
-
-
-def diffusion_scorer(p: np.ndarray, zone_ids: list[int], a: float = 0.5, b: float = 0.5) -> Callable:
-    """numpy form of the horizon-1 diffusion forecast for one (N zones x 12 steps) block."""
-    pos = {z: i for i, z in enumerate(zone_ids)}
+def diffusion_scorer(a: float = 0.5, b: float = 0.5) -> Callable:
+    """pandas form of the horizon-1 diffusion forecast for one (N zones x 12 steps) block.
 
+    Each row carries its zone's in-neighbour list ``_in = [(i, P_ij)]`` (attached by
+    ``score_windows``), so the block holds everything it needs; nothing comes from the driver.
+    """
     def score(block: pd.DataFrame) -> pd.Series:
         hist = np.stack(block["history"].to_numpy()).astype(float)      # (zones, 12)
         mu = hist.mean(axis=1)
         sd = hist.std(axis=1)
         sd[sd == 0] = 1.0
         z = (hist[:, -1] - mu) / sd
-        idx = np.array([pos[z_] for z_ in block["zone_id"]])
-        full = np.zeros(len(zone_ids))
-        full[idx] = z
-        z1 = a * z + b * (p[idx] @ full)
-        snapped = np.floor((z1 * sd + mu) * 2.0 ** 20 + 0.5) / 2.0 ** 20
+        pos = {zone: k for k, zone in enumerate(block["zone_id"].to_numpy())}
+        acc = a * z
+        for j, nbrs in enumerate(block["_in"].to_numpy()):
+            if nbrs is None:
+                continue
+            for e in nbrs:
+                i = pos.get(e["_i"])
+                if i is not None:
+                    acc[i] += b * e["_w"] * z[j]
+        snapped = np.floor((acc * sd + mu) * 2.0 ** 20 + 0.5) / 2.0 ** 20
         return pd.Series(np.trunc(snapped).astype("int64"), index=block.index)
 
     return score
 
 
-def score_windows(grid: DataFrame, score: Callable[[pd.DataFrame], pd.Series], n: int = 12) -> DataFrame:
+def score_windows(grid: DataFrame, score: Callable[[pd.DataFrame], pd.Series], n: int = 12,
+                  p_edges: DataFrame | None = None) -> DataFrame:
     """Apply ``score`` to every (flow type, step) block: one group holds the N zones of the
-    zone dimension with their previous ``n`` flows (``history``), so groups stay bounded by N."""
+    zone dimension with their previous ``n`` flows (``history``) and, when ``p_edges`` is
+    given, their in-neighbour lists ``_in`` (broadcast join), so groups stay bounded by N."""
     h = with_history(grid, n).select(*KEYS, "zone_id", F.col("flow").alias("actual"), "history")
+    if p_edges is not None:
+        p = transition_table(p_edges)
+        h = h.join(p, h["zone_id"] == p["_j"], "left").drop("_j")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pdf[["flow_type", "interval_start", "zone_id", "actual"]].copy()

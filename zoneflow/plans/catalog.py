@@ -352,9 +352,7 @@ def q_forecast_fitted(spark, d):
 
 @query("score_windows")
 def q_score_windows(spark, d):
-    zone_ids = [r[0] for r in td.zone_dim(spark, d).select("zone_id").orderBy("zone_id").collect()]
-    p = forecast.dense_transition(p_edges(spark, d), zone_ids)
-    return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(p, zone_ids))
+    return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(), p_edges=p_edges(spark, d))
 
 
 def total_grid(spark, d) -> DataFrame:
