@@ -25,7 +25,6 @@ from ..session import broadcast_if_bounded
 from .history import add_seconds, with_history
 
 MAX_SUPPORT_ROWS = 2_000_000
-MAX_GRAPH_NODES = 100_000
 KEYS = ["flow_type", "interval_start"]
 
 
@@ -68,14 +67,14 @@ def diffuse_step(state: DataFrame, p: DataFrame, a: float, b: float, carry: tupl
 
 def transition_table(p_edges: DataFrame) -> DataFrame:
     """P grouped by destination: ``_j, _in = [(i, P_ij)]`` (N rows of at most N entries),
-    broadcast behind its row bound. Pass the result to the forecast functions to decide
+    broadcast only when P has at most MAX_SUPPORT_ROWS cells. Pass the result to the forecast functions to decide
     this once."""
     if set(p_edges.columns) == {"_j", "_in"}:
         return p_edges
     by_dst = p_edges.groupBy(F.col("dst").cast("long").alias("_j")).agg(
         F.collect_list(F.struct(F.col("src").cast("long").alias("_i"), F.col("w").cast("double").alias("_w")))
         .alias("_in"))
-    return broadcast_if_bounded(by_dst, MAX_GRAPH_NODES)
+    return broadcast_if_bounded(by_dst, MAX_SUPPORT_ROWS, count_df=p_edges)
 
 
 def diffusion_forecast(grid: DataFrame, p_edges: DataFrame, step_seconds: int, horizon: int = 3,

@@ -218,7 +218,7 @@ def diffusion(signal: DataFrame, sup: DataFrame, keys: list[str], zone_col: str
         sup.groupBy(F.col("dst").cast("long").alias("_j")).agg(
             F.collect_list(F.struct(F.col("k").cast("long").alias("k"), F.col("src").cast("long").alias("i"),
                                     F.col("w").cast("double").alias("w"))).alias("_cells")),
-        MAX_BROADCAST_ROWS)
+        MAX_BROADCAST_ROWS, count_df=sup)
     sig = signal.select(*keys, F.col(zone_col).cast("long").alias("_z"), F.col(value_col).cast("double").alias("_x"))
     j = sig.join(cols, sig["_z"] == cols["_j"], "left")
     cells = F.transform(F.coalesce(F.col("_cells"), F.array().cast("array<struct<k:bigint,i:bigint,w:double>>")),

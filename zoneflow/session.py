@@ -99,8 +99,11 @@ def bounded_values(df: DataFrame, max_rows: int) -> list:
 
 # Plan nodes whose size statistic is not an upper bound of their output (they can emit
 # more rows than they read); with one of them in the plan the estimate proves nothing.
+# The same holds for aggregates that collect rows into arrays: their byte estimate uses a
+# nominal array width, not the collected size.
 _ROW_MULTIPLYING = ("Generate", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas",
-                    "MapPartitions", "MapElements", "FlatMapGroupsInPandasWithState", "PythonMapInArrow")
+                    "MapPartitions", "MapElements", "FlatMapGroupsInPandasWithState", "PythonMapInArrow",
+                    "collect_list", "collect_set")
 BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 
 
@@ -115,15 +118,18 @@ def size_upper_bound(df: DataFrame) -> int | None:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES,
+                         count_df: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only behind a proven bound: the optimiser's upper-bound size
     estimate when it is one and small enough (no job), else a row count that stops after
-    ``max_rows + 1`` rows. Otherwise leave the join to the planner (sort-merge, or AQE's
-    runtime broadcast when the shuffled side turns out small)."""
+    ``max_rows + 1`` rows. When ``df`` holds arrays, ``count_df`` is the un-grouped table
+    whose rows are the array entries, so the count bounds the size and not just the rows.
+    Otherwise leave the join to the planner (sort-merge, or AQE's runtime broadcast when
+    the shuffled side turns out small)."""
     ub = size_upper_bound(df)
     if ub is not None and ub <= max_bytes:
         return F.broadcast(df)
-    return F.broadcast(df) if row_bound_ok(df, max_rows) else df
+    return F.broadcast(df) if row_bound_ok(count_df if count_df is not None else df, max_rows) else df
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
