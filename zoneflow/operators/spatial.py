@@ -54,9 +54,10 @@ def assign_zone(points: DataFrame, x: str, y: str, shapes: DataFrame | None, out
                 index: DataFrame | None = None) -> DataFrame:
     """Adds ``out`` = the smallest zone id whose polygon strictly contains (x, y), or null.
 
-    The point's grid cell is an equi-join key against the broadcast cell index (checked
-    bound), so points are never shuffled and no point x polygon product is formed; the
-    exact test then runs only on the few candidates of that cell.
+    The point's grid cell is an equi-join key against the cell index, so no point x
+    polygon product is formed and the exact test runs only on the few candidates of that
+    cell. While the index is within its broadcast bound (``zone_index``) the points are
+    not shuffled; beyond it the join shuffles by cell.
     """
     idx = index if index is not None else zone_index(shapes, cell)
     pts = points.withColumn("_cx", F.floor(F.col(x) / cell)).withColumn("_cy", F.floor(F.col(y) / cell))

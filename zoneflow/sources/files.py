@@ -69,8 +69,8 @@ def wide_to_edges(wide: DataFrame, row_col: str, value_cols: list[str], col_ids:
 def window_step_filter(interval_col: Column, t0: Column, step_seconds: int, first: int, n: int) -> Column:
     """Predicate selecting the steps ``first .. first+n-1`` counted from ``t0``.
 
-    Written as a range on the timestamp column itself, so it prunes date partitions and
-    pushes into the parquet scan.
+    A range on the timestamp column itself, pushed into the parquet scan (row-group
+    statistics); ``load_history`` / ``load_step`` add the day-partition filter.
     """
     lo = t0 + F.make_dt_interval(secs=F.lit(step_seconds * first))
     hi = t0 + F.make_dt_interval(secs=F.lit(step_seconds * (first + n)))
