@@ -1,12 +1,12 @@
 """Session settings and small plan helpers shared by every module.
 
-Nothing here holds data: the helpers only build sessions, read settings and decide
-between a broadcast and a shuffled join from a proven row bound.
+Nothing here holds data: the helpers build sessions, locate the shared checkpoint folder,
+write small reused tables there, fetch dimension-sized lists under a bound, and decide
+between a broadcast and a shuffled join from a proven size or row bound.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,12 +55,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only pick our own folder when the
-    setting is absent (local tests).
+    A cluster names it in ``spark.checkpoint.dir``. Only a local-mode session without the
+    setting (tests) gets a folder of our own; on a cluster a missing setting is an error,
+    since a machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS, object store, ...)")
         d = tempfile.mkdtemp(prefix="zoneflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -74,11 +77,6 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "zoneflow", *parts, uuid.uuid4().hex])
 
 
-def local_scratch(prefix: str = "zoneflow-") -> str:
-    """Only for unit-test fixtures written by the test itself."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("ZONEFLOW_SCRATCH"))
-
-
 def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` provably has at most ``max_rows`` rows.
 
