@@ -82,8 +82,11 @@ def assign_trip_zones(bike: DataFrame, shapes: DataFrame, cell: float = 5000.0)
     return pts.dropna(how="any", subset=["pu_zone", "do_zone"]).drop("_sx", "_sy", "_ex", "_ey")
 
 
-def geo_points(df: DataFrame, lat: str, lon: str, out: str = "location") -> DataFrame:
-    """(lat, lon) pair as a map-ready geo point struct."""
+def geo_points(df: DataFrame, lat: str, lon: str, out: str = "location", as_text: bool = False) -> DataFrame:
+    """(lat, lon) pair as a map-ready geo point: a struct, or with ``as_text`` the
+    ``"lat,lon"`` text form (6 decimals) that map indexes accept for geo points."""
+    if as_text:
+        return df.withColumn(out, F.format_string("%.6f,%.6f", F.col(lat), F.col(lon)))
     return df.withColumn(out, F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")))
 
 

@@ -417,7 +417,7 @@ def q_zone_assign(spark, d):
 @query("geo_points")
 def q_geo_points(spark, d):
     b = assigned_bike(spark, d)
-    return spatial.geo_points(b, "start station latitude", "start station longitude").select(
+    return spatial.geo_points(b, "start station latitude", "start station longitude", as_text=True).select(
         "starttime", "pu_zone", "location")
 
 

@@ -344,6 +344,8 @@ qs("project_points", """SELECT starttime, round(slat, 6) AS lat, round(slon, 6)
 qs("zone_shapes", "SELECT * FROM summary")
 qs("zone_assign", """SELECT starttime, stoptime, pu_zone, do_zone FROM assigned
   WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
+qs("geo_points", """SELECT starttime, pu_zone, printf('%.6f,%.6f', slat, slon) AS location FROM assigned
+  WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
 qs("flow_map", "SELECT w.*, s.n_vertices, s.xmin, s.xmax, s.ymin, s.ymax FROM w JOIN summary s USING (zone_id)")
 qs("alias_union", "SELECT * FROM w UNION ALL BY NAME SELECT * FROM summary")
 qs("stream_passthrough", """SELECT starttime, stoptime, round(slat, 6) AS "start station latitude",
