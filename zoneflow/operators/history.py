@@ -112,11 +112,12 @@ def dense_grid(windows: DataFrame, zones: DataFrame | None, step_seconds: int, t
                     F.coalesce(F.col("flow"), F.lit(0)).cast("long").alias("flow")))
 
 
-def flow_matrix(grid: DataFrame, zone_ids: list[int]) -> DataFrame:
-    """Long grid -> one row per (flow type, step) and one column ``z<zone>`` per zone."""
-    wide = grid.groupBy("flow_type", "interval_start").pivot("zone_id", zone_ids).agg(F.sum("flow"))
+def flow_matrix(grid: DataFrame, graph_ids: list[int]) -> DataFrame:
+    """Long grid -> one row per (flow type, step) and one column ``g<graph id>`` per zone,
+    in graph-index order (the column layout of the (T x N) flow matrix)."""
+    wide = grid.groupBy("flow_type", "interval_start").pivot("graph_id", graph_ids).agg(F.sum("flow"))
     return wide.select("flow_type", "interval_start",
-                       *[F.coalesce(F.col(str(z)), F.lit(0)).cast("long").alias(f"z{z}") for z in zone_ids])
+                       *[F.coalesce(F.col(str(g)), F.lit(0)).cast("long").alias(f"g{g}") for g in graph_ids])
 
 
 def flow_channels(grid: DataFrame, flow_types: list[str]) -> DataFrame:

@@ -176,8 +176,8 @@ def q_dense_grid(spark, d):
 
 @query("flow_matrix")
 def q_flow_matrix(spark, d):
-    zone_ids = [r[0] for r in td.zone_dim(spark, d).select("zone_id").orderBy("zone_id").collect()]
-    return history.flow_matrix(day_grid(spark, d), zone_ids)
+    graph_ids = [g for _, g in history.zone_list(td.zone_dim(spark, d))]
+    return history.flow_matrix(day_grid(spark, d), sorted(graph_ids))
 
 
 @query("flow_channels")
@@ -232,7 +232,7 @@ def event_supports(spark, d, materialize: bool = False) -> DataFrame:
 @query("adjacency_edges")
 def q_adjacency_edges(spark, d):
     """OD graph written as a wide matrix (one column per destination), read back as edges."""
-    zone_ids = [r[0] for r in td.zone_dim(spark, d).select("zone_id").orderBy("zone_id").collect()]
+    zone_ids = sorted(z for z, _ in history.zone_list(td.zone_dim(spark, d)))
     wide = (od_edges(spark, d).groupBy("src").pivot("dst", zone_ids).agg(F.sum("w")))
     wide = nodes(spark, d).join(wide, F.col("node") == F.col("src"), "left").drop("src")
     return files.wide_to_edges(wide, "node", [str(z) for z in zone_ids], zone_ids)

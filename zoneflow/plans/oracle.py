@@ -137,7 +137,7 @@ q("load_step", "SELECT w.* FROM w, rng WHERE w.interval_start = rng.t0 + INTERVA
 q("bounded_fetch", "SELECT * FROM w ORDER BY interval_start, flow_type, zone_id LIMIT 1000")
 q("dense_grid", "SELECT * FROM grid")
 q("flow_matrix", "SELECT flow_type, interval_start, "
-  + ", ".join(f"CAST(coalesce(sum(CASE WHEN zone_id = {z} THEN flow END), 0) AS BIGINT) AS z{z}" for z in range(25))
+  + ", ".join(f"CAST(coalesce(sum(CASE WHEN graph_id = {g} THEN flow END), 0) AS BIGINT) AS g{g}" for g in range(25))
   + " FROM grid GROUP BY flow_type, interval_start")
 q("flow_channels", "SELECT interval_start, zone_id, "
   + ", ".join(f"CAST(coalesce(sum(CASE WHEN flow_type = '{t}' THEN flow END), 0) AS BIGINT) AS \"{t}\""
