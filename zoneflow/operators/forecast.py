@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import broadcast_if_bounded
-from .history import add_seconds, with_history
+from ..session import bounded_values, broadcast_if_bounded
+from .history import MAX_FLOW_TYPES, add_seconds, with_history
 
 MAX_SUPPORT_ROWS = 2_000_000
 KEYS = ["flow_type", "interval_start"]
@@ -139,9 +139,8 @@ def fitted_forecast(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> Da
                          array_to_vector(F.concat(F.transform("lags", lambda x: x.cast("double")),
                                                   F.array("neigh"))).alias("features"))
     cut_c = F.lit(str(cut)).cast("timestamp_ntz")
-    types = [r[0] for r in feats.select("flow_type").distinct().collect()]
     out = None
-    for t in sorted(types):
+    for t in bounded_values(feats.select("flow_type").distinct(), MAX_FLOW_TYPES):
         part = feats.filter(F.col("flow_type") == t)
         model = LinearRegression(maxIter=50, regParam=0.0, solver="normal").fit(
             part.filter(F.col("interval_start") < cut_c))

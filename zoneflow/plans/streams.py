@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import shared_path
+from ..session import bounded_values, shared_path
 from ..sources import sinks
 from ..sources import testdata as td
 from ..streaming import live, source, tumbling
@@ -19,6 +19,7 @@ from . import catalog
 from .catalog import DAY, query
 
 REPLAY_CHUNK_DAYS = 6
+MAX_REPLAY_CHUNKS = 100_000
 
 
 publish_to_files = sinks.write_event_log
@@ -44,7 +45,7 @@ def replay_chunks(events: DataFrame, path: str, chunk_days: int):
     t0 = events.agg(F.min("time")).scalar()
     chunk = F.floor(F.timestamp_diff("DAY", t0, F.col("time")) / chunk_days).cast("long")
     tagged = events.withColumn("_chunk", chunk)
-    ids = sorted(r[0] for r in tagged.select("_chunk").distinct().collect() if r[0] is not None)
+    ids = bounded_values(tagged.select("_chunk").distinct(), MAX_REPLAY_CHUNKS)
     for c in ids:
         tagged.filter(F.col("_chunk") == c).drop("_chunk").write.mode("append").parquet(path)
         yield c
