@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly, forecast, history
 from ..operators.flows import zone_lookup
+from ..session import bounded_values
 from ..sources import sinks
 from .tumbling import state_partitions
 
@@ -54,6 +55,10 @@ class LiveDetector:
     def windows_path(self) -> str:
         return f"{self.base}/windows"
 
+    @property
+    def progress_path(self) -> str:
+        return f"{self.base}/progress"
+
     @property
     def anomalies_path(self) -> str:
         return f"{self.base}/anomalies"
@@ -62,32 +67,52 @@ class LiveDetector:
     def snapshot_path(self) -> str:
         return f"{self.base}/snapshot"
 
+    def _earlier_progress(self, spark: SparkSession, batch_id: int) -> list:
+        """Per flow type, first and last closed step over the batches before ``batch_id``
+        (a few rows per batch, not a scan of the window table)."""
+        try:
+            prog = spark.read.schema(_PROGRESS).parquet(self.progress_path)
+        except Exception:  # first batch
+            return []
+        per_type = (prog.filter(F.col("batch_id") < batch_id).groupBy("flow_type")
+                    .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+        return bounded_values(per_type.select(F.struct("flow_type", "lo", "hi")), history.MAX_FLOW_TYPES)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.select("interval_start", "flow_type", "zone_id", "flow").persist()
+        try:
+            self._run(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _run(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # no window closed in this trigger (also true on its replay)
             return
         # The micro-batch belongs to the stream's cloned session, which runs without AQE;
         # the tables are read through the caller's session so their batch jobs keep it.
         spark = self.zones.sparkSession
-        _write_partition(batch.select("interval_start", "flow_type", "zone_id", "flow"), self.windows_path, batch_id)
-        # Batches after this id can exist only on a replay; they are ignored.
-        stored = spark.read.parquet(self.windows_path).filter(F.col("batch_id") <= batch_id)
-        per_type = stored.groupBy("flow_type").agg(
-            F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"),
-            F.max(F.when(F.col("batch_id") < batch_id, F.col("interval_start"))).alias("prev"))
-        rows = per_type.limit(history.MAX_FLOW_TYPES + 1).collect()
-        if len(rows) > history.MAX_FLOW_TYPES:
-            raise ValueError("too many flow types for a channel dimension")
-        types = sorted(r["flow_type"] for r in rows)
-        lo = min(r["lo"] for r in rows)
-        new_max = max(r["hi"] for r in rows)
-        prevs = [r["prev"] for r in rows if r["prev"] is not None]
-        prev_max = max(prevs) if prevs else None
+        # Windows partitioned by day and batch: a replay overwrites only its own batch, and
+        # the history read below lists only the days it needs.
+        (batch.withColumn("interval_date", F.to_date("interval_start"))
+         .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("interval_date", "batch_id")
+         .parquet(self.windows_path))
+        now = batch.groupBy("flow_type").agg(F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"))
+        now_rows = bounded_values(now.select(F.struct("flow_type", "lo", "hi")), history.MAX_FLOW_TYPES)
+        _write_partition(spark.createDataFrame(now_rows, _PROGRESS_ROW), self.progress_path, batch_id)
+        before = self._earlier_progress(spark, batch_id)
+        types = sorted({r[0] for r in now_rows} | {r[0] for r in before})
+        lo = min(r[1] for r in [*now_rows, *before])
+        new_max = max(r[2] for r in [*now_rows, *before])
+        prev_max = max((r[2] for r in before), default=None)
         if prev_max is not None and new_max <= prev_max:
             return
         # Only the steps closed now, and the n steps before them, are read.
         start = lo if prev_max is None else max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
-        table = stored.drop("batch_id")
-        hist = table.filter(F.col("interval_start") >= history.ts_literal(start))
+        hist = (spark.read.parquet(self.windows_path)
+                .filter((F.col("interval_date") >= F.lit(start.date())) & (F.col("batch_id") <= batch_id)
+                        & (F.col("interval_start") >= history.ts_literal(start)))
+                .drop("interval_date", "batch_id"))
         grid = history.dense_grid(hist, None, self.step_seconds, t0=start, t1=new_max, flow_types=types,
                                   zone_rows=self._zone_rows)
         pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
@@ -106,6 +131,10 @@ class LiveDetector:
         sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
 
 
+_PROGRESS_ROW = "flow_type string, lo timestamp_ntz, hi timestamp_ntz"
+_PROGRESS = "flow_type string, lo timestamp_ntz, hi timestamp_ntz, batch_id bigint"
+
+
 def start_live(closed_windows: DataFrame, detector: LiveDetector, checkpoint: str, available_now: bool = True,
                n_state_partitions: int | None = None):
     """Run ``detector`` on every micro-batch of closed windows (append output mode)."""
