@@ -65,3 +65,28 @@ def test_batch_partitions_are_idempotent(spark, scratch):
     sinks.write_batch_partition(df.limit(1), f"{scratch}/t", 1)
     t = spark.read.parquet(f"{scratch}/t")
     assert t.filter("batch_id = 0").count() == 2 and t.count() == 3
+
+
+def test_readme_batch_chain_runs(spark, scratch):
+    from zoneflow.operators import anomaly, events, flows, forecast, graph, history
+
+    rows = []
+    for k in range(40):   # 40 five-minute steps of trips between two zones
+        m = 5 * k
+        rows.append(f"1,2019-02-01 {m // 60:02d}:{m % 60:02d}:00,2019-02-01 {m // 60:02d}:{m % 60:02d}:30,"
+                    f"1,1.0,1,N,{4 if k % 2 else 12},{12 if k % 2 else 4},1,5,0,0.5,0,0,0.3,6,0")
+    with open(f"{scratch}/taxi.csv", "w") as f:
+        f.write(TAXI_HEADER + "\n" + "\n".join(rows) + "\n")
+    with open(f"{scratch}/zones.csv", "w") as f:
+        f.write("zone_id,graph_id,zone_name\n4,0,Alphabet City\n12,1,Battery Park\n")
+    raw = files.read_taxi_trips(spark, f"{scratch}/taxi.csv")
+    zones = files.read_zones(spark, f"{scratch}/zones.csv")
+    clean = trips.clean_trips(trips.taxi_trips(raw), zones, "2019-02-01", "2019-03-01")
+    windows = flows.tumbling_flow(events.trips_to_events(clean), "5 minutes")
+    grid = history.dense_grid(windows, zones, 300)
+    p = graph.transition(graph.od_graph(clean))
+    pred = forecast.next_step(grid, p)
+    report = anomaly.anomalies(anomaly.residuals(pred), zones, threshold=10)
+    assert grid.count() == 40 * 2 * 2          # steps x zones x flow types
+    assert pred.count() == (40 - 12) * 2 * 2
+    assert report.count() == 0                 # flows of 0/1 never differ by more than 10
