@@ -142,7 +142,7 @@ def fitted_forecast(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> Da
     out = None
     for t in bounded_values(feats.select("flow_type").distinct(), MAX_FLOW_TYPES):
         part = feats.filter(F.col("flow_type") == t)
-        model = LinearRegression(maxIter=50, regParam=0.0, solver="normal").fit(
+        model = LinearRegression(maxIter=50, regParam=0.0, solver="auto").fit(
             part.filter(F.col("interval_start") < cut_c))
         pred = model.transform(part.filter(F.col("interval_start") >= cut_c)).select(
             *KEYS, "zone_id", F.col("label").cast("long").alias("actual"),
