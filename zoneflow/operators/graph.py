@@ -2,7 +2,8 @@
 
 Cells absent from the table are 0. Results keep only non-zero cells. Node sets are
 zone dimensions; edge tables are at most N^2 rows, and the degree / support tables that
-every product joins against are broadcast only behind a checked row bound.
+every product joins against are broadcast only behind a proven size bound (see
+``session.broadcast_if_bounded``).
 """
 
 from __future__ import annotations

@@ -46,7 +46,7 @@ class LiveDetector:
 
     def __post_init__(self) -> None:
         # Decided once for the whole stream: the zone list of the grid, the broadcast of
-        # the zone lookup and of the transition matrix (each behind its row bound).
+        # the zone lookup and of the transition matrix (each behind its proven size bound).
         self._zone_rows = history.zone_list(self.zones)
         self._lookup = zone_lookup(self.zones)
         self._p = forecast.transition_table(self.p_edges)
