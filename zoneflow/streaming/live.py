@@ -50,6 +50,10 @@ class LiveDetector:
         self._zone_rows = history.zone_list(self.zones)
         self._lookup = zone_lookup(self.zones)
         self._p = forecast.transition_table(self.p_edges)
+        # (k, rows): per flow type first/last step over every batch <= k, kept by this
+        # instance after finishing batch k. Used only for batch k + 1; after a restart, a
+        # failed batch or a replay the progress table is read instead.
+        self._seen: tuple[int, list] | None = None
 
     @property
     def windows_path(self) -> str:
@@ -70,6 +74,8 @@ class LiveDetector:
     def _earlier_progress(self, spark: SparkSession, batch_id: int) -> list:
         """Per flow type, first and last closed step over the batches before ``batch_id``
         (a few rows per batch, not a scan of the window table)."""
+        if self._seen is not None and self._seen[0] == batch_id - 1:
+            return self._seen[1]
         try:
             prog = spark.read.schema(_PROGRESS).parquet(self.progress_path)
         except Exception:  # first batch
@@ -78,6 +84,13 @@ class LiveDetector:
                     .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
         return bounded_values(per_type.select(F.struct("flow_type", "lo", "hi")), history.MAX_FLOW_TYPES)
 
+    def _remember(self, batch_id: int, before: list, now_rows: list) -> None:
+        merged: dict = {}
+        for t, lo, hi in [*before, *now_rows]:
+            plo, phi = merged.get(t, (lo, hi))
+            merged[t] = (min(plo, lo), max(phi, hi))
+        self._seen = (batch_id, sorted((t, lo, hi) for t, (lo, hi) in merged.items()))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.select("interval_start", "flow_type", "zone_id", "flow").persist()
         try:
@@ -86,26 +99,30 @@ class LiveDetector:
             batch.unpersist()
 
     def _run(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # no window closed in this trigger (also true on its replay)
-            return
         # The micro-batch belongs to the stream's cloned session, which runs without AQE;
         # the tables are read through the caller's session so their batch jobs keep it.
         spark = self.zones.sparkSession
+        now = batch.groupBy("flow_type").agg(F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"))
+        now_rows = [tuple(r) for r in bounded_values(now.select(F.struct("flow_type", "lo", "hi")),
+                                                     history.MAX_FLOW_TYPES)]
+        if not now_rows:  # no window closed in this trigger (also true on its replay)
+            if self._seen is not None and self._seen[0] == batch_id - 1:
+                self._seen = (batch_id, self._seen[1])
+            return
         # Windows partitioned by day and batch: a replay overwrites only its own batch, and
         # the history read below lists only the days it needs.
         (batch.withColumn("interval_date", F.to_date("interval_start"))
          .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("interval_date", "batch_id")
          .parquet(self.windows_path))
-        now = batch.groupBy("flow_type").agg(F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"))
-        now_rows = bounded_values(now.select(F.struct("flow_type", "lo", "hi")), history.MAX_FLOW_TYPES)
         _write_partition(spark.createDataFrame(now_rows, _PROGRESS_ROW), self.progress_path, batch_id)
-        before = self._earlier_progress(spark, batch_id)
+        before = [tuple(r) for r in self._earlier_progress(spark, batch_id)]
         types = sorted({r[0] for r in now_rows} | {r[0] for r in before})
         lo = min(r[1] for r in [*now_rows, *before])
         new_max = max(r[2] for r in [*now_rows, *before])
         prev_max = max((r[2] for r in before), default=None)
         if prev_max is not None and new_max <= prev_max:
+            self._remember(batch_id, before, now_rows)
             return
         # Only the steps closed now, and the n steps before them, are read.
         start = lo if prev_max is None else max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
@@ -129,6 +146,7 @@ class LiveDetector:
         last = (written.filter((F.col("batch_id") == batch_id)
                                & (F.col("interval_start") == history.ts_literal(new_max))).drop("batch_id"))
         sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
+        self._remember(batch_id, before, now_rows)
 
 
 _PROGRESS_ROW = "flow_type string, lo timestamp_ntz, hi timestamp_ntz"
