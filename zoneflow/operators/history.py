@@ -69,9 +69,10 @@ def dense_grid(windows: DataFrame, zones: DataFrame | None, step_seconds: int, t
     """Zero-filled grid ``flow_type x step x zone`` between ``t0`` and ``t1`` (inclusive).
 
     Only scalars reach the driver: the time range (one aggregate row), the zone ids of the
-    dimension and the channel names, each under a checked bound. The grid itself is
-    generated distributed from ``range(steps)`` and left-joined to the observed windows on
-    the full key; zones outside the dimension are not in the grid (they are rejects).
+    dimension and the channel names, each under a checked bound. The grid cells are
+    generated distributed from ``range(steps)``; cells and observed windows are unioned,
+    hash-partitioned once by series and summed per cell. Observed windows outside the grid
+    (zones missing from the dimension: the rejects) are dropped.
     """
     spark = windows.sparkSession
     if flow_types is None:
@@ -102,14 +103,22 @@ def dense_grid(windows: DataFrame, zones: DataFrame | None, step_seconds: int, t
     zone_arr = F.array(*[F.struct(F.lit(z).cast("long").alias("zone_id"), F.lit(g).cast("long").alias("graph_id"))
                          for z, g in zone_rows])
     type_arr = F.array(*[F.lit(t) for t in types])
-    grid = (spark.range(0, n_steps, 1, parts)
-            .select(step_time(ts_literal(t0), F.col("id"), step_seconds).alias("interval_start"),
-                    F.explode(type_arr).alias("flow_type"))
-            .select("flow_type", "interval_start", F.inline(zone_arr)))
-    obs = windows.select("flow_type", "interval_start", "zone_id", "flow")
-    return (grid.join(obs, ["flow_type", "interval_start", "zone_id"], "left")
-            .select("flow_type", "interval_start", "zone_id", "graph_id",
-                    F.coalesce(F.col("flow"), F.lit(0)).cast("long").alias("flow")))
+    cells_df = (spark.range(0, n_steps, 1, parts)
+                .select(step_time(ts_literal(t0), F.col("id"), step_seconds).alias("interval_start"),
+                        F.explode(type_arr).alias("flow_type"))
+                .select("flow_type", "interval_start", F.inline(zone_arr)))
+    zeros = cells_df.select("flow_type", "interval_start", "zone_id", "graph_id",
+                            F.lit(0).cast("long").alias("flow"), F.lit(True).alias("_cell"))
+    obs = (windows.filter(F.col("interval_start").between(ts_literal(t0), ts_literal(t1)))
+           .select("flow_type", "interval_start", F.col("zone_id").cast("long"), F.lit(None).cast("long").alias("graph_id"),
+                   F.col("flow").cast("long"), F.lit(False).alias("_cell")))
+    # One hash partitioning by series (flow type, zone) serves the aggregate below and the
+    # per-series windows that usually follow (history, standardisation): no further shuffle.
+    both = zeros.unionByName(obs).repartition(*SERIES_KEYS)
+    return (both.groupBy("flow_type", "interval_start", "zone_id")
+            .agg(F.sum("flow").alias("flow"), F.max("graph_id").alias("graph_id"), F.max("_cell").alias("_cell"))
+            .filter(F.col("_cell"))
+            .select("flow_type", "interval_start", "zone_id", "graph_id", F.col("flow").cast("long").alias("flow")))
 
 
 def flow_matrix(grid: DataFrame, graph_ids: list[int]) -> DataFrame:
