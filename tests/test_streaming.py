@@ -62,3 +62,30 @@ def test_malformed_rows_go_to_rejects(spark, scratch):
     valid, rejects = source.split_rejects(df)
     assert valid.count() == 3
     assert rejects.count() == 3
+
+
+def test_tail_rows_close_the_last_history_window(spark, scratch):
+    """Without a closing row the last history window stays open; with_tail adds the first
+    live rows, which move the watermark past it."""
+    from pyspark.sql import functions as F
+
+    from zoneflow.operators import events as ev
+
+    hist = spark.createDataFrame([("inflow", "2019-02-01 00:01:00", 4), ("inflow", "2019-02-01 00:06:00", 4)],
+                                 "flow_type string, time string, region_id long") \
+        .withColumn("time", F.col("time").cast("timestamp_ntz"))
+    live_rows = spark.createDataFrame([("inflow", "2019-02-01 00:11:00", 12), ("inflow", "2019-02-01 00:10:00", 12)],
+                                      "flow_type string, time string, region_id long") \
+        .withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+    def run(df, d):
+        df.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "region_id") \
+            .coalesce(1).write.json(f"{d}/in")
+        src = source.event_files(spark, f"{d}/in", "inflow")
+        q = tumbling.start_append(tumbling.stream_tumbling(src, "5 minutes", "0 seconds"), f"{d}/out", f"{d}/ckpt")
+        q.awaitTermination()
+        return sorted((str(r["interval_start"])[11:16], r["zone_id"], r["flow"])
+                      for r in spark.read.parquet(f"{d}/out").collect())
+
+    assert run(hist, f"{scratch}/a") == [("00:00", 4, 1)]
+    assert run(ev.with_tail(hist, live_rows, 1), f"{scratch}/b") == [("00:00", 4, 1), ("00:05", 4, 1)]
