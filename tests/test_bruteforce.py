@@ -100,3 +100,28 @@ def test_point_in_polygon_matches_brute_force(spark, pts):
     for i, (x, y) in enumerate(pts):
         want = 1 if inside_strict(SQUARE, x, y) else (2 if inside_strict(CONCAVE, x, y) else None)
         assert got[i] == want, (x, y, got[i], want)
+
+
+windows_st = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 9), st.integers(0, 6), st.integers(1, 9)),
+                      min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1], r[2]))
+
+
+@SETTINGS
+@given(windows_st, st.integers(0, 3), st.integers(5, 9))
+def test_dense_grid_matches_brute_force(spark, rows, lo, hi):
+    """Zones 0..4 form the dimension (5 and 6 are rejects); the grid spans days lo..hi."""
+    import datetime as dt
+
+    from zoneflow.operators import history
+
+    t0 = dt.datetime(2024, 1, 1)
+    w = spark.createDataFrame([(ft, t0 + dt.timedelta(days=d), z, n) for ft, d, z, n in rows],
+                              "flow_type string, interval_start timestamp_ntz, zone_id long, flow long")
+    zones = spark.createDataFrame([(z, 10 + z, f"z{z}") for z in range(5)], "zone_id long, graph_id long, zone_name string")
+    lo_t, hi_t = t0 + dt.timedelta(days=lo), t0 + dt.timedelta(days=hi)
+    got = {(r["flow_type"], r["interval_start"], r["zone_id"]): (r["graph_id"], r["flow"])
+           for r in history.dense_grid(w, zones, 86400, t0=lo_t, t1=hi_t, flow_types=["a", "b"]).collect()}
+    obs = {(ft, t0 + dt.timedelta(days=d), z): n for ft, d, z, n in rows}
+    want = {(ft, t0 + dt.timedelta(days=d), z): (10 + z, obs.get((ft, t0 + dt.timedelta(days=d), z), 0))
+            for ft in ["a", "b"] for d in range(lo, hi + 1) for z in range(5)}
+    assert got == want
