@@ -27,3 +27,14 @@ def test_clean_trips_pushes_filters_and_prunes_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_shipdate:timestamp_ntz>" in plan
     # the area restriction is a semi-join on the dimension side, below the fact joins
     assert plan.index("LeftSemi") > plan.index("BroadcastHashJoin")
+
+
+def test_history_reuses_the_series_partitioning(spark):
+    """Grid aggregate and history windows run on the single (flow type, zone) shuffle."""
+    import re
+
+    df = E.queries()["standardize"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)[^\n]*", plan)
+    assert len(exchanges) == 2, exchanges
+    assert "REPARTITION_BY_COL" in plan
