@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import line_quality, mixing, packing, url_filter
+from zoneflow.llm import html_extract, language_id, line_quality, mixing, packing, quality_model, topk_search, url_filter, warc
 from zoneflow.llm.common import read
 
 QUERIES = {}
@@ -40,3 +40,35 @@ def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base statistics and verdict."""
     out = line_quality.judge(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors for every vector whose id is divisible by 50."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return topk_search.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score by the rule ensemble."""
+    docs = read(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by the word-level random field."""
+    docs = read(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+@query
+def op4_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through legacy archives, the converter and WARC archives."""
+    return warc.archive_pages(read(spark, sf_dir, "pages"))
