@@ -3,7 +3,9 @@ broadcasts, byte-bounded Arrow slices and the distributed prefix sum."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -85,3 +87,22 @@ def prefix_sums(df: DataFrame, group: str, key: str, value: str, ties: list[str]
     summed = ranged.withColumn("_inside", F.sum(value).over(inside) - F.col(value))
     return (summed.join(bases, [group, "_bin"]).withColumn("before", F.col("_base") + F.col("_inside"))
             .drop("_bin", "_base", "_inside"))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows, for eager jobs whose rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of jobs that are over: it does so when the
+    driver's garbage collector finds their plans unreachable."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

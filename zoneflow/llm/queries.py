@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import html_extract, language_id, line_quality, mixing, packing, quality_model, topk_search, url_filter, warc
+from zoneflow.llm import html_extract, language_id, line_quality, mixing, ngram_join, packing, quality_model, topk_search, url_filter, warc
 from zoneflow.llm.common import read
 
 QUERIES = {}
@@ -72,3 +72,9 @@ def op4_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through legacy archives, the converter and WARC archives."""
     return warc.archive_pages(read(spark, sf_dir, "pages"))
+
+
+@query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate class."""
+    return ngram_join.classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
