@@ -68,18 +68,18 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iter
     yield batch.slice(start)
 
 
-def prefix_sums(df: DataFrame, group: str, key: str, value: str, ties: list[str], rows_per_bin: int = 1000,
-                max_bits: int = 14) -> DataFrame:
+def prefix_sums(df: DataFrame, group: str, key: str, value: str, ties: list[str], key_bits: int = 64,
+                rows_per_bin: int = 1000, max_bits: int = 14) -> DataFrame:
     """Adds ``before`` (sum of ``value`` over the rows of the same ``group`` that come earlier
     by ``key``, then ``ties``) without bringing a group into one task.
 
-    ``df`` is a written table, ``group`` never null and ``key`` a uniform 64-bit hash. The
-    top bits of the key cut every group into ranges of about ``rows_per_bin`` rows; the
+    ``df`` is a written table, ``group`` never null and ``key`` a uniform hash of
+    ``key_bits`` bits (64: signed). The top bits of the key cut every group into ranges of about ``rows_per_bin`` rows; the
     ranges' totals are prefix-summed per group (one row a range, 2^14 a group at most),
     and rows are summed inside their range. Both steps share one shuffle of the rows.
     """
     bits = min(max_bits, max(1, (df.count() // rows_per_bin).bit_length()))
-    ranged = df.withColumn("_bin", F.shiftright(F.col(key), 64 - bits))
+    ranged = df.withColumn("_bin", F.shiftright(F.col(key), key_bits - bits))
     totals = ranged.groupBy(group, "_bin").agg(F.sum(value).alias("_sum"))
     earlier = Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(group, "_bin", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import slices
+from zoneflow.llm.common import sized, slices, written
 
 DOCS_PER_LANGUAGE = 600   # training documents of a language, at most
 TRAIN_CHARS = 1500        # characters of a training document
@@ -224,6 +224,9 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, chars: int
     a language and letters."""
     ready = docs.where("lang is not null and text is not null").where(~is_held_out(F.col("doc_id"))).where(F.rlike(F.col("text"), F.lit(r"\p{L}")))
     ready = ready.select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_h"), F.substring("text", 1, chars).alias("text"))
+    # only the share of the hash range that holds about four times the sample goes on to be ranked
+    share = docs.groupBy("lang").agg(F.least(F.lit(1.0), 4.0 * docs_per_language / F.count(F.lit(1))).alias("_share"))
+    ready = ready.join(sized(written(share, "language-shares")), "lang").where(F.pmod("_h", F.lit(1 << 30)) < F.col("_share") * (1 << 30))
     first = Window.partitionBy("lang").orderBy("_h", "doc_id", "text")
     rows = ready.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= docs_per_language).select("lang", "_n", "text").collect()
     return fit_crf([(words_of(r["text"]), r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["_n"]))])

@@ -30,7 +30,7 @@ STATS = ("rid long, doc_id {id}, g string, text_hash long, n_words long, word_ch
 
 def normal_line(line: str) -> str:
     """Lower case, digits as 0, white space as single blanks."""
-    return re.sub(r"[0-9]+", "0", " ".join(line.lower().split()))
+    return re.sub(r"[0-9]+", "0", re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" "))
 
 
 def line_hash(line: str) -> int:

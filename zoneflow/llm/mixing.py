@@ -6,7 +6,7 @@ Native: DataFrame operations only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.llm.common import group_key, prefix_sums, sized, word_count, written
@@ -44,6 +44,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
                       .otherwise(F.least(shared * F.col("_w"), F.col("_cap").cast("double"))).alias("target"))
 
 
+def hash_key(seed: int) -> Column:
+    """60 bits of the MD5 of seed, id and text, as long."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def mix_plan(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """How many words of each document the mix takes.
 
@@ -58,9 +64,9 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, see
     sizes = written(docs.select("doc_id", "source", group_key(F.col("source")).alias("_g"),
                                 word_count(F.col("text")).alias("size"),
                                 F.xxhash64("text").alias("text_hash"),
-                                F.xxhash64(F.lit(seed), "doc_id", "text").alias("_key")), "mix-sizes")
+                                hash_key(seed).alias("_key")), "mix-sizes")
     targets = sized(written(source_targets(sizes, weights, max_epochs), "mix-targets"))
-    ranked = prefix_sums(sizes, "_g", "_key", "size", ["doc_id", "size"])
+    ranked = prefix_sums(sizes, "_g", "_key", "size", ["doc_id", "size"], key_bits=60)
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = budget - F.col("epochs") * F.col("source_size")

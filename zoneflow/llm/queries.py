@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zoneflow.llm import html_extract, language_id, line_quality, mixing, ngram_join, packing, quality_model, topk_search, url_filter, warc
 from zoneflow.llm.common import read
+from zoneflow.llm.oracle import ORACLE  # noqa: F401  (for __spark_entry__)
 
 QUERIES = {}
-ORACLE = {}
 
 
 def query(fn):
@@ -71,7 +71,7 @@ def op4_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through legacy archives, the converter and WARC archives."""
-    return warc.archive_pages(read(spark, sf_dir, "pages"))
+    return warc.archive_pages(read(spark, sf_dir, "pages")).drop("record_id")
 
 
 @query
