@@ -71,7 +71,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

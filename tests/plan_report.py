@@ -35,7 +35,7 @@ def main() -> None:
     from zoneflow.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     qs = E.queries()
     rows = []
     for k in KEYS:

@@ -36,5 +36,5 @@ def test_history_reuses_the_series_partitioning(spark):
     df = E.queries()["standardize"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)[^\n]*", plan)
-    assert len(exchanges) == 2, exchanges
+    assert len(exchanges) == 1, exchanges  # the counts themselves are in the written window table
     assert "REPARTITION_BY_COL" in plan

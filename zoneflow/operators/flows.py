@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_bounded
-from .trips import MAX_BROADCAST_ZONES
+from ..session import broadcast_if_small
 
 
 def tumbling_flow(events: DataFrame, width: str = "5 minutes", time_col: str = "time",
@@ -23,7 +22,7 @@ def tumbling_flow(events: DataFrame, width: str = "5 minutes", time_col: str = "
 
 
 def zone_lookup(zones: DataFrame) -> DataFrame:
-    return broadcast_if_bounded(zones.select("zone_id", "graph_id", "zone_name"), MAX_BROADCAST_ZONES)
+    return broadcast_if_small(zones.select("zone_id", "graph_id", "zone_name"))
 
 
 def flow_zone_join(flows: DataFrame, zones: DataFrame) -> DataFrame:

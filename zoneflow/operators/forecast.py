@@ -21,10 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import bounded_values, broadcast_if_bounded
-from .history import MAX_FLOW_TYPES, add_seconds, with_history
+from ..session import broadcast_if_small
+from .history import add_seconds, with_history
 
-MAX_SUPPORT_ROWS = 2_000_000
 KEYS = ["flow_type", "interval_start"]
 
 
@@ -36,10 +35,11 @@ def to_count(x) -> F.Column:
 
 def standardized_inputs(grid: DataFrame, n: int = 12) -> DataFrame:
     """Per target step t: actual flow at t, mean / std of the previous n steps and the
-    standardised last step ``z``."""
+    standardised last step ``z``; partitioned by (flow type, step), which every diffusion
+    step then keeps."""
     h = with_history(grid, n)
     return h.select(*KEYS, "zone_id", F.col("flow").alias("actual"), "mu", "sd",
-                    ((F.col("last") - F.col("mu")) / F.col("sd")).alias("z"))
+                    ((F.col("last") - F.col("mu")) / F.col("sd")).alias("z")).repartition(*KEYS)
 
 
 def diffuse_step(state: DataFrame, p: DataFrame, a: float, b: float, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -67,14 +67,14 @@ def diffuse_step(state: DataFrame, p: DataFrame, a: float, b: float, carry: tupl
 
 def transition_table(p_edges: DataFrame) -> DataFrame:
     """P grouped by destination: ``_j, _in = [(i, P_ij)]`` (N rows of at most N entries),
-    broadcast only when P has at most MAX_SUPPORT_ROWS cells. Pass the result to the forecast functions to decide
-    this once."""
+    written once and broadcast if its measured size is small. Pass the result to the
+    forecast functions to decide this once."""
     if set(p_edges.columns) == {"_j", "_in"}:
         return p_edges
     by_dst = p_edges.groupBy(F.col("dst").cast("long").alias("_j")).agg(
         F.collect_list(F.struct(F.col("src").cast("long").alias("_i"), F.col("w").cast("double").alias("_w")))
         .alias("_in"))
-    return broadcast_if_bounded(by_dst, MAX_SUPPORT_ROWS, count_df=p_edges)
+    return broadcast_if_small(by_dst, "transition_table")
 
 
 def diffusion_forecast(grid: DataFrame, p_edges: DataFrame, step_seconds: int, horizon: int = 3,

@@ -2,8 +2,8 @@
 
 Cells absent from the table are 0. Results keep only non-zero cells. Node sets are
 zone dimensions; edge tables are at most N^2 rows, and the degree / support tables that
-every product joins against are broadcast only behind a proven size bound (see
-``session.broadcast_if_bounded``).
+every product joins against are broadcast only if their measured size is small (see
+``session.broadcast_if_small``).
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded_values, broadcast_if_bounded
+from ..session import broadcast_if_small
 
-MAX_BROADCAST_ROWS = 2_000_000
+# Names of the support types (fixed values).
 SUPPORT_KINDS = ("scalap", "normlap", "symnadj", "transition", "doubletransition", "identity")
 
 
@@ -52,12 +52,13 @@ def degrees(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Weighted out-degree ``d_i = sum_j A_ij`` of every node (0 without out-edges)."""
     d = edges.groupBy("src").agg(F.sum("w").alias("degree"))
     return (nodes.select(F.col("node").cast("long"))
-            .join(broadcast_if_bounded(d, MAX_BROADCAST_ROWS), F.col("node") == F.col("src"), "left")
+            .join(broadcast_if_small(d, "degrees"), F.col("node") == F.col("src"), "left")
             .select("node", F.coalesce("degree", F.lit(0.0)).alias("degree")))
 
 
 def _row_sums(edges: DataFrame) -> DataFrame:
-    return broadcast_if_bounded(edges.groupBy("src").agg(F.sum("w").alias("_d")), MAX_BROADCAST_ROWS)
+    """Non-zero row sums; rows with sum 0 have none."""
+    return broadcast_if_small(edges.groupBy("src").agg(F.sum("w").alias("_d")).filter(F.col("_d") != 0.0), "row_sums")
 
 
 def finite(col: Column) -> Column:
@@ -104,7 +105,7 @@ def double_transition(edges: DataFrame) -> DataFrame:
 def _inv_sqrt_degrees(edges: DataFrame) -> DataFrame:
     d = edges.groupBy("src").agg(F.sum("w").alias("d"))
     inv = F.when(F.col("d") > 0, F.lit(1.0) / F.sqrt("d")).otherwise(F.lit(0.0))
-    return broadcast_if_bounded(d.select(F.col("src").alias("node"), inv.alias("inv")), MAX_BROADCAST_ROWS)
+    return broadcast_if_small(d.select(F.col("src").alias("node"), inv.alias("inv")), "inv_sqrt_degrees")
 
 
 def sym_normalize(edges: DataFrame) -> DataFrame:
@@ -172,10 +173,9 @@ def matmul(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("support",)) ->
     kk = list(keys)
     aa = a.select(*[F.col(k).alias(f"_a_{k}") for k in kk], F.col("src").alias("_src"), F.col("dst").alias("_mid"),
                   F.col("w").alias("_aw"))
-    bb = broadcast_if_bounded(
+    bb = broadcast_if_small(
         b.select(*[F.col(k).alias(f"_b_{k}") for k in kk], F.col("src").alias("_bmid"), F.col("dst").alias("_dst"),
-                 F.col("w").alias("_bw")),
-        MAX_BROADCAST_ROWS)
+                 F.col("w").alias("_bw")), "factor")
     cond = [F.col(f"_a_{k}") == F.col(f"_b_{k}") for k in kk] + [F.col("_mid") == F.col("_bmid")]
     j = aa.join(bb, cond)
     return nonzero(j.groupBy(*[F.col(f"_a_{k}").alias(k) for k in kk], F.col("_src").alias("src"),
@@ -188,8 +188,8 @@ def chebyshev_supports(sup: DataFrame, nodes: DataFrame, order: int = 3,
     """Chebyshev polynomials of each support: ``p = S^T``, ``T0 = I``, ``T1 = p``,
     ``Tk = 2 p T(k-1) - T(k-2)``. Output ``k = support * order + degree`` with all
     ``order`` terms of every support (``doubletransition`` -> 6 matrices for order 3)."""
-    ids = support_ids if support_ids is not None else bounded_values(sup.select("support").distinct(), 1_000)
     p = transpose(sup.select("support", "src", "dst", "w")).select("support", "src", "dst", "w")
+    ids = support_ids if support_ids is not None else [r[0] for r in sup.select("support").distinct().collect()]
     eye = identity_edges(nodes).select(F.explode(F.array(*[F.lit(i) for i in ids])).alias("support"),
                                        "src", "dst", "w")
     terms = [eye, p]
@@ -214,13 +214,14 @@ def diffusion(signal: DataFrame, sup: DataFrame, keys: list[str], zone_col: str
     term per support for itself, and one aggregation per (group, k, i) sums them. The
     signal is read once; no node x support product is joined.
     """
-    ks = support_ks if support_ks is not None else bounded_values(sup.select("k").distinct(), 1_000)
-    cols = broadcast_if_bounded(
+    ks = support_ks if support_ks is not None else [r[0] for r in sup.select("k").distinct().collect()]
+    cols = broadcast_if_small(
         sup.groupBy(F.col("dst").cast("long").alias("_j")).agg(
             F.collect_list(F.struct(F.col("k").cast("long").alias("k"), F.col("src").cast("long").alias("i"),
                                     F.col("w").cast("double").alias("w"))).alias("_cells")),
-        MAX_BROADCAST_ROWS, count_df=sup)
+        "support_columns")
     sig = signal.select(*keys, F.col(zone_col).cast("long").alias("_z"), F.col(value_col).cast("double").alias("_x"))
+    sig = sig.repartition(*keys)  # the one shuffle: the aggregation below keeps this partitioning
     j = sig.join(cols, sig["_z"] == cols["_j"], "left")
     cells = F.transform(F.coalesce(F.col("_cells"), F.array().cast("array<struct<k:bigint,i:bigint,w:double>>")),
                         lambda c: F.struct(c["k"].alias("k"), c["i"].alias("i"), (c["w"] * F.col("_x")).alias("v")))

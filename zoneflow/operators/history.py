@@ -8,11 +8,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bounded_values
+from ..session import broadcast_if_small, checkpoint_table
 
-# Number of distinct flow types (channels) a grid may have; a guard, not a cap on data.
-MAX_FLOW_TYPES = 1_000
-MAX_ZONES = 100_000
 GRID_ROWS_PER_PARTITION = 2_000_000
 SERIES_KEYS = ["flow_type", "zone_id"]
 
@@ -50,75 +47,71 @@ def time_steps(windows: DataFrame, step_seconds: int, t0: Column | None = None,
     return out
 
 
-def _flow_types(windows: DataFrame) -> list[str]:
-    return bounded_values(windows.select("flow_type").distinct(), MAX_FLOW_TYPES)
+def _indexed(df: DataFrame, order: str) -> DataFrame:
+    """``df`` (a dimension) with ``_i`` = 0.. in the order of ``order``."""
+    return df.withColumn("_i", (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))
 
 
-def zone_list(zones: DataFrame) -> list[tuple[int, int]]:
-    """``(zone_id, graph_id)`` of a zone dimension, checked against MAX_ZONES."""
-    return _zone_rows(zones)
+def flow_types(windows: DataFrame) -> DataFrame:
+    """Distinct non-null flow types (the channels)."""
+    return windows.select("flow_type").filter(F.col("flow_type").isNotNull()).distinct()
 
 
-def _zone_rows(zones: DataFrame) -> list[tuple[int, int]]:
-    rows = bounded_values(zones.select(F.struct("zone_id", "graph_id")), MAX_ZONES)
-    return sorted((int(r[0]), int(r[1])) for r in rows)
+def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None, t1=None,
+               types: DataFrame | None = None) -> DataFrame:
+    """Zero-filled grid ``flow_type x step x zone`` between ``t0`` and ``t1`` (inclusive;
+    by default the first and last window start).
 
-
-def dense_grid(windows: DataFrame, zones: DataFrame | None, step_seconds: int, t0=None, t1=None,
-               flow_types: list[str] | None = None, zone_rows: list[tuple[int, int]] | None = None) -> DataFrame:
-    """Zero-filled grid ``flow_type x step x zone`` between ``t0`` and ``t1`` (inclusive).
-
-    Only scalars reach the driver: the time range (one aggregate row), the zone ids of the
-    dimension and the channel names, each under a checked bound. The grid cells are
-    generated distributed from ``range(steps)``; cells and observed windows are unioned,
-    hash-partitioned once by series and summed per cell. Observed windows outside the grid
-    (zones missing from the dimension: the rejects) are dropped.
+    Windows are mapped to steps by ``step_number`` and summed, so windows that are finer
+    than the step or off its raster count in the step they start in; those that fit no cell
+    are in ``outside_grid``. Only the time range and the two dimension sizes reach the driver:
+    cells come from one ``range`` whose number is split into step, type and zone index, and
+    meet the dimensions in equi-joins. Cells and windows are unioned, hash-partitioned once
+    by series and summed per cell.
     """
     spark = windows.sparkSession
-    if flow_types is None:
-        # One job: per-channel time range (at most MAX_FLOW_TYPES rows) gives the channel
-        # names and the overall range together.
-        per_type = windows.groupBy("flow_type").agg(F.min("interval_start").alias("lo"),
-                                                    F.max("interval_start").alias("hi"))
-        rows = per_type.limit(MAX_FLOW_TYPES + 1).collect()
-        if len(rows) > MAX_FLOW_TYPES:
-            raise ValueError(f"more than {MAX_FLOW_TYPES} flow types: not a channel dimension")
-        rows = [r for r in rows if r["flow_type"] is not None]
-        types = sorted(r["flow_type"] for r in rows)
-        t0 = min((r["lo"] for r in rows), default=None) if t0 is None else t0
-        t1 = max((r["hi"] for r in rows), default=None) if t1 is None else t1
-    else:
-        types = flow_types
-        if t0 is None or t1 is None:
-            lo, hi = windows.agg(F.min("interval_start"), F.max("interval_start")).first()
-            t0 = lo if t0 is None else t0
-            t1 = hi if t1 is None else t1
-    zone_rows = zone_rows if zone_rows is not None else _zone_rows(zones)
-    if t0 is None or t1 is None or not types or not zone_rows:
-        return windows.sparkSession.createDataFrame(
+    zone_dim = checkpoint_table(_indexed(zones.select(F.col("zone_id").cast("long"), F.col("graph_id").cast("long")), "zone_id"), "grid_zones")
+    type_dim = checkpoint_table(_indexed(flow_types(windows) if types is None else types, "flow_type"), "grid_types")
+    if t0 is None or t1 is None:
+        lo, hi = windows.filter(F.col("flow_type").isNotNull()).agg(F.min("interval_start"), F.max("interval_start")).first()
+        t0 = lo if t0 is None else t0
+        t1 = hi if t1 is None else t1
+    n_zones, n_types = zone_dim.count(), type_dim.count()
+    n_steps = 0 if t0 is None or t1 is None else max(0, int((t1 - t0).total_seconds() // step_seconds) + 1)
+    cells = n_steps * n_types * n_zones
+    if not cells:
+        return spark.createDataFrame(
             [], "flow_type string, interval_start timestamp_ntz, zone_id bigint, graph_id bigint, flow bigint")
-    n_steps = int((t1 - t0).total_seconds() // step_seconds) + 1
-    cells = n_steps * len(zone_rows) * len(types)
-    parts = max(1, min(n_steps, math.ceil(cells / GRID_ROWS_PER_PARTITION)))
-    zone_arr = F.array(*[F.struct(F.lit(z).cast("long").alias("zone_id"), F.lit(g).cast("long").alias("graph_id"))
-                         for z, g in zone_rows])
-    type_arr = F.array(*[F.lit(t) for t in types])
-    cells_df = (spark.range(0, n_steps, 1, parts)
-                .select(step_time(ts_literal(t0), F.col("id"), step_seconds).alias("interval_start"),
-                        F.explode(type_arr).alias("flow_type"))
-                .select("flow_type", "interval_start", F.inline(zone_arr)))
-    zeros = cells_df.select("flow_type", "interval_start", "zone_id", "graph_id",
-                            F.lit(0).cast("long").alias("flow"), F.lit(True).alias("_cell"))
-    obs = (windows.filter(F.col("interval_start").between(ts_literal(t0), ts_literal(t1)))
-           .select("flow_type", "interval_start", F.col("zone_id").cast("long"), F.lit(None).cast("long").alias("graph_id"),
+    number = F.col("id")
+    grid = spark.range(0, cells, 1, math.ceil(cells / GRID_ROWS_PER_PARTITION)).select(
+        F.floor(number / (n_types * n_zones)).cast("long").alias("_step"),
+        F.pmod(F.floor(number / n_zones).cast("long"), F.lit(n_types)).alias("_type"), F.pmod(number, F.lit(n_zones)).alias("_zone"))
+    grid = (grid.join(broadcast_if_small(type_dim.withColumnRenamed("_i", "_type")), "_type")
+            .join(broadcast_if_small(zone_dim.withColumnRenamed("_i", "_zone")), "_zone"))
+    start = ts_literal(t0)
+    zeros = grid.select("flow_type", F.col("_step"), "zone_id", "graph_id", F.lit(0).cast("long").alias("flow"), F.lit(True).alias("_cell"))
+    obs = (windows.withColumn("_step", step_number(F.col("interval_start"), start, step_seconds))
+           .filter(F.col("_step").between(0, n_steps - 1))
+           .select("flow_type", "_step", F.col("zone_id").cast("long"), F.lit(None).cast("long").alias("graph_id"),
                    F.col("flow").cast("long"), F.lit(False).alias("_cell")))
     # One hash partitioning by series (flow type, zone) serves the aggregate below and the
     # per-series windows that usually follow (history, standardisation): no further shuffle.
     both = zeros.unionByName(obs).repartition(*SERIES_KEYS)
-    return (both.groupBy("flow_type", "interval_start", "zone_id")
+    return (both.groupBy("flow_type", "_step", "zone_id")
             .agg(F.sum("flow").alias("flow"), F.max("graph_id").alias("graph_id"), F.max("_cell").alias("_cell"))
             .filter(F.col("_cell"))
-            .select("flow_type", "interval_start", "zone_id", "graph_id", F.col("flow").cast("long").alias("flow")))
+            .select("flow_type", step_time(start, F.col("_step"), step_seconds).alias("interval_start"), "zone_id", "graph_id",
+                    F.col("flow").cast("long").alias("flow")))
+
+
+def outside_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0, t1) -> DataFrame:
+    """The windows that no cell of the grid from ``t0`` to ``t1`` counts: null flow type,
+    a zone missing from the dimension, or a start outside the steps (the grid's rejects)."""
+    known = broadcast_if_small(zones.select(F.col("zone_id").cast("long").alias("_known")))
+    n_steps = int((t1 - t0).total_seconds() // step_seconds) + 1
+    step = step_number(F.col("interval_start"), ts_literal(t0), step_seconds)
+    fits = F.col("flow_type").isNotNull() & F.col("_known").isNotNull() & step.between(0, n_steps - 1)
+    return windows.join(known, F.col("zone_id") == F.col("_known"), "left").filter(~F.coalesce(fits, F.lit(False))).drop("_known")
 
 
 def flow_matrix(grid: DataFrame, graph_ids: list[int]) -> DataFrame:

@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import broadcast_if_bounded, checkpoint_table
-
-# Broadcast limit of the cell index, counted in polygon edges summed over all cells.
-MAX_INDEX_EDGES = 1_000_000
+from ..session import broadcast_if_small
 
 
 def restrict_shapes(shapes: DataFrame, zones: DataFrame) -> DataFrame:
@@ -42,12 +39,9 @@ def cell_index(shapes: DataFrame, cell: float) -> DataFrame:
 
 def zone_index(shapes: DataFrame, cell: float = 5000.0) -> DataFrame:
     """Cell index ready for ``assign_zone``, written once to the shared checkpoint folder
-    and broadcast only when the polygon edges it holds (summed over its cells) are at most
-    MAX_INDEX_EDGES. Beyond that the points are joined to it by cell with a shuffle
-    (AQE splits a hot cell)."""
-    idx = checkpoint_table(cell_index(shapes, cell), "cell_index")
-    entries = idx.select(F.explode("candidates").alias("c")).select(F.explode("c.edges"))
-    return broadcast_if_bounded(idx, MAX_INDEX_EDGES, count_df=entries)
+    and broadcast only if its measured size is small. Beyond that the points are joined to
+    it by cell with a shuffle (AQE splits a hot cell)."""
+    return broadcast_if_small(cell_index(shapes, cell), "cell_index")
 
 
 def assign_zone(points: DataFrame, x: str, y: str, shapes: DataFrame | None, out: str, cell: float = 5000.0,

@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Zone dimensions are city-sized (tens to thousands of rows); anything larger is joined
-# with a shuffle instead of a broadcast.
-MAX_BROADCAST_ZONES = 100_000
-
-
 def as_timestamp(col: str, dtype: T.DataType) -> Column:
     """String -> TIMESTAMP_NTZ with ``try_cast`` (bad value -> null); typed columns pass."""
     c = F.col(col)

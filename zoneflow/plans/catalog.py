@@ -49,7 +49,8 @@ def day_windows(spark, d) -> DataFrame:
 
 
 def day_grid(spark, d) -> DataFrame:
-    return history.dense_grid(day_windows(spark, d), td.zone_dim(spark, d), DAY)
+    """The window table is written once; the grid reads it for its range, types and counts."""
+    return history.dense_grid(checkpoint_table(day_windows(spark, d), "day_windows"), td.zone_dim(spark, d), DAY)
 
 
 # ---- sources, projections, filters -----------------------------------------------------
@@ -154,13 +155,13 @@ def q_time_steps(spark, d):
 
 @query("load_history")
 def q_load_history(spark, d):
-    w = day_windows(spark, d)
+    w = checkpoint_table(day_windows(spark, d), "day_windows")
     return files.load_history(w, history.origin(w), DAY, HISTORY_STEPS)
 
 
 @query("load_step")
 def q_load_step(spark, d):
-    w = day_windows(spark, d)
+    w = checkpoint_table(day_windows(spark, d), "day_windows")
     return files.load_step(w, history.origin(w), DAY, HISTORY_STEPS)
 
 
@@ -174,16 +175,23 @@ def q_dense_grid(spark, d):
     return day_grid(spark, d)
 
 
+@query("dense_grid_rebinned")
+def q_dense_grid_rebinned(spark, d):
+    """5-minute windows on a 1-hour raster: every window counts in the hour it starts in."""
+    w = checkpoint_table(flows.tumbling_flow(td.events(spark, d), "5 minutes"), "windows_5min")
+    return history.dense_grid(w, td.zone_dim(spark, d), 3600)
+
+
 @query("flow_matrix")
 def q_flow_matrix(spark, d):
-    graph_ids = [g for _, g in history.zone_list(td.zone_dim(spark, d))]
-    return history.flow_matrix(day_grid(spark, d), sorted(graph_ids))
+    graph_ids = sorted(r["graph_id"] for r in td.zone_dim(spark, d).select("graph_id").collect())  # one column each
+    return history.flow_matrix(day_grid(spark, d), graph_ids)
 
 
 @query("flow_channels")
 def q_flow_channels(spark, d):
     g = day_grid(spark, d)
-    types = history._flow_types(day_windows(spark, d))
+    types = sorted(r["flow_type"] for r in history.flow_types(td.events(spark, d)).collect())  # one column each
     return history.flow_channels(g, types)
 
 
@@ -232,7 +240,7 @@ def event_supports(spark, d, materialize: bool = False) -> DataFrame:
 @query("adjacency_edges")
 def q_adjacency_edges(spark, d):
     """OD graph written as a wide matrix (one column per destination), read back as edges."""
-    zone_ids = sorted(z for z, _ in history.zone_list(td.zone_dim(spark, d)))
+    zone_ids = sorted(r["zone_id"] for r in td.zone_dim(spark, d).select("zone_id").collect())  # one column each
     wide = (od_edges(spark, d).groupBy("src").pivot("dst", zone_ids).agg(F.sum("w")))
     wide = nodes(spark, d).join(wide, F.col("node") == F.col("src"), "left").drop("src")
     return files.wide_to_edges(wide, "node", [str(z) for z in zone_ids], zone_ids)
@@ -280,7 +288,8 @@ def q_scaled_laplacian(spark, d):
 
 @query("identity_edges")
 def q_identity_edges(spark, d):
-    return graph.supports(od_edges(spark, d), nodes(spark, d), "identity")
+    n = nodes(spark, d)  # the identity has no use for edge weights
+    return graph.supports(n.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(0.0).alias("w")), n, "identity")
 
 
 @query("chebyshev_supports")
@@ -300,6 +309,7 @@ def q_diffusion(spark, d):
 # ---- forecast and anomalies --------------------------------------------------------------
 
 FIT_CUT = "2024-01-20"
+REPORT_THRESHOLD = 2  # of the per-type reports: low enough for rows of several flow types
 
 
 def p_edges(spark, d) -> DataFrame:
@@ -337,12 +347,12 @@ def q_residuals(spark, d):
 
 @query("anomalies")
 def q_anomalies(spark, d):
-    return anomaly.anomalies(residual_table(spark, d), td.zone_dim(spark, d))
+    return anomaly.anomalies(residual_table(spark, d), td.zone_dim(spark, d), REPORT_THRESHOLD)
 
 
 @query("anomaly_snapshot")
 def q_anomaly_snapshot(spark, d):
-    return anomaly.snapshot(anomaly.anomalies(residual_table(spark, d), td.zone_dim(spark, d)))
+    return anomaly.snapshot(anomaly.anomalies(residual_table(spark, d), td.zone_dim(spark, d), REPORT_THRESHOLD))
 
 
 @query("forecast_fitted")
@@ -356,7 +366,8 @@ def q_score_windows(spark, d):
 
 
 def total_grid(spark, d) -> DataFrame:
-    return history.dense_grid(flows.tumbling_flow(td.events_total(spark, d), "1 day"), td.zone_dim(spark, d), DAY)
+    w = checkpoint_table(flows.tumbling_flow(td.events_total(spark, d), "1 day"), "day_windows_total")
+    return history.dense_grid(w, td.zone_dim(spark, d), DAY)
 
 
 def total_residuals(spark, d) -> DataFrame:

@@ -1,8 +1,8 @@
 """Streaming queries over the test tables.
 
 The message log is stood in for by files in the shared checkpoint folder: the bound
-events are written there (whole tables, in time chunks for the live loop) and read back
-by Structured Streaming file sources; the results are read from the sinks' tables.
+events are written there (whole tables) and read back by Structured Streaming file
+sources, a few files a trigger; the results are read from the sinks' tables.
 """
 
 from __future__ import annotations
@@ -11,61 +11,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import bounded_values, shared_path
+from ..session import shared_path
 from ..sources import sinks
 from ..sources import testdata as td
 from ..streaming import live, source, tumbling
 from . import catalog
 from .catalog import DAY, query
 
-REPLAY_CHUNK_DAYS = 6
-MAX_REPLAY_CHUNKS = 100_000
+LOG_FILES = 12
+FILES_PER_TRIGGER = 4
 
 
 publish_to_files = sinks.write_event_log
 
 
-@query("stream_tumbling")
-def q_stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
-    """Events -> message files -> stream parse -> rejects split -> 5-minute tumbling counts with
-    watermark delay 0 -> append parquet sink (checkpointed) -> the sink table."""
-    base = shared_path(spark, "stream_tumbling")
-    publish_to_files(td.events(spark, d), f"{base}/log", "event")
-    msgs = source.file_messages(spark, f"{base}/log")
-    valid, _rejects = source.split_rejects(source.flow_events(msgs))
+def tumbling_windows(spark: SparkSession, events: DataFrame, base: str, n_files: int = LOG_FILES,
+                     per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
+    """Events as a time-ordered message log of ``n_files`` files, read ``per_trigger`` files at
+    a time; 5-minute counts with delay 0 go to an append table, rejects to another. The log's
+    order makes the result independent of the trigger size; dropped rows would fail the query."""
+    sinks.write_ordered_log(events, f"{base}/log", n_files, "event")
+    msgs = source.file_messages(spark, f"{base}/log", per_trigger)
+    valid, rejects = source.split_rejects(source.flow_events(msgs))
     agg = tumbling.with_date(tumbling.stream_tumbling(valid, "5 minutes", "0 seconds"))
-    q = tumbling.start_append(agg, f"{base}/windows", f"{base}/ckpt", partition_by=["interval_date"])
-    q.awaitTermination()
+    tumbling.finish(tumbling.start_append(agg, f"{base}/windows", f"{base}/ckpt", partition_by=["interval_date"],
+                                          n_state_partitions=spark.sparkContext.defaultParallelism))
+    tumbling.finish(tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects",
+                                          n_state_partitions=spark.sparkContext.defaultParallelism))
     return spark.read.parquet(f"{base}/windows").drop("interval_date")
 
 
-def replay_chunks(events: DataFrame, path: str, chunk_days: int):
-    """Yield after writing each ``chunk_days`` slice of the events (oldest first) to ``path``;
-    the caller runs its stream between slices, so every run sees new files only."""
-    t0 = events.agg(F.min("time")).scalar()
-    chunk = F.floor(F.timestamp_diff("DAY", t0, F.col("time")) / chunk_days).cast("long")
-    tagged = events.withColumn("_chunk", chunk)
-    ids = bounded_values(tagged.select("_chunk").distinct(), MAX_REPLAY_CHUNKS)
-    for c in ids:
-        tagged.filter(F.col("_chunk") == c).drop("_chunk").write.mode("append").parquet(path)
-        yield c
+@query("stream_tumbling")
+def q_stream_tumbling(spark: SparkSession, d: str) -> DataFrame:
+    """Events -> ordered message files -> stream parse -> rejects split -> 5-minute tumbling counts
+    with watermark delay 0 -> append parquet sink (checkpointed) -> the sink table."""
+    return tumbling_windows(spark, td.events(spark, d), shared_path(spark, "stream_tumbling"))
 
 
-@query("live_anomalies")
-def q_live_anomalies(spark: SparkSession, d: str) -> DataFrame:
-    """Live loop over the single-channel events: 1-day windows closed by a delay-0
-    watermark, one stream run per 6-day slice of input, anomalies per closed step."""
+def live_detector(spark: SparkSession, d: str, n_files: int = LOG_FILES, per_trigger: int = FILES_PER_TRIGGER) -> live.LiveDetector:
+    """One live stream over the ordered single-channel log: 1-day windows closed by a delay-0
+    watermark, anomalies per closed step; returns the detector that wrote them."""
     base = shared_path(spark, "live")
     evs = td.events_total(spark, d)
-    schema = evs.schema
-    zones = td.zone_dim(spark, d)
-    det = live.LiveDetector(f"{base}/out", zones, catalog.p_edges(spark, d), DAY)
-    for _ in replay_chunks(evs, f"{base}/log", REPLAY_CHUNK_DAYS):
-        stream = spark.readStream.schema(schema).parquet(f"{base}/log")
-        valid, _rejects = source.split_rejects(stream)
-        closed = tumbling.stream_tumbling(valid, "1 day", "0 seconds")
-        live.start_live(closed, det, f"{base}/ckpt").awaitTermination()
-    return live.read_anomalies(spark, det)
+    sinks.write_ordered_log(evs, f"{base}/log", n_files)
+    det = live.LiveDetector(f"{base}/out", td.zone_dim(spark, d), catalog.p_edges(spark, d), DAY)
+    stream = spark.readStream.schema(evs.schema).option("maxFilesPerTrigger", per_trigger).parquet(f"{base}/log")
+    valid, rejects = source.split_rejects(stream)
+    closed = tumbling.stream_tumbling(valid, "1 day", "0 seconds")
+    cores = spark.sparkContext.defaultParallelism
+    tumbling.finish(live.start_live(closed, det, f"{base}/ckpt", n_state_partitions=cores))
+    tumbling.finish(tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects", n_state_partitions=cores))
+    return det
+
+
+@query("live_anomalies")
+def q_live_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """Live loop over the single-channel events: anomalies of every closed day."""
+    return live.read_anomalies(spark, live_detector(spark, d))
 
 
 @query("stream_passthrough")
@@ -81,8 +83,8 @@ def q_stream_passthrough(spark: SparkSession, d: str) -> DataFrame:
         F.col("pu_zone").alias("PULocationID"), F.col("do_zone").alias("DOLocationID"))
     wide.write.mode("append").json(f"{base}/log")
     stream = spark.readStream.schema(schemas.BIKE_STREAM).json(f"{base}/log")
-    q = tumbling.start_append(stream, f"{base}/sink", f"{base}/ckpt")
-    q.awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    tumbling.finish(tumbling.start_append(stream, f"{base}/sink", f"{base}/ckpt", n_state_partitions=cores))
     out = spark.read.parquet(f"{base}/sink")
     return out.select(*[quantize(F.col(c)).alias(c) if "station" in c else F.col(c) for c in out.columns])
 
@@ -95,6 +97,7 @@ def q_stream_source(spark: SparkSession, d: str) -> DataFrame:
     base = shared_path(spark, "stream_source")
     publish_to_files(catalog.flow_events(spark, d), f"{base}/log", catalog.SOURCE)
     valid, rejects = source.split_rejects(source.flow_events(source.file_messages(spark, f"{base}/log")))
-    tumbling.start_append(valid, f"{base}/events", f"{base}/ckpt").awaitTermination()
-    tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    tumbling.finish(tumbling.start_append(valid, f"{base}/events", f"{base}/ckpt", n_state_partitions=cores))
+    tumbling.finish(tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects", n_state_partitions=cores))
     return spark.read.parquet(f"{base}/events")

@@ -1,8 +1,8 @@
 """Session settings and small plan helpers shared by every module.
 
 Nothing here holds data: the helpers build sessions, locate the shared checkpoint folder,
-write small reused tables there, fetch dimension-sized lists under a bound, and decide
-between a broadcast and a shuffled join from a proven size or row bound.
+write small reused tables there, and decide between a broadcast and a shuffled join from
+the measured size.
 """
 
 from __future__ import annotations
@@ -10,8 +10,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import SparkConf
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job of this package relies on. AQE re-plans joins from real stage sizes
 # (broadcast only when the materialised side is under the threshold), coalesces small
@@ -23,18 +25,23 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "zoneflow",
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "zoneflow",
                   extra: dict | None = None) -> SparkSession:
-    """Session for tests and local runs; on a cluster the submit settings win."""
-    b = SparkSession.builder.master(master).appName(app)
-    conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    """A session with SESSION_CONF for everything that neither the submit settings nor the
+    caller sets. Without ``master`` and ``shuffle_partitions`` those of the submit settings
+    (or of an active session) stay."""
+    submitted = SparkConf()
+    conf = {k: v for k, v in SESSION_CONF.items() if not submitted.contains(k)}
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    b = SparkSession.builder.appName(app)
+    if master is not None:
+        b = b.master(master)
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -44,7 +51,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings this package expects to an existing session."""
+    """Apply the runtime SQL settings this package expects to an existing session (wall-clock
+    times are read as UTC, ANSI casts, AQE)."""
     for k, v in SESSION_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
@@ -77,57 +85,36 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "zoneflow", *parts, uuid.uuid4().hex])
 
 
-def row_bound_ok(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``, which stops reading once the bound is passed,
-    so the check costs at most ``max_rows + 1`` rows of work.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_values(df: DataFrame, max_rows: int) -> list:
-    """First-column values of a small DataFrame (channel names, zone ids, support ids),
-    fetched in one job that stops after ``max_rows + 1`` rows; more rows is an error."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"expected at most {max_rows} rows, got more: not a dimension-sized table")
-    return sorted(r[0] for r in rows if r[0] is not None)
-
-
-# Plan nodes whose size statistic is not an upper bound of their output (they can emit
-# more rows than they read); with one of them in the plan the estimate proves nothing.
-# The same holds for aggregates that collect rows into arrays: their byte estimate uses a
-# nominal array width, not the collected size.
-_ROW_MULTIPLYING = ("Generate", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas",
-                    "MapPartitions", "MapElements", "FlatMapGroupsInPandasWithState", "PythonMapInArrow",
-                    "collect_list", "collect_set")
 BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 
 
-def size_upper_bound(df: DataFrame) -> int | None:
-    """The optimiser's size estimate of ``df`` in bytes when it is an upper bound: for
-    file scans it is the file size, and filters, projections, aggregates, windows, joins
-    and unions only keep or raise it. None when the plan has a node that can multiply rows."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    text = plan.toString()
-    if any(n in text for n in _ROW_MULTIPLYING):
-        return None
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES,
-                         count_df: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only behind a proven bound: the optimiser's upper-bound size
-    estimate when it is one and small enough (no job), else a row count that stops after
-    ``max_rows + 1`` rows. When ``df`` holds arrays, ``count_df`` is the un-grouped table
-    whose rows are the array entries, so the count bounds the size and not just the rows.
-    Otherwise leave the join to the planner (sort-merge, or AQE's runtime broadcast when
-    the shuffled side turns out small)."""
-    ub = size_upper_bound(df)
-    if ub is not None and ub <= max_bytes:
-        return F.broadcast(df)
-    return F.broadcast(df) if row_bound_ok(count_df if count_df is not None else df, max_rows) else df
+def _value_bytes(c: Column, t: T.DataType) -> Column:
+    """In-memory size of a value: 8 bytes for a primitive, 16 more than its length for a
+    string, the sum over the entries of arrays and the fields of structs."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c) + 16
+    elif isinstance(t, T.ArrayType):
+        size = F.aggregate(c, F.lit(24).cast("long"), lambda acc, x: acc + _value_bytes(x, t.elementType))
+    elif isinstance(t, T.StructType):
+        size = sum((_value_bytes(c.getField(f.name), f.dataType) for f in t.fields), F.lit(8))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size, F.lit(8)).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of all values of ``df``, from one aggregation over every row (not from file
+    sizes, which compression makes arbitrarily small)."""
+    row = sum((_value_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, name: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its measured size is at most ``max_bytes``; otherwise
+    as it is, so that both sides are shuffled (AQE splits hot keys). With ``name`` it is first
+    written to the shared folder: computed once, and what is measured is what is joined."""
+    t = checkpoint_table(df, name) if name else df
+    return F.broadcast(t) if measured_bytes(t) <= max_bytes else t
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:

@@ -17,17 +17,20 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly, forecast, history
 from ..operators.flows import zone_lookup
-from ..session import bounded_values
 from ..sources import sinks
 from .tumbling import state_partitions
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Has the table at ``path`` been written? Asked of the file system, so that any other
+    failure is an error and not an empty table."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first write."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # table not written yet
-        return None
+    return spark.read.parquet(path) if _exists(spark, path) else None
 
 
 _write_partition = sinks.write_batch_partition
@@ -45,9 +48,8 @@ class LiveDetector:
     b: float = 0.5
 
     def __post_init__(self) -> None:
-        # Decided once for the whole stream: the zone list of the grid, the broadcast of
-        # the zone lookup and of the transition matrix (each behind its proven size bound).
-        self._zone_rows = history.zone_list(self.zones)
+        # Decided once for the whole stream: the broadcast of the zone lookup and of the
+        # transition matrix (each by its measured size).
         self._lookup = zone_lookup(self.zones)
         self._p = forecast.transition_table(self.p_edges)
         # (k, rows): per flow type first/last step over every batch <= k, kept by this
@@ -76,13 +78,12 @@ class LiveDetector:
         (a few rows per batch, not a scan of the window table)."""
         if self._seen is not None and self._seen[0] == batch_id - 1:
             return self._seen[1]
-        try:
-            prog = spark.read.schema(_PROGRESS).parquet(self.progress_path)
-        except Exception:  # first batch
+        if not _exists(spark, self.progress_path):  # first batch
             return []
+        prog = spark.read.schema(_PROGRESS).parquet(self.progress_path)
         per_type = (prog.filter(F.col("batch_id") < batch_id).groupBy("flow_type")
                     .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-        return bounded_values(per_type.select(F.struct("flow_type", "lo", "hi")), history.MAX_FLOW_TYPES)
+        return [tuple(r) for r in per_type.select("flow_type", "lo", "hi").collect()]  # a row a flow type
 
     def _remember(self, batch_id: int, before: list, now_rows: list) -> None:
         merged: dict = {}
@@ -103,8 +104,7 @@ class LiveDetector:
         # the tables are read through the caller's session so their batch jobs keep it.
         spark = self.zones.sparkSession
         now = batch.groupBy("flow_type").agg(F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"))
-        now_rows = [tuple(r) for r in bounded_values(now.select(F.struct("flow_type", "lo", "hi")),
-                                                     history.MAX_FLOW_TYPES)]
+        now_rows = [tuple(r) for r in now.select("flow_type", "lo", "hi").collect() if r[0] is not None]
         if not now_rows:  # no window closed in this trigger (also true on its replay)
             if self._seen is not None and self._seen[0] == batch_id - 1:
                 self._seen = (batch_id, self._seen[1])
@@ -130,8 +130,8 @@ class LiveDetector:
                 .filter((F.col("interval_date") >= F.lit(start.date())) & (F.col("batch_id") <= batch_id)
                         & (F.col("interval_start") >= history.ts_literal(start)))
                 .drop("interval_date", "batch_id"))
-        grid = history.dense_grid(hist, None, self.step_seconds, t0=start, t1=new_max, flow_types=types,
-                                  zone_rows=self._zone_rows)
+        grid = history.dense_grid(hist, self.zones, self.step_seconds, t0=start, t1=new_max,
+                                  types=spark.createDataFrame([(t,) for t in types], "flow_type string"))
         pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
         if prev_max is not None:
             pred = pred.filter(F.col("interval_start") > history.ts_literal(prev_max))
@@ -139,9 +139,9 @@ class LiveDetector:
         _write_partition(found, self.anomalies_path, batch_id)
         # The report of the newest step comes back from the partition just written.
         schema = found.schema.add("batch_id", "long")
-        try:
+        if _exists(spark, self.anomalies_path):
             written = spark.read.schema(schema).parquet(self.anomalies_path)
-        except Exception:  # nothing written yet: no anomaly so far
+        else:  # no anomaly so far
             written = spark.createDataFrame([], schema)
         last = (written.filter((F.col("batch_id") == batch_id)
                                & (F.col("interval_start") == history.ts_literal(new_max))).drop("batch_id"))

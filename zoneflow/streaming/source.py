@@ -18,10 +18,15 @@ from ..operators.events import parse_payload
 MESSAGE = T.StructType([T.StructField("topic", T.StringType(), True), T.StructField("value", T.StringType(), True)])
 
 
-def kafka_messages(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest") -> DataFrame:
-    """Kafka topics from the beginning (``startingOffsets=earliest``) -> ``topic, value``."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", ",".join(topics)).option("startingOffsets", starting).load())
+def kafka_messages(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest",
+                   max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka topics from the beginning (``startingOffsets=earliest``) -> ``topic, value``.
+    ``max_offsets_per_trigger`` keeps a long backlog from becoming one first batch."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", ",".join(topics)).option("startingOffsets", starting))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    raw = r.load()
     return raw.select(F.col("topic"), F.col("value").cast("string").alias("value"))
 
 

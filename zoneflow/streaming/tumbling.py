@@ -15,8 +15,11 @@ def state_partitions(spark: SparkSession, n: int | None):
 
     Streaming runs without AQE, and the partition count of a stateful operator is fixed
     when the query first starts (then kept in its checkpoint). It should match the
-    cluster's cores, not a batch-oriented shuffle setting; default ``defaultParallelism``.
+    cluster's cores, not a batch-oriented shuffle setting, and has to be given there; in local
+    mode the default is ``defaultParallelism``.
     """
+    if n is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("give n_state_partitions: the number of state partitions is fixed when a query first starts")
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
@@ -58,6 +61,16 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: list[s
         return w.start()
 
 
+def finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait for a query that ends by itself; fail if the watermark dropped rows (the log's
+    disorder was larger than the delay), so that a count is never short without notice."""
+    query.awaitTermination()
+    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p.get("stateOperators") or [])
+    if dropped:
+        raise RuntimeError(f"{dropped} rows came after their window was closed: raise the watermark delay or order the log")
+    return query
+
+
 def with_date(df: DataFrame) -> DataFrame:
     """Adds ``interval_date`` so window tables are partitioned by day and step reads prune."""
     return df.withColumn("interval_date", F.to_date("interval_start"))
