@@ -17,7 +17,7 @@ def residuals(pred: DataFrame) -> DataFrame:
 
 
 def align(actual: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Equi-join of actual flows and forecasts on (flow type, step, zone)."""
+    """Equi-join of actual flows (a grid) and forecasts on (flow type, step, zone)."""
     return actual.select("flow_type", "interval_start", "zone_id", F.col("flow").alias("actual")).join(
         forecast.select("flow_type", "interval_start", "zone_id", "forecast"),
         ["flow_type", "interval_start", "zone_id"])

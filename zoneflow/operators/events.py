@@ -20,6 +20,11 @@ def trips_to_events(trips: DataFrame) -> DataFrame:
     return trips.select(F.inline(pair))
 
 
+def with_source(events: DataFrame, source: str) -> DataFrame:
+    """Flow types of one source, ``<source>_<flow_type>``, for tables of several sources."""
+    return events.withColumn("flow_type", F.concat(F.lit(source + "_"), F.col("flow_type")))
+
+
 def event_counts(events: DataFrame) -> DataFrame:
     """Rows per flow type (the batch size of each publish)."""
     return events.groupBy("flow_type").agg(F.count(F.lit(1)).alias("n_events"))

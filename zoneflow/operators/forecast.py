@@ -5,8 +5,8 @@
   previous steps, std 0 -> 1), rolled forward ``h`` times with
   ``z_h = a * z_(h-1) + b * P z_(h-1)`` (P = row-normalised transition of the graph),
   de-standardised with the zone's own mean and std and truncated to an integer.
-* ``fitted_forecast``: a linear model (``pyspark.ml``) on the 12 lags and the diffused last
-  step, fitted per flow type on steps before a cut only.
+* ``fitted_forecast``: a linear model on the 12 lags and the diffused last step, fitted per
+  flow type on steps before a cut only (one aggregation of cross products).
 * ``score_windows``: any pandas scoring function applied to each (flow type, step) block
   of N zones x 12 steps with ``applyInPandas``.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, checkpoint_table, measured_bytes
 from .history import add_seconds, with_history
 
 KEYS = ["flow_type", "interval_start"]
@@ -127,68 +127,100 @@ def lag_features(grid: DataFrame, p_edges: DataFrame, n: int = 12, b: float = 1.
     return out.select(*KEYS, "zone_id", "actual", "lags", F.col("z").alias("neigh"))
 
 
+def design(grid: DataFrame, p_edges: DataFrame, n: int = 12) -> DataFrame:
+    """``flow_type, zone_id, interval_start, y, f`` with f = the n lags (oldest first), the
+    diffused last step and 1."""
+    feats = lag_features(grid, p_edges, n)
+    return feats.select(*KEYS, "zone_id", F.col("actual").cast("double").alias("y"),
+                        F.concat(F.transform("lags", lambda x: x.cast("double")), F.array("neigh", F.lit(1.0))).alias("f"))
+
+
+def fit_linear(feats: DataFrame, cut, n_features: int = 14) -> DataFrame:
+    """Least-squares coefficients ``flow_type, coef`` (array) per flow type over the steps
+    before ``cut``: one grouped aggregation of all cross products, then a solve of one small
+    system a flow type on the driver (minimum norm, so singular systems have a solution)."""
+    f = [F.col("f")[i] for i in range(n_features)]
+    pairs = [(i, j) for i in range(n_features) for j in range(i, n_features)]
+    rows = (feats.filter(F.col("interval_start") < F.lit(str(cut)).cast("timestamp_ntz")).groupBy("flow_type")
+            .agg(*[F.sum(f[i] * f[j]).alias(f"a{i}_{j}") for i, j in pairs], *[F.sum(f[i] * F.col("y")).alias(f"b{i}") for i in range(n_features)])
+            .collect())  # a row a flow type
+    out = []
+    for r in rows:
+        a = np.zeros((n_features, n_features))
+        for i, j in pairs:
+            a[i, j] = a[j, i] = r[f"a{i}_{j}"]
+        coef = np.linalg.lstsq(a, np.array([r[f"b{i}"] for i in range(n_features)]), rcond=1e-12)[0]
+        out.append((r["flow_type"], [float(c) for c in coef]))
+    return feats.sparkSession.createDataFrame(out, "flow_type string, coef array<double>")
+
+
+def predict_linear(feats: DataFrame, coef: DataFrame) -> DataFrame:
+    """``feats`` with the fitted value ``fit`` (rows of flow types without coefficients go)."""
+    j = feats.join(broadcast_if_small(coef), "flow_type")
+    return j.withColumn("fit", F.aggregate(F.zip_with("f", "coef", lambda x, c: x * c), F.lit(0.0), lambda acc, x: acc + x)).drop("coef")
+
+
 def fitted_forecast(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> DataFrame:
-    """Linear model on ``lags + neigh`` fitted per flow type on target steps before ``cut``
-    only, applied to the steps from ``cut`` on. Output ``flow_type, zone_id,
+    """Linear model on lags and diffused last step, fitted per flow type on target steps before
+    ``cut`` only, applied to the steps from ``cut`` on. Output ``flow_type, zone_id,
     interval_start, actual, forecast``."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import LinearRegression
+    feats = checkpoint_table(design(grid, p_edges, n), "features")
+    later = feats.filter(F.col("interval_start") >= F.lit(str(cut)).cast("timestamp_ntz"))
+    return predict_linear(later, fit_linear(feats, cut, n + 2)).select(
+        *KEYS, "zone_id", F.col("y").cast("long").alias("actual"), to_count(F.col("fit")).alias("forecast"))
 
-    feats = lag_features(grid, p_edges, n)
-    feats = feats.select(*KEYS, "zone_id", F.col("actual").cast("double").alias("label"),
-                         array_to_vector(F.concat(F.transform("lags", lambda x: x.cast("double")),
-                                                  F.array("neigh"))).alias("features"))
-    cut_c = F.lit(str(cut)).cast("timestamp_ntz")
-    out = None
-    for t in bounded_values(feats.select("flow_type").distinct(), MAX_FLOW_TYPES):
-        part = feats.filter(F.col("flow_type") == t)
-        model = LinearRegression(maxIter=50, regParam=0.0, solver="auto").fit(
-            part.filter(F.col("interval_start") < cut_c))
-        pred = model.transform(part.filter(F.col("interval_start") >= cut_c)).select(
-            *KEYS, "zone_id", F.col("label").cast("long").alias("actual"),
-            to_count(F.col("prediction")).alias("forecast"))
-        out = pred if out is None else out.unionByName(pred)
-    return out
+
+def fit_check(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> DataFrame:
+    """Per flow type and feature over the training rows: ``n_rows, sum_xy`` and
+    ``residual_x`` = sum of feature x residual, which least squares makes 0."""
+    feats = checkpoint_table(design(grid, p_edges, n), "features")
+    train = predict_linear(feats, fit_linear(feats, cut, n + 2)).filter(F.col("interval_start") < F.lit(str(cut)).cast("timestamp_ntz"))
+    return (train.select("flow_type", "y", "fit", F.posexplode("f").alias("feature", "x")).groupBy("flow_type", "feature")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("x") * F.col("y")).alias("sum_xy"),
+                 F.sum(F.col("x") * (F.col("y") - F.col("fit"))).alias("residual_x")))
 
 
 # ---- any pandas scoring function over (flow type, step) blocks ------------------------
 
-def diffusion_scorer(a: float = 0.5, b: float = 0.5) -> Callable:
+def diffusion_scorer(p: dict[int, list[tuple[int, float]]], a: float = 0.5, b: float = 0.5) -> Callable:
     """pandas form of the horizon-1 diffusion forecast for one (N zones x 12 steps) block.
+    ``p`` lists the in-neighbours ``(i, P_ij)`` of each zone j (``collect_transition``)."""
+    src = np.array([j for j, cells in p.items() for _ in cells], dtype=np.int64)
+    dst = np.array([i for cells in p.values() for i, _ in cells], dtype=np.int64)
+    w = np.array([x for cells in p.values() for _, x in cells], dtype=float)
 
-    Each row carries its zone's in-neighbour list ``_in = [(i, P_ij)]`` (attached by
-    ``score_windows``), so the block holds everything it needs; nothing comes from the driver.
-    """
     def score(block: pd.DataFrame) -> pd.Series:
         hist = np.stack(block["history"].to_numpy()).astype(float)      # (zones, 12)
         mu = hist.mean(axis=1)
         sd = hist.std(axis=1)
         sd[sd == 0] = 1.0
         z = (hist[:, -1] - mu) / sd
-        pos = {zone: k for k, zone in enumerate(block["zone_id"].to_numpy())}
+        zones = pd.Index(block["zone_id"].to_numpy())
+        j, i = zones.get_indexer(src), zones.get_indexer(dst)
+        both = (j >= 0) & (i >= 0)
         acc = a * z
-        for j, nbrs in enumerate(block["_in"].to_numpy()):
-            if nbrs is None:
-                continue
-            for e in nbrs:
-                i = pos.get(e["_i"])
-                if i is not None:
-                    acc[i] += b * e["_w"] * z[j]
+        np.add.at(acc, i[both], b * w[both] * z[j[both]])
         snapped = np.floor((acc * sd + mu) * 2.0 ** 20 + 0.5) / 2.0 ** 20
         return pd.Series(np.trunc(snapped).astype("int64"), index=block.index)
 
     return score
 
 
-def score_windows(grid: DataFrame, score: Callable[[pd.DataFrame], pd.Series], n: int = 12,
-                  p_edges: DataFrame | None = None) -> DataFrame:
+def collect_transition(p_edges: DataFrame, max_bytes: int = 64 << 20) -> dict[int, list[tuple[int, float]]]:
+    """P as a dictionary for ``diffusion_scorer``; ValueError beyond ``max_bytes`` (measured)."""
+    if measured_bytes(p_edges) > max_bytes:
+        raise ValueError("the transition matrix is too large for the pandas scorer: use next_step")
+    out: dict[int, list[tuple[int, float]]] = {}
+    for r in p_edges.select("dst", "src", "w").collect():
+        out.setdefault(int(r["dst"]), []).append((int(r["src"]), float(r["w"])))
+    return out
+
+
+def score_windows(grid: DataFrame, score: Callable[[pd.DataFrame], pd.Series], n: int = 12) -> DataFrame:
     """Apply ``score`` to every (flow type, step) block: one group holds the N zones of the
-    zone dimension with their previous ``n`` flows (``history``) and, when ``p_edges`` is
-    given, their in-neighbour lists ``_in`` (broadcast join), so groups stay bounded by N."""
+    zone dimension with their previous ``n`` flows (``history``). What ``score`` holds (such
+    as P) is sent once per task."""
     h = with_history(grid, n).select(*KEYS, "zone_id", F.col("flow").alias("actual"), "history")
-    if p_edges is not None:
-        p = transition_table(p_edges)
-        h = h.join(p, h["zone_id"] == p["_j"], "left").drop("_j")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pdf[["flow_type", "interval_start", "zone_id", "actual"]].copy()

@@ -8,10 +8,10 @@ every product joins against are broadcast only if their measured size is small (
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, checkpoint_table
 
 # Names of the support types (fixed values).
 SUPPORT_KINDS = ("scalap", "normlap", "symnadj", "transition", "doubletransition", "identity")
@@ -83,13 +83,71 @@ def gaussian_kernel(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``exp(-(w / sigma)^2)`` on the stored cells, infinite distances -> 0.
 
     Absent cells (w = 0) have kernel value 1; they are implied, not materialised, so the
-    result stays as sparse as the input. ``sigma`` is returned as a column.
+    result stays as sparse as the input. It is not a weight table for the sparse operators,
+    which read absent cells as 0: use ``kernel_correction`` and ``kernel_diffusion``.
+    ``sigma`` is returned as a column.
     """
     sigma = kernel_sigma(edges, nodes.agg(F.count(F.lit(1))).scalar())
     k = F.when(finite(F.col("w")), F.exp(-F.pow(F.col("w") / sigma, 2))).otherwise(F.lit(0.0))
     return edges.select("src", "dst", F.col("w").alias("w_in"), k.alias("w"), sigma.alias("sigma"))
 
 
+def kernel_correction(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The kernel matrix as all-ones plus these sparse cells ``src, dst, w`` = kernel - 1."""
+    k = gaussian_kernel(edges, nodes)
+    return nonzero(k.select("src", "dst", (F.col("w") - 1.0).alias("w")))
+
+
+def kernel_row_sums(correction: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Row sums ``node, d`` of the dense kernel: N plus the row's corrections."""
+    n = nodes.agg(F.count(F.lit(1))).scalar()
+    c = correction.groupBy("src").agg(F.sum("w").alias("_c"))
+    return (nodes.select(F.col("node").cast("long")).join(broadcast_if_small(c, "kernel_rows"), F.col("node") == F.col("src"), "left")
+            .select("node", (n + F.coalesce("_c", F.lit(0.0))).alias("d")))
+
+
+def _apply_kernel(state: DataFrame, keys: list[str], sums: DataFrame, cells: DataFrame) -> DataFrame:
+    """``(P^T x)_i = sum_j K_ji x_j / d_j`` for P = the row-normalised kernel with row sums
+    ``sums``: the block's sum of ``x_j / d_j`` (the all-ones part) plus the corrections, which
+    ``cells`` lists by j. Linear in nodes and stored cells; rows with sum 0 add nothing."""
+    y = F.when(F.col("d") != 0, F.col("x") / F.col("d")).otherwise(F.lit(0.0))
+    s = state.join(sums, state["zone_id"] == sums["node"]).withColumn("y", y).withColumn("total", F.sum("y").over(Window.partitionBy(*keys)))
+    j = s.join(cells, s["zone_id"] == cells["_j"], "left")
+    own = F.struct(F.col("zone_id").alias("i"), F.col("total").alias("v"))
+    rest = F.transform(F.coalesce(F.col("_cells"), F.array().cast("array<struct<i:bigint,w:double>>")),
+                       lambda c: F.struct(c["i"].alias("i"), (c["w"] * F.col("y")).alias("v")))
+    parts = j.select(*keys, F.inline(F.concat(F.array(own), rest)))
+    return parts.groupBy(*keys, F.col("i").alias("zone_id")).agg(F.sum("v").alias("x"))
+
+
+def kernel_diffusion(signal: DataFrame, edges: DataFrame, nodes: DataFrame, keys: list[str], value_col: str = "flow",
+                     order: int = 3) -> DataFrame:
+    """The configured chain dense kernel -> double transition -> Chebyshev terms, applied to a
+    signal that has every node in every group of ``keys``: ``T0 x = x``, ``T1 x = p x``,
+    ``Tk x = 2 p T(k-1) x - T(k-2) x`` with p the transposed forward (support 0) or backward
+    (support 1) transition. The recurrence runs on the signal, so no product of matrices and
+    no dense matrix is formed. Output ``keys, k, zone_id, value`` with k = support * order + degree.
+    """
+    correction = checkpoint_table(kernel_correction(edges, nodes), "kernel_correction")
+    x0 = signal.select(*keys, F.col("zone_id").cast("long"), F.col(value_col).cast("double").alias("x")).repartition(*keys)
+    out = None
+    for support, c in enumerate((correction, transpose(correction))):
+        sums = broadcast_if_small(kernel_row_sums(c, nodes), "kernel_sums")
+        cells = c.groupBy(F.col("src").alias("_j")).agg(F.collect_list(F.struct(F.col("dst").alias("i"), "w")).alias("_cells"))
+        cells = broadcast_if_small(cells, "kernel_cells")
+        terms = [x0]
+        for degree in range(1, order):
+            nxt = _apply_kernel(terms[-1], keys, sums, cells)
+            if degree > 1:
+                both = nxt.withColumn("x", F.col("x") * 2).unionByName(terms[-2].withColumn("x", -F.col("x")))
+                nxt = both.groupBy(*keys, "zone_id").agg(F.sum("x").alias("x"))
+            terms.append(nxt)
+        for degree, t in enumerate(terms[:order]):
+            t = t.select(*keys, F.lit(support * order + degree).cast("long").alias("k"), "zone_id", F.col("x").alias("value"))
+            out = t if out is None else out.unionByName(t)
+    return out
+
+
 def transition(edges: DataFrame) -> DataFrame:
     """Row-normalised ``A_ij / d_i`` (rows with d = 0 stay empty)."""
     d = _row_sums(edges)

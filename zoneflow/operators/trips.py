@@ -28,6 +28,11 @@ def taxi_trips(raw: DataFrame) -> DataFrame:
                       F.col("PULocationID").alias("pu_zone"), F.col("DOLocationID").alias("do_zone"))
 
 
+def bike_trips(assigned: DataFrame) -> DataFrame:
+    """Bike trips with zones at both ends -> canonical trips (start = pickup, stop = dropoff)."""
+    return assigned.select(F.col("starttime").alias("pickup"), F.col("stoptime").alias("dropoff"), "pu_zone", "do_zone")
+
+
 def typed_trips(trips: DataFrame) -> DataFrame:
     """Casts of the canonical trip columns; unparsable values become null."""
     d = {f.name: f.dataType for f in trips.schema.fields}

@@ -225,6 +225,7 @@ def nodes(spark, d) -> DataFrame:
 
 
 CHEB_ORDER = 3
+SPARSE_SHARE = 1.5
 SUPPORT_KIND = "doubletransition"
 
 
@@ -297,6 +298,50 @@ def q_chebyshev(spark, d):
     return r6(event_supports(spark, d), "w")
 
 
+def sparse_edges(spark, d) -> DataFrame:
+    """The OD graph without its lighter edges: rows and columns become empty, nodes isolated."""
+    e = od_edges(spark, d)
+    return checkpoint_table(e.filter(F.col("w") > e.agg(F.avg("w")).scalar() * SPARSE_SHARE), "od_sparse")
+
+
+@query("transition_sparse")
+def q_transition_sparse(spark, d):
+    return r6(graph.transition(sparse_edges(spark, d)), "w")
+
+
+@query("double_transition_sparse")
+def q_double_transition_sparse(spark, d):
+    return r6(graph.supports(sparse_edges(spark, d), nodes(spark, d), "doubletransition"), "w")
+
+
+@query("sym_normalize_sparse")
+def q_sym_normalize_sparse(spark, d):
+    return r6(graph.sym_normalize(sparse_edges(spark, d)), "w")
+
+
+@query("normalized_laplacian_sparse")
+def q_normalized_laplacian_sparse(spark, d):
+    return r6(graph.normalized_laplacian(sparse_edges(spark, d), nodes(spark, d)), "w")
+
+
+@query("scaled_laplacian_sparse")
+def q_scaled_laplacian_sparse(spark, d):
+    return r6(graph.scaled_laplacian(sparse_edges(spark, d), nodes(spark, d), 2.0), "w")
+
+
+@query("kernel_row_sums")
+def q_kernel_row_sums(spark, d):
+    n = nodes(spark, d)
+    return r6(graph.kernel_row_sums(graph.kernel_correction(sparse_edges(spark, d), n), n), "d")
+
+
+@query("kernel_diffusion")
+def q_kernel_diffusion(spark, d):
+    """Dense kernel of the sparse graph -> double transition -> Chebyshev terms of the daily flows."""
+    g = checkpoint_table(day_grid(spark, d), "day_grid")
+    return r6(graph.kernel_diffusion(g, sparse_edges(spark, d), nodes(spark, d), ["flow_type", "interval_start"]), "value", bits=20)
+
+
 @query("diffusion_features")
 def q_diffusion(spark, d):
     """Every Chebyshev support applied to the daily flow of every (flow type, day)."""
@@ -360,9 +405,24 @@ def q_forecast_fitted(spark, d):
     return forecast.fitted_forecast(day_grid(spark, d), p_edges(spark, d), FIT_CUT)
 
 
+@query("fitted_check")
+def q_fitted_check(spark, d):
+    """Training rows, feature x target and feature x residual sums of the fitted model."""
+    return r6(forecast.fit_check(day_grid(spark, d), p_edges(spark, d), FIT_CUT), "sum_xy", "residual_x", bits=10)
+
+
+@query("aligned_horizon")
+def q_aligned_horizon(spark, d):
+    """Every horizon's forecast next to the actual flow of the step it forecasts."""
+    g = checkpoint_table(day_grid(spark, d), "day_grid")
+    third = forecast.diffusion_forecast(g, p_edges(spark, d), DAY, horizon=3).filter(F.col("horizon") == 3)
+    return anomaly.align(g, third)
+
+
 @query("score_windows")
 def q_score_windows(spark, d):
-    return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(), p_edges=p_edges(spark, d))
+    p = forecast.collect_transition(p_edges(spark, d))
+    return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(p))
 
 
 def total_grid(spark, d) -> DataFrame:
@@ -425,6 +485,28 @@ def q_zone_assign(spark, d):
     return assigned_bike(spark, d).select("starttime", "stoptime", "pu_zone", "do_zone")
 
 
+@query("bike_flow_events")
+def q_bike_flow_events(spark, d):
+    """Assigned bike trips -> canonical trips -> inflow and outflow events."""
+    return ev.trips_to_events(trips.bike_trips(assigned_bike(spark, d)))
+
+
+@query("bike_windows")
+def q_bike_windows(spark, d):
+    """5-minute windows of taxi and bike events in one long table."""
+    both = ev.with_source(flow_events(spark, d), "taxi").unionByName(
+        ev.with_source(ev.trips_to_events(trips.bike_trips(assigned_bike(spark, d))), "bike"))
+    return flows.tumbling_flow(both, "5 minutes")
+
+
+@query("trip_anomalies")
+def q_trip_anomalies(spark, d):
+    """Trips -> events -> daily windows -> grid -> forecast -> report, all of one chain."""
+    w = checkpoint_table(flows.tumbling_flow(ev.trips_to_events(trips.typed_trips(td.trips(spark, d)).dropna()), "7 days"), "trip_windows")
+    g = history.dense_grid(w, td.zone_dim(spark, d), 7 * DAY)
+    return anomaly.anomalies(anomaly.residuals(forecast.next_step(g, p_edges(spark, d))), td.zone_dim(spark, d), REPORT_THRESHOLD * 4)
+
+
 @query("geo_points")
 def q_geo_points(spark, d):
     b = assigned_bike(spark, d)

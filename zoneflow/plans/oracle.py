@@ -366,6 +366,67 @@ qs("stream_passthrough", """SELECT starttime, stoptime, round(slat, 6) AS "start
 q("stream_source", "SELECT * FROM fe")
 
 
+qs("bike_flow_events", """SELECT 'inflow' AS flow_type, stoptime AS time, do_zone AS region_id FROM assigned
+  WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL UNION ALL
+  SELECT 'outflow', starttime, pu_zone FROM assigned WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
+qs("bike_windows", """SELECT time_bucket(INTERVAL 5 MINUTE, time) AS interval_start, flow_type, region_id AS zone_id, count(*) AS flow FROM (
+  SELECT 'taxi_' || flow_type AS flow_type, time, region_id FROM fe UNION ALL
+  SELECT 'bike_inflow', stoptime, do_zone FROM assigned WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL UNION ALL
+  SELECT 'bike_outflow', starttime, pu_zone FROM assigned WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL) GROUP BY ALL""")
+
+# The OD graph without its lighter edges (isolated nodes), and its dense kernel.
+GRAPH_SPARSE = GRAPH.replace("g AS (SELECT pu_zone", "gall AS (SELECT pu_zone").replace("deg AS (SELECT src, sum(w) AS d FROM g",
+                             "g AS (SELECT * FROM gall WHERE w > (SELECT avg(w) FROM gall) * 1.5),\ndeg AS (SELECT src, sum(w) AS d FROM g", 1)
+KERNEL = """,
+kd AS (SELECT a.node AS i, b.node AS j, CASE WHEN g.w IS NULL THEN 1.0::DOUBLE WHEN isfinite(g.w) THEN exp(-((g.w / sigma) ^ 2)) ELSE 0.0 END AS w
+       FROM nodes a CROSS JOIN nodes b CROSS JOIN ksig LEFT JOIN g ON g.src = a.node AND g.dst = b.node),
+ks AS (SELECT 0 AS support, i, j, w FROM kd UNION ALL SELECT 1, j, i, w FROM kd),
+kr AS (SELECT support, i, sum(w) AS d FROM ks GROUP BY ALL),
+kp AS (SELECT ks.support, ks.j AS i, ks.i AS j, ks.w / kr.d AS w FROM ks JOIN kr USING (support, i)),
+x0 AS (SELECT s.support, flow_type, interval_start, zone_id, CAST(flow AS DOUBLE) AS x FROM grid CROSS JOIN (SELECT unnest([0, 1]) AS support) s),
+x1 AS (SELECT support, flow_type, interval_start, kp.i AS zone_id, sum(kp.w * x) AS x FROM x0 JOIN kp USING (support) WHERE kp.j = x0.zone_id GROUP BY ALL),
+y2 AS (SELECT support, flow_type, interval_start, kp.i AS zone_id, sum(kp.w * x) AS x FROM x1 JOIN kp USING (support) WHERE kp.j = x1.zone_id GROUP BY ALL),
+x2 AS (SELECT support, flow_type, interval_start, zone_id, 2 * y2.x - x0.x AS x FROM y2 JOIN x0 USING (support, flow_type, interval_start, zone_id))
+"""
+
+
+def qsparse(name: str, body: str, more: str = "") -> None:
+    ORACLE[name] = BASE + GRAPH_SPARSE + more + body
+
+
+qsparse("transition_sparse", "SELECT src, dst, round(w, 6) AS w FROM tr0 WHERE w <> 0")
+qsparse("double_transition_sparse", "SELECT support, src, dst, round(w, 6) AS w FROM sup WHERE w <> 0")
+qsparse("sym_normalize_sparse", "SELECT src, dst, round(w, 6) AS w FROM sym WHERE w <> 0")
+qsparse("normalized_laplacian_sparse", "SELECT src, dst, round(w, 6) AS w FROM nlap")
+qsparse("scaled_laplacian_sparse", "SELECT src, dst, round(w, 6) AS w FROM scal")
+qsparse("kernel_row_sums", "SELECT i AS node, round(d, 6) AS d FROM kr WHERE support = 0", KERNEL)
+qsparse("kernel_diffusion", """SELECT flow_type, interval_start, CAST(support * 3 + degree AS BIGINT) AS k, zone_id, round(x, 9) AS value FROM (
+  SELECT 0 AS degree, * FROM x0 UNION ALL SELECT 1, support, flow_type, interval_start, zone_id, x FROM x1
+  UNION ALL SELECT 2, support, flow_type, interval_start, zone_id, x FROM x2)""", KERNEL)
+
+DESIGN = """,
+lg AS (SELECT flow_type, interval_start, zone_id, flow AS y, n_hist, last, """ + ", ".join(f"lag(flow, {12 - i}) OVER s AS x{i}" for i in range(12)) + """
+       FROM hist WINDOW s AS (PARTITION BY flow_type, zone_id ORDER BY interval_start)),
+nb AS (SELECT f.flow_type, f.interval_start, p.src AS zone_id, sum(p.w * f.last) AS x12 FROM lg f JOIN tr0 p ON p.dst = f.zone_id WHERE n_hist = 12 GROUP BY ALL),
+u AS (SELECT lg.*, coalesce(nb.x12, 0.0) AS x12, 1.0::DOUBLE AS x13 FROM lg LEFT JOIN nb USING (flow_type, interval_start, zone_id)
+      WHERE n_hist = 12 AND interval_start < TIMESTAMP '2024-01-20'),
+xs AS (SELECT flow_type, y, unnest(range(14)) AS feature, unnest([""" + ", ".join(f"x{i}::DOUBLE" for i in range(14)) + """]) AS x FROM u)
+"""
+# A least-squares fit leaves residuals that are orthogonal to every feature.
+ORACLE["fitted_check"] = BASE + GRAPH + DESIGN + """SELECT flow_type, CAST(feature AS INTEGER) AS feature, count(*) AS n_rows, round(sum(x * y), 4) AS sum_xy,
+  0.0::DOUBLE AS residual_x FROM xs GROUP BY ALL"""
+qf("aligned_horizon", """SELECT flow_type, interval_start, zone_id, g.flow AS actual, h.forecast FROM grid g JOIN (
+  SELECT fz.flow_type, fz.zone_id, fz.interval_start + INTERVAL 2 DAY AS interval_start, CAST(trunc(round(f3.z * fz.sd + fz.mu, 9)) AS BIGINT) AS forecast
+  FROM fz JOIN f3 USING (flow_type, interval_start, zone_id)) h USING (flow_type, interval_start, zone_id)""")
+BASE_TRIPS = BASE.replace("ev AS (SELECT event_type AS flow_type, ts AS time, CAST(user_id % 25 AS BIGINT) AS region_id FROM events)", """ev AS (
+  SELECT 'inflow' AS flow_type, dropoff AS time, do_zone AS region_id FROM trips WHERE pickup IS NOT NULL AND dropoff IS NOT NULL AND pu_zone IS NOT NULL AND do_zone IS NOT NULL
+  UNION ALL SELECT 'outflow', pickup, pu_zone FROM trips WHERE pickup IS NOT NULL AND dropoff IS NOT NULL AND pu_zone IS NOT NULL AND do_zone IS NOT NULL)""")
+BASE_TRIPS = BASE_TRIPS.replace("time_bucket(INTERVAL 1 DAY, time)", "time_bucket(INTERVAL 7 DAY, time, TIMESTAMP '1970-01-01')").replace(
+    "generate_series(t0, t1, INTERVAL 1 DAY)", "generate_series(t0, t1, INTERVAL 7 DAY)")
+assert "INTERVAL 7 DAY" in BASE_TRIPS and "UNION ALL SELECT 'outflow', pickup" in BASE_TRIPS
+ORACLE["trip_anomalies"] = BASE_TRIPS + GRAPH + FORECAST.replace("THRESHOLD", str(4 * REPORT_THRESHOLD)) + "SELECT * FROM anom"
+
+
 for _k in list(ORACLE):
     ORACLE[_k] = snap_rounding(ORACLE[_k])
 
