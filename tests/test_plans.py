@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 STREAMING = {"stream_tumbling", "stream_source", "stream_passthrough", "live_anomalies"}
-KEYS = sorted(set(E.queries()) - STREAMING)
+KEYS = sorted(set(E.QUERIES) - STREAMING)
 
 
 @pytest.mark.parametrize("key", KEYS)
