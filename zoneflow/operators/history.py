@@ -52,13 +52,13 @@ def _indexed(df: DataFrame, order: str) -> DataFrame:
     return df.withColumn("_i", (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))
 
 
-def flow_types(windows: DataFrame) -> DataFrame:
+def channels(windows: DataFrame) -> DataFrame:
     """Distinct non-null flow types (the channels)."""
     return windows.select("flow_type").filter(F.col("flow_type").isNotNull()).distinct()
 
 
 def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None, t1=None,
-               types: DataFrame | None = None) -> DataFrame:
+               flow_types: DataFrame | list[str] | None = None) -> DataFrame:
     """Zero-filled grid ``flow_type x step x zone`` between ``t0`` and ``t1`` (inclusive;
     by default the first and last window start).
 
@@ -70,8 +70,12 @@ def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None,
     by series and summed per cell.
     """
     spark = windows.sparkSession
+    if flow_types is None:
+        types = channels(windows)
+    else:
+        types = spark.createDataFrame([(t,) for t in flow_types], "flow_type string") if isinstance(flow_types, list) else flow_types
     zone_dim = checkpoint_table(_indexed(zones.select(F.col("zone_id").cast("long"), F.col("graph_id").cast("long")), "zone_id"), "grid_zones")
-    type_dim = checkpoint_table(_indexed(flow_types(windows) if types is None else types, "flow_type"), "grid_types")
+    type_dim = checkpoint_table(_indexed(types, "flow_type"), "grid_types")
     if t0 is None or t1 is None:
         lo, hi = windows.filter(F.col("flow_type").isNotNull()).agg(F.min("interval_start"), F.max("interval_start")).first()
         t0 = lo if t0 is None else t0

@@ -191,7 +191,7 @@ def q_flow_matrix(spark, d):
 @query("flow_channels")
 def q_flow_channels(spark, d):
     g = day_grid(spark, d)
-    types = sorted(r["flow_type"] for r in history.flow_types(td.events(spark, d)).collect())  # one column each
+    types = sorted(r["flow_type"] for r in history.channels(td.events(spark, d)).collect())  # one column each
     return history.flow_channels(g, types)
 
 

@@ -28,11 +28,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first write."""
-    return spark.read.parquet(path) if _exists(spark, path) else None
-
-
 _write_partition = sinks.write_batch_partition
 
 
@@ -131,7 +126,7 @@ class LiveDetector:
                         & (F.col("interval_start") >= history.ts_literal(start)))
                 .drop("interval_date", "batch_id"))
         grid = history.dense_grid(hist, self.zones, self.step_seconds, t0=start, t1=new_max,
-                                  types=spark.createDataFrame([(t,) for t in types], "flow_type string"))
+                                  flow_types=types)
         pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
         if prev_max is not None:
             pred = pred.filter(F.col("interval_start") > history.ts_literal(prev_max))
@@ -149,6 +144,8 @@ class LiveDetector:
         self._remember(batch_id, before, now_rows)
 
 
+_ANOMALIES = ("interval_start timestamp_ntz, flow_type string, zone_id bigint, graph_id bigint, zone_name string, "
+              "actual bigint, forecast bigint, residual bigint")
 _PROGRESS_ROW = "flow_type string, lo timestamp_ntz, hi timestamp_ntz"
 _PROGRESS = "flow_type string, lo timestamp_ntz, hi timestamp_ntz, batch_id bigint"
 
@@ -163,9 +160,7 @@ def start_live(closed_windows: DataFrame, detector: LiveDetector, checkpoint: st
 
 
 def read_anomalies(spark: SparkSession, detector: LiveDetector) -> DataFrame:
-    t = _read(spark, detector.anomalies_path)
-    if t is None:
-        return spark.createDataFrame([], "interval_start timestamp_ntz, flow_type string, zone_id bigint, "
-                                         "graph_id bigint, zone_name string, actual bigint, forecast bigint, "
-                                         "residual bigint")
-    return t.drop("batch_id")
+    if not _exists(spark, detector.anomalies_path):
+        return spark.createDataFrame([], _ANOMALIES)
+    # the schema is given: a stream without anomalies leaves a folder without files
+    return spark.read.schema(_ANOMALIES + ", batch_id bigint").parquet(detector.anomalies_path).drop("batch_id")
