@@ -180,5 +180,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model predicts good, with all their columns."""
-    packed = docs.select(F.struct("*").alias("_row"), *[c.cast("double").alias(n) for n, c in statistics(docs["text"]).items()])
-    return packed.where(model.column() >= 0.5).select("_row.*")
+    # the row number keeps the filter above the projection: pushed below it, every rule would
+    # compute its statistics anew
+    packed = docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_rid"),
+                         *[c.cast("double").alias(n) for n, c in statistics(docs["text"]).items()])
+    return packed.where((model.column() >= 0.5) & (F.col("_rid") >= 0)).select("_row.*")
