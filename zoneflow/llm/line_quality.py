@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import group_key, sized, slices, written
+from zoneflow.llm.common import group_key, sized, slices, small_batches, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -106,7 +106,8 @@ def judge(docs: DataFrame, host: str = "source", min_line_docs: int = MIN_LINE_D
     id_type = dict(docs.dtypes)["doc_id"]
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", group_key(F.col(host)).alias("g"),
                        F.xxhash64("text").alias("text_hash"), "text")
-    stats = written(rows.mapInArrow(_stats, STATS.format(id=id_type)), "line-stats")
+    with small_batches(docs.sparkSession, 1000):
+        stats = written(rows.mapInArrow(_stats, STATS.format(id=id_type)), "line-stats")
     distinct = stats.select("g", "text_hash", "line_hash").dropDuplicates(["g", "text_hash"])
     docs_of = distinct.groupBy("g").agg(F.count(F.lit(1)).alias("n_docs"))
     held = distinct.select("g", F.explode("line_hash").alias("h")).groupBy("g", "h").agg(F.count(F.lit(1)).alias("n"))

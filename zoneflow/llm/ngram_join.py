@@ -83,7 +83,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", 1 << 21):
             sets = shingle_sets(part.column("text").to_pylist())
             low = [a[:max(int(np.searchsorted(a, LOW_LIMIT)), prefix_length(len(a)) if len(a) else 0)] for a in sets]
             yield pa.RecordBatch.from_arrays([part.column("nid"), part.column("doc_id"), part.column("text_hash"), pa.array([len(a) for a in sets], pa.int64()), pa.array([_print(a) for a in sets], pa.binary()), _lists(low)],
@@ -250,7 +250,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``nid, tokens`` of the nodes in ``wanted`` (``nid, doc_id, print``), made anew from the texts."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 21):
                 sets = shingle_sets(part.column("text").to_pylist())
                 same = [i for i, (s, p) in enumerate(zip(sets, part.column("print").to_pylist())) if _print(s) == p]
                 yield pa.RecordBatch.from_arrays([part.column("nid").take(pa.array(same, pa.int64())), _lists([sets[i] for i in same])], names=["nid", "tokens"])
@@ -306,6 +306,11 @@ def classes(docs: DataFrame) -> DataFrame:
     Exact but for collisions of 64-bit shingle hashes: candidate generation and bounds never
     lose a linked pair of different sets unless other links already connect it.
     """
+    with small_batches(docs.sparkSession, 1000):  # every Python step below runs in an eager job
+        return _classes(docs)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     id_type = dict(docs.dtypes)["doc_id"]
     rows = docs.select(F.monotonically_increasing_id().alias("nid"), "doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -334,7 +339,8 @@ def classes(docs: DataFrame) -> DataFrame:
     prefixes = nodes.mapInArrow(_prefixes(frequent), places)
 
     tokens = prefixes.select("nid", F.explode("cold").alias("token")).repartition("token").sortWithinPartitions("token")
-    met = written(tokens.select("token", "nid").mapInArrow(_pairs, "x long, y long, token long").groupBy("x", "y", "token").agg(F.count(F.lit(1)).alias("c")), "jaccard-met")
+    with small_batches(spark, 10_000):
+        met = written(tokens.select("token", "nid").mapInArrow(_pairs, "x long, y long, token long").groupBy("x", "y", "token").agg(F.count(F.lit(1)).alias("c")), "jaccard-met")
     late = written(met.where("token is not null").select("token"), "jaccard-late")
     release(spark)
     facts = prefixes.select("nid", "n", F.size("hot").alias("slack"), "cold")
