@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import math
 import re
 import uuid
 from collections.abc import Iterator
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import written
+from zoneflow.llm.common import sized, written
 from zoneflow.session import shared_path
 
 ARCHIVE_BYTES = 8 << 20
@@ -246,13 +245,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def convert_archives(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """ARC archives under ``arc_path`` to WARC archives under ``warc_path``. The first pass
-    takes digests only; payloads are shuffled once, by record."""
+    takes digests only. Payloads are not shuffled while the list of revisits is small enough
+    to broadcast, and once, by record, beyond that."""
     light = written(convert(spark, arc_path, payload=False).select("record_id", "digest", "payload_bytes", "page_id"), "arc-digests")
     again = written(revisits(light, min_bytes), "arc-revisits")
-    total = light.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("b")).first()["b"]
-    parts = max(1, math.ceil(total / (2 * ARCHIVE_BYTES)))
-    records = convert(spark, arc_path).repartition(parts, "record_id").join(again.repartition(parts, "record_id"), "record_id", "left")
-    write_warc(records, warc_path)
+    write_warc(convert(spark, arc_path).join(sized(again), "record_id", "left"), warc_path)
 
 
 def archive_pages(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
