@@ -432,3 +432,29 @@ def test_line_rules_keep_groups_of_copies(spark):
     text = prose(random.Random(5), 80)
     df = docs_of(spark, [(i, text, "en", "h") for i in range(40)])
     assert line_quality.keep_good(df).count() == 40
+
+
+def test_frequent_lines_leave_the_text(spark, odd):
+    rng = random.Random(6)
+    often, rows = ["Read More 7", "All rights reserved", "\u00c9t\u00e9 9 fois"], []
+    for i in range(60):
+        lines = [prose(rng, 20) for _ in range(4)] + rng.choices(often, k=i % 4) + [rng.choice(["", " \t", "Once \r"])] + ["rare one"] * (i < 3)
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines) + "\n" * (i % 2), "en", [None, "h"][i % 2]))
+    rows += [rows[1], rows[1], (None, rows[2][1], "en", None), (500, rows[2][1], "en", "lone")]
+    df = odd.unionByName(docs_of(spark, rows))
+    table = df.collect()
+    texts = collections.defaultdict(set)
+    for r in table:
+        texts[r["source"]].add(r["text"] or "")
+    held = {s: collections.Counter(h for t in ts for h in {line_quality.line_hash(x) for x in t.split("\n") if x.split()}) for s, ts in texts.items()}
+    assert len({h for c in held.values() for h in c if c[h] > 10}) >= 3
+
+    def brute(r):
+        return "\n".join(x for x in r["text"].split("\n") if not x.split() or held[r["source"]][line_quality.line_hash(x)] <= 10)
+
+    kept = {(r["doc_id"], r["host"]) for r in line_quality.judge(df).collect() if r["kept"]}
+    want = [r.asDict() | {"text": brute(r)} for r in table if (r["doc_id"], "n" if r["source"] is None else "v" + r["source"]) in kept]
+    got = line_quality.keep_good(df)
+    assert got.columns == df.columns and sum(w["text"] not in {r["text"] for r in table} for w in want) > 30
+    assert sorted((repr(r.asDict()) for r in got.collect())) == sorted(map(repr, want))

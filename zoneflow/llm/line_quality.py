@@ -25,7 +25,7 @@ MAX_REMOVED_SHARE = 0.7   # a document that loses more of its words is depleted
 SYMBOLS = r"[#*$%&|<>]"
 
 STATS = ("rid long, doc_id {id}, g string, text_hash long, n_words long, word_chars long, n_symbols long, "
-         "n_dup_lines long, n_repeat_words long, line_hash array<long>, line_words array<long>")
+         "n_dup_lines long, n_repeat_words long, line_hash array<long>, line_words array<long>, line_at array<array<int>>")
 
 
 def normal_line(line: str) -> str:
@@ -38,17 +38,18 @@ def line_hash(line: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _lines(text: str) -> tuple[int, list[int], list[int]]:
-    """Repeated lines, and for each distinct normalised line its hash and words."""
-    seen, dup, words = set(), 0, {}
-    for line in text.split("\n"):
+def _lines(text: str) -> tuple[int, list[int], list[int], list[list[int]]]:
+    """Repeated lines, and for each distinct normalised line its hash, words and places (from 0)."""
+    seen, dup, words, at = set(), 0, {}, {}
+    for i, line in enumerate(text.split("\n")):
         n = len(line.encode("utf-8", "surrogatepass").split())  # bytes split at ASCII white space only
         if n:
             dup += line in seen
             seen.add(line)
             h = line_hash(line)
             words[h] = words.get(h, 0) + n
-    return dup, list(words), list(words.values())
+            at.setdefault(h, []).append(i)
+    return dup, list(words), list(words.values()), list(at.values())
 
 
 def word_stats(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,8 +88,8 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [part.column("rid"), part.column("doc_id"), part.column("g"), part.column("text_hash"), pa.array(n_words, pa.int64()),
                  pa.array(chars, pa.int64()), symbols, pa.array([x[0] for x in lines], pa.int64()), pa.array(repeat, pa.int64()),
-                 pa.array([x[1] for x in lines], longs), pa.array([x[2] for x in lines], longs)],
-                names=["rid", "doc_id", "g", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_hash", "line_words"])
+                 pa.array([x[1] for x in lines], longs), pa.array([x[2] for x in lines], longs), pa.array([x[3] for x in lines], pa.list_(pa.list_(pa.int32())))],
+                names=["rid", "doc_id", "g", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_hash", "line_words", "line_at"])
 
 
 def judge(docs: DataFrame, host: str = "source", min_line_docs: int = MIN_LINE_DOCS, max_line_share: float = MAX_LINE_SHARE,
@@ -103,6 +104,11 @@ def judge(docs: DataFrame, host: str = "source", min_line_docs: int = MIN_LINE_D
     Null and blank texts have no words and fail the base rules; null hosts are one host; null
     ids and repeated rows are judged row by row. An empty table gives no rows.
     """
+    return _judged(docs, host, min_line_docs, max_line_share, max_removed_share).drop("removed_lines")
+
+
+def _judged(docs: DataFrame, host: str, min_line_docs: int, max_line_share: float, max_removed_share: float) -> DataFrame:
+    """The columns of ``judge`` and ``removed_lines``, the places of the frequent lines (null: none)."""
     id_type = dict(docs.dtypes)["doc_id"]
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", group_key(F.col(host)).alias("g"),
                        F.xxhash64("text").alias("text_hash"), "text")
@@ -113,19 +119,27 @@ def judge(docs: DataFrame, host: str = "source", min_line_docs: int = MIN_LINE_D
     held = distinct.select("g", F.explode("line_hash").alias("h")).groupBy("g", "h").agg(F.count(F.lit(1)).alias("n"))
     frequent = sized(written(held.where(F.col("n") > min_line_docs).join(docs_of, "g")
                              .where(F.col("n") > F.col("n_docs") * max_line_share).select("g", "h"), "line-frequent"))
-    lines = stats.select("rid", "g", F.explode(F.arrays_zip("line_hash", "line_words")).alias("l")).select("rid", "g", F.col("l.line_hash").alias("h"), F.col("l.line_words").alias("w"))
-    removed = lines.join(frequent, ["g", "h"]).groupBy("rid").agg(F.sum("w").alias("removed_words"))
+    lines = stats.select("rid", "g", F.explode(F.arrays_zip("line_hash", "line_words", "line_at")).alias("l"))
+    lines = lines.select("rid", "g", F.col("l.line_hash").alias("h"), F.col("l.line_words").alias("w"), F.col("l.line_at").alias("at"))
+    removed = lines.join(frequent, ["g", "h"]).groupBy("rid").agg(F.sum("w").alias("removed_words"), F.flatten(F.collect_list("at")).alias("removed_lines"))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    out = (stats.drop("line_hash", "line_words").withColumnRenamed("g", "host").join(removed, "rid", "left")
+    out = (stats.drop("line_hash", "line_words", "line_at").withColumnRenamed("g", "host").join(removed, "rid", "left")
            .withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long"))).withColumn("base_failed", base_failed)
            .withColumn("kept", ~F.col("base_failed") & ~(F.col("removed_words") > max_removed_share * F.col("n_words"))))
     return out.drop("rid")
 
 
-def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns. Rows are matched by
-    id, host and text hash (equal rows have equal verdicts), against the smaller list of rejects."""
-    verdicts = judge(docs.select("doc_id", "text", host), host)
-    rejected = sized(written(verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("host").alias("_g"), F.col("text_hash").alias("_t")).distinct(), "line-rejects"))
-    same = docs["doc_id"].eqNullSafe(rejected["_d"]) & (group_key(docs[host]) == rejected["_g"]) & (F.xxhash64(docs["text"]) == rejected["_t"])
-    return docs.join(rejected, same, "left_anti")
+def keep_good(docs: DataFrame, host: str = "source", min_line_docs: int = MIN_LINE_DOCS, max_line_share: float = MAX_LINE_SHARE,
+              max_removed_share: float = MAX_REMOVED_SHARE) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, without their frequent lines: the other lines,
+    blank ones too, stay as they are and in order, the other columns as they came. Rows are
+    matched by id, host and text hash (equal rows are judged equally), against the smaller
+    list of rows that go or lose lines."""
+    judged = _judged(docs.select("doc_id", "text", host), host, min_line_docs, max_line_share, max_removed_share)
+    changed = judged.where(~F.col("kept") | F.col("removed_lines").isNotNull()).select(
+        F.col("doc_id").alias("_d"), F.col("host").alias("_g"), F.col("text_hash").alias("_t"), F.col("kept").alias("_kept"), F.when(F.col("kept"), F.col("removed_lines")).alias("_lines"))
+    changed = sized(written(changed.dropDuplicates(["_d", "_g", "_t"]), "line-changes"))
+    same = docs["doc_id"].eqNullSafe(changed["_d"]) & (group_key(docs[host]) == changed["_g"]) & (F.xxhash64(docs["text"]) == changed["_t"])
+    other = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
+    text = F.when(F.col("_lines").isNull(), docs["text"]).otherwise(other)
+    return docs.join(changed, same, "left").where(F.coalesce("_kept", F.lit(True))).select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
