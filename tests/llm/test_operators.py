@@ -183,6 +183,25 @@ def test_wrapper_drops_constant_slots(spark):
 # --- archives ---------------------------------------------------------------------------
 
 
+def test_wrapper_drops_constant_siblings(spark):
+    def page(host, i, body):
+        return (100 * len(host) + i, f"http://{host}/{i}", f"<html><body>{body}</body></html>")
+
+    def story(i, k):
+        return "".join(f"<p>story {i} part {j}</p>" for j in range(k))
+
+    rows = [page("a.org", i, f"<article>{story(i, 1 + i % 3)}<p>All rights reserved</p></article>") for i in range(20)]
+    rows += [page("bb.org", i, f"<div>Menu</div><div>tale {i}</div><div>{'Rights' if i else 'Other'}</div>") for i in range(20)]
+    rows += [page("ccc.org", i, f"<article>{story(i, 2)}{'<p>Part time</p>' * (i < 15)}</article>") for i in range(20)]
+    rows += [page("dddd.org", i, f"<article>{story(i, 2)}<p>Few pages</p></article>") for i in range(4)]
+    got = {r["url"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert got[f"http://a.org/{i}"] == "\n".join(f"story {i} part {j}" for j in range(1 + i % 3))
+        assert got[f"http://bb.org/{i}"] == f"tale {i}" + "\nOther" * (i == 0)
+        assert got[f"http://ccc.org/{i}"].endswith("Part time") == (i < 15)
+    assert all(got[f"http://dddd.org/{i}"].endswith("Few pages") for i in range(4))
+
+
 def test_arc_versions():
     v1 = b"filedesc://x 0.0.0.0 20200101000000 text/plain 75\n" + b"1 0 org\nURL IP-address Archive-date Content-type Archive-length\n".ljust(75, b"\n")
     v1 += b"\nhttp://a/ b 1.2.3.4 20200102030405 text/html 5\nab\ncd\n"

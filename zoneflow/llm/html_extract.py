@@ -304,9 +304,11 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 by_slot: dict[int, list[str]] = {}
                 for s, t in blocks:
                     by_slot.setdefault(s, []).append(t)
-                rows.append((tree, serial, _hash("\n".join(t for _, t in blocks)), list(by_slot), [_hash("\n".join(x)) for x in by_slot.values()]))
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column("host"), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))], names=["host", "tree", "serial", "page", "slots", "texts"])
+                whole = [_hash("\n".join(x)) for x in by_slot.values()]
+                parts = [(s, h) for s, x in by_slot.items() if len(x) > 1 for h in {_hash(t) for t in x}]
+                rows.append((tree, serial, _hash("\n".join(t for _, t in blocks)), [*by_slot, *(s for s, _ in parts)], [*whole, *(h for _, h in parts)], [True] * len(whole) + [False] * len(parts)))
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column("host"), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))], names=["host", "tree", "serial", "page", "slots", "texts", "whole"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,25 +321,34 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def induce(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """Template slots: ``host, tree, template`` (array of slots) for the trees that have any.
+    """Template of the trees that have any: ``host, tree, template`` (array of slots) and
+    ``lines`` (array of slot and text hash: single blocks of a slot that stands for siblings).
 
     Every page counts. Its folded tree is aligned with the host's most frequent one; a slot's
     texts are counted over the distinct pages of the host, at the aligned place (or its own, if
     it has none). A slot is template if at least ``min_pages`` pages have it and ``share`` of
-    them the same text.
+    them the same text; of other such slots, the blocks that ``share`` of these pages hold.
     """
-    seen = written(pages.select("host", "html").mapInArrow(_slots, "host string, tree string, serial string, page long, slots array<int>, texts array<long>").dropDuplicates(["host", "page"]), "html-slots")
+    seen = written(pages.select("host", "html").mapInArrow(_slots, "host string, tree string, serial string, page long, slots array<int>, texts array<long>, whole array<boolean>").dropDuplicates(["host", "page"]), "html-slots")
     trees = seen.groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n"), F.min("serial").alias("serial"))
     trees = written(trees, "html-trees")
     model = trees.groupBy("host").agg(F.max_by("serial", F.struct("n", "tree")).alias("model"))
     placed = written(trees.join(model, "host").mapInArrow(_aligned, "host string, tree string, places array<int>"), "html-places")
-    texts = seen.select("host", "tree", F.explode(F.arrays_zip("slots", "texts")).alias("s")).groupBy("host", "tree", F.col("s.slots").alias("slot"), F.col("s.texts").alias("text")).agg(F.count(F.lit(1)).alias("n"))
+    texts = seen.select("host", "tree", F.explode(F.arrays_zip("slots", "texts", "whole")).alias("s"))
+    texts = texts.groupBy("host", "tree", F.col("s.slots").alias("slot"), F.col("s.texts").alias("text"), F.col("s.whole").alias("whole")).agg(F.count(F.lit(1)).alias("n"))
     place = F.element_at("places", F.col("slot") + 1)
     texts = texts.join(placed, ["host", "tree"]).withColumn("place", F.when(place >= 0, place.cast("string")).otherwise(F.concat_ws(":", "tree", F.col("slot").cast("string")))).drop("places")
     texts = written(texts, "html-texts")
-    per = texts.groupBy("host", "place", "text").agg(F.sum("n").alias("n")).groupBy("host", "place").agg(F.sum("n").alias("pages"), F.max("n").alias("same"))
-    constant = per.where((F.col("pages") >= min_pages) & (F.col("same") >= share * F.col("pages"))).select("host", "place")
-    return texts.select("host", "tree", "slot", "place").distinct().join(constant, ["host", "place"]).groupBy("host", "tree").agg(F.collect_set("slot").alias("template"))
+    per = texts.groupBy("host", "place", "text").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("whole"), F.col("n")).otherwise(0)).alias("n_whole"))
+    places = per.groupBy("host", "place").agg(F.sum("n_whole").alias("pages"), F.max("n_whole").alias("same")).where(F.col("pages") >= min_pages)
+    places = sized(written(places, "html-pages"))
+    constant = places.where(F.col("same") >= share * F.col("pages")).select("host", "place")
+    slots = texts.select("host", "tree", "slot", "place").distinct().join(constant, ["host", "place"]).select("host", "tree", "slot", F.lit(None).cast("long").alias("text"))
+    often = per.where(F.col("n") >= share * min_pages).join(places, ["host", "place"]).where((F.col("n") >= share * F.col("pages")) & (F.col("same") < share * F.col("pages")))
+    often = sized(written(often.select("host", "place", "text"), "html-often"))
+    lines = texts.join(often, ["host", "place", "text"]).select("host", "tree", "slot", "text")
+    return slots.unionByName(lines).groupBy("host", "tree").agg(
+        F.collect_set(F.when(F.col("text").isNull(), F.col("slot"))).alias("template"), F.collect_set(F.when(F.col("text").isNotNull(), F.struct("slot", "text"))).alias("lines"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,15 +356,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "html"):
             rows = [analyse(t or "") for t in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array([r[0] for r in rows], pa.string()), pa.array([[s for s, _ in r[2]] for r in rows], pa.list_(pa.int32())),
-                                              pa.array([[t for _, t in r[2]] for r in rows], pa.list_(pa.string()))], names=["page_id", "url", "host", "tree", "slots", "blocks"])
+                                              pa.array([[t for _, t in r[2]] for r in rows], pa.list_(pa.string())), pa.array([[_hash(t) for _, t in r[2]] for r in rows], pa.list_(pa.int64()))],
+                                             names=["page_id", "url", "host", "tree", "slots", "blocks", "hashes"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages`` (``page_id, url, html``).
 
     The text is that of the top-level ``article`` elements (else ``main``, else the body)
-    without furniture and without template slots, one block a line. If all slots of a page
-    are template, its host tells nothing about them and they stay. Null, empty and text-free
+    without furniture and without template slots and blocks, one block a line. If all of a
+    page is template, its host tells nothing about them and they stay. Null, empty and text-free
     pages have an empty text; a null URL is a host of its own; malformed markup is read as
     browsers do; repeated rows come out as often as they go in; other columns are ignored.
     """
@@ -361,9 +373,9 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", host.alias("host"), "html")
     template = sized(written(induce(rows), "html-template"))
     kinds = dict(pages.dtypes)
-    found = rows.mapInArrow(_blocks, f"page_id {kinds['page_id']}, url string, host string, tree string, slots array<int>, blocks array<string>")
+    found = rows.mapInArrow(_blocks, f"page_id {kinds['page_id']}, url string, host string, tree string, slots array<int>, blocks array<string>, hashes array<long>")
     found = found.join(template, ["host", "tree"], "left")
-    pairs = F.arrays_zip("slots", "blocks")
-    varying = F.filter(pairs, lambda p: ~F.array_contains(F.col("template"), p["slots"]))
+    pairs = F.arrays_zip("slots", "blocks", "hashes")
+    varying = F.filter(pairs, lambda p: ~F.array_contains(F.col("template"), p["slots"]) & ~F.exists("lines", lambda x: (x["slot"] == p["slots"]) & (x["text"] == p["hashes"])))
     kept = F.when(F.col("template").isNull() | (F.size(varying) == 0), F.col("blocks")).otherwise(F.transform(varying, lambda p: p["blocks"]))
     return found.withColumn("text", F.array_join(kept, "\n")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
