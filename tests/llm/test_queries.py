@@ -21,8 +21,8 @@ def table(name):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
-    assert [sum(k.startswith(n) for k in QUERIES) for n in names] == [1] * 10
+    names = [f"op{n}_" for n in range(1, 14)]
+    assert [sum(k.startswith(n) for k in QUERIES) for n in names] == [1] * 13
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(QUERIES)
 
 
@@ -38,6 +38,20 @@ def test_language_on_held_out_documents(spark):
     assert len(held) > 100 and (held.lang_pred == held.lang).mean() >= 0.95
 
 
+def test_toxicity_on_held_out_labels(spark):
+    # few toxic documents in some languages here; README has the figures of larger tables
+    got = E.queries()["op11_toxicity"](spark, SF).toPandas()
+    assert len(got) == len(table("documents")) and got.score.between(0, 1).all() and ((got.score >= 0.3) == (got.predicted == 1)).all()
+    texts = table("documents").set_index("doc_id").text
+    for r in got[got.predicted == 1].itertuples():
+        assert all(texts[r.doc_id][s["start"]:s["end"]].strip() for s in r.spans)
+    held = got.merge(table("labels"), on="doc_id")
+    held = held[held.held_out]
+    assert (held.predicted == held.toxic).mean() >= 0.9 and held.predicted[held.toxic == 0].mean() <= 0.02
+    english = held[(held.toxic == 1) & held.doc_id.isin(table("documents").query("lang == 'en'").doc_id)]
+    assert english.predicted.mean() >= 0.9
+
+
 def test_extraction_matches_a_plain_reading(spark):
     import html
     import re

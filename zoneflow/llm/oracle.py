@@ -1,7 +1,8 @@
 """DuckDB SQL for the corpus queries that SQL can express, written apart from the operators.
 
-No SQL: packing (dynamic program), HTML extraction (tree matching), quality classifier and
-language identification (fitted models), and the pipeline, which contains two of them.
+No SQL: packing (dynamic program), HTML extraction (tree matching), quality classifier,
+language identification and toxicity (fitted models), whitening (decomposition), and the
+pipeline, which contains two of them.
 """
 
 from __future__ import annotations
@@ -103,4 +104,20 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT removed_words > 0.7 * n_words AS kept, removed_words FROM b
 """
 
-ORACLE = {"op1_topk": OP1, "op3_url_filters": OP3, "op5_warc": OP5, "op6_mixing": OP6, "op9_ngram_join": OP9, "op10_line_frequency": OP10}
+_TERMS = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT count(*) AS big_n, sum(len(w))::BIGINT AS big_l FROM d WHERE len(w) > 0),
+q AS (SELECT row_number() OVER () AS qid, item_id, unnest({_TERMS}) AS t FROM benchmark),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY rid, t),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+g AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS wt FROM f, s),
+h AS (SELECT p.rid, d.doc_id, p.t, wt * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w) * big_n) // big_l))) AS v
+      FROM p JOIN d ON p.rid = d.rid JOIN g ON g.t = p.t, s),
+c AS (SELECT qid, item_id, rid, doc_id, sum(v)::BIGINT AS score FROM q JOIN h ON q.t = h.t GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS "rank" FROM c WHERE score > 0)
+SELECT item_id, "rank", doc_id, score FROM r WHERE "rank" <= 20
+"""
+
+ORACLE = {"op1_topk": OP1, "op3_url_filters": OP3, "op5_warc": OP5, "op6_mixing": OP6, "op9_ngram_join": OP9, "op10_line_frequency": OP10, "op13_lexical": OP13}

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneflow.llm import html_extract, language_id, line_quality, mixing, ngram_join, packing, quality_model, topk_search, url_filter, warc
+from zoneflow.llm import (html_extract, language_id, lexical_search, line_quality, mixing, ngram_join, packing, quality_model, topk_search, toxicity,
+                         url_filter, warc, whitening)
 from zoneflow.llm.common import read
 from zoneflow.llm.oracle import ORACLE  # noqa: F401  (for __spark_entry__)
 
@@ -78,3 +79,22 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate class."""
     return ngram_join.classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by the span tagger, with the places of its spans."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first four whitening components."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
