@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_BYTES, broadcast_if_small, checkpoint_table
+from ..session import BROADCAST_MAX_BYTES, broadcast_if_small, measured_table
 
 GRID_ROWS_PER_PARTITION = 2_000_000
 SERIES_KEYS = ["flow_type", "zone_id"]
@@ -74,24 +74,24 @@ def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None,
         types = channels(windows)
     else:
         types = spark.createDataFrame([(t,) for t in flow_types], "flow_type string") if isinstance(flow_types, list) else flow_types
-    zone_dim = _indexed(zones.select(F.col("zone_id").cast("long"), F.col("graph_id").cast("long")), "zone_id")
-    type_dim = checkpoint_table(_indexed(types, "flow_type"), "grid_types")
+    zone_dim = _indexed(zones.select(F.col("zone_id").cast("long"), F.col("graph_id").cast("long")), "zone_id").withColumnRenamed("_i", "_zone")
+    zone_dim, n_zones, zone_bytes = measured_table(zone_dim, "grid_zones")
+    type_dim, n_types, type_bytes = measured_table(_indexed(types, "flow_type").withColumnRenamed("_i", "_type"), "grid_types")
     if t0 is None or t1 is None:
         lo, hi = windows.filter(F.col("flow_type").isNotNull()).agg(F.min("interval_start"), F.max("interval_start")).first()
         t0 = lo if t0 is None else t0
         t1 = hi if t1 is None else t1
-    n_zones, n_types = zone_dim.count(), type_dim.count()
     n_steps = 0 if t0 is None or t1 is None else max(0, int((t1 - t0).total_seconds() // step_seconds) + 1)
     cells = n_steps * n_types * n_zones
     if not cells:
         return spark.createDataFrame(
             [], "flow_type string, interval_start timestamp_ntz, zone_id bigint, graph_id bigint, flow bigint")
-    number, by_zone = F.col("id"), zone_dim.withColumnRenamed("_i", "_zone")  # 40 bytes a zone at most
+    number = F.col("id")
     grid = spark.range(0, cells, 1, math.ceil(cells / GRID_ROWS_PER_PARTITION)).select(
         F.floor(number / (n_types * n_zones)).cast("long").alias("_step"),
         F.pmod(F.floor(number / n_zones).cast("long"), F.lit(n_types)).alias("_type"), F.pmod(number, F.lit(n_zones)).alias("_zone"))
-    grid = (grid.join(broadcast_if_small(type_dim.withColumnRenamed("_i", "_type")), "_type")
-            .join(F.broadcast(by_zone) if n_zones * 40 <= BROADCAST_MAX_BYTES else by_zone, "_zone"))
+    grid = (grid.join(F.broadcast(type_dim) if type_bytes <= BROADCAST_MAX_BYTES else type_dim, "_type")
+            .join(F.broadcast(zone_dim) if zone_bytes <= BROADCAST_MAX_BYTES else zone_dim, "_zone"))
     start = ts_literal(t0)
     zeros = grid.select("flow_type", F.col("_step"), "zone_id", "graph_id", F.lit(0).cast("long").alias("flow"), F.lit(True).alias("_cell"))
     obs = (windows.withColumn("_step", step_number(F.col("interval_start"), start, step_seconds))

@@ -11,7 +11,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,9 +112,19 @@ def measured_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, name: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``df`` marked for broadcast if its measured size is at most ``max_bytes``; otherwise
     as it is, so that both sides are shuffled (AQE splits hot keys). With ``name`` it is first
-    written to the shared folder: computed once, and what is measured is what is joined."""
-    t = checkpoint_table(df, name) if name else df
-    return F.broadcast(t) if measured_bytes(t) <= max_bytes else t
+    written to the shared folder: computed once, and measured while it is written."""
+    if not name:
+        return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
+    t, _, size = measured_table(df, name)
+    return F.broadcast(t) if size <= max_bytes else t
+
+
+def measured_table(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """``checkpoint_table`` with the number and the size of its rows, observed during the write."""
+    seen = Observation()
+    row = sum((_value_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
+    t = checkpoint_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")), name)
+    return t, seen.get["rows"], seen.get["bytes"]
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
