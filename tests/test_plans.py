@@ -7,7 +7,7 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
-STREAMING = {"stream_tumbling", "stream_source", "stream_passthrough", "live_anomalies"}
+STREAMING = {"stream_tumbling", "stream_topics", "stream_late", "stream_source", "stream_passthrough", "live_anomalies"}
 KEYS = sorted(set(E.QUERIES) - STREAMING)
 
 

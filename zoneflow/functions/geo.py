@@ -109,3 +109,19 @@ def bbox(ring: Column) -> dict[str, Column]:
     xs = F.transform(ring, lambda p: p["x"])
     ys = F.transform(ring, lambda p: p["y"])
     return {"xmin": F.array_min(xs), "xmax": F.array_max(xs), "ymin": F.array_min(ys), "ymax": F.array_max(ys)}
+
+
+def rings_edges(rings: Column) -> Column:
+    """Edges of all rings of a polygon (outer rings, holes, islands, further parts). The even-odd
+    rule over all of them together tells the inside, whatever the order of the rings."""
+    return F.flatten(F.transform(rings, ring_edges))
+
+
+def edge_meets_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """True unless the edge surely misses the closed box: their extents overlap and the corners
+    of the box are not all on one side of the edge's line."""
+    extents = ((F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x1)
+               & (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1))
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    sides = [dx * (y - e["y1"]) - dy * (x - e["x1"]) for x in (x0, x1) for y in (y0, y1)]
+    return extents & ~((F.least(*sides) > 0) | (F.greatest(*sides) < 0))

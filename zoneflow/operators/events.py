@@ -55,17 +55,17 @@ def with_tail(history: DataFrame, live: DataFrame, n: int) -> DataFrame:
     return history.unionByName(first_events(live, n))
 
 
-def publish_payload(events: DataFrame, source: str) -> DataFrame:
+def publish_payload(events: DataFrame, source: str, keep: list[str] | None = None) -> DataFrame:
     """Rows of the message log: ``topic = <source>_<flow_type>`` and a JSON value
     ``{"region_id": .., "time": "yyyy-MM-dd HH:mm:ss.SSSSSS"}`` (times lose nothing)."""
     return events.select(
         F.concat(F.lit(source + "_"), F.col("flow_type")).alias("topic"),
         F.to_json(F.struct(F.col("region_id"), F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time")))
-        .alias("value"))
+        .alias("value"), *(keep or []))
 
 
-def parse_payload(messages: DataFrame) -> DataFrame:
-    """Message rows ``topic, value`` -> ``flow_type, time, region_id``.
+def parse_payload(messages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Message rows ``topic, value`` -> ``flow_type, time, region_id`` and the columns ``keep``.
 
     The flow type is the part of the topic name after its last ``_`` (null without one); the
     JSON is parsed permissively. Stray topics and malformed rows come out with null fields
@@ -73,4 +73,4 @@ def parse_payload(messages: DataFrame) -> DataFrame:
     """
     ev = F.from_json(F.col("value").cast("string"), schemas.FLOW_EVENT_JSON, {"mode": "PERMISSIVE"})
     return messages.select(F.when(F.col("topic").contains("_"), F.substring_index("topic", "_", -1)).alias("flow_type"),
-                           ev["time"].alias("time"), ev["region_id"].alias("region_id"))
+                           ev["time"].alias("time"), ev["region_id"].alias("region_id"), *(keep or []))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, checkpoint_table
 
 
 def restrict_shapes(shapes: DataFrame, zones: DataFrame) -> DataFrame:
@@ -63,6 +63,81 @@ def assign_zone(points: DataFrame, x: str, y: str, shapes: DataFrame | None, out
     return j.withColumn(out, F.try_element_at(hit, F.lit(1))["zone_id"]).drop("_cx", "_cy", "cx", "cy", "candidates")
 
 
+QUAD_LEVELS = 5     # a root cell is split at most so many times
+QUAD_MARGIN = 1e-6  # cells are widened by this share of their side, so that rounding never makes a border cell interior
+
+
+def quad_cover(shapes: DataFrame, root: float, levels: int = QUAD_LEVELS) -> DataFrame:
+    """``zone_id, rings`` -> leaves of an adaptive quadtree over root cells of side ``root``:
+    ``zone_id, rx, ry, level, cx, cy, interior, edges``.
+
+    A cell that no edge touches is interior or left out. A cell on the border is split, down to
+    ``levels``; the leaves left on the border keep the edges that decide for their points: those
+    that a ray to +x from the cell can meet. The tree is built level by level with joins-free
+    array expressions, one row a cell, so a large zone layer is many tasks.
+    """
+    poly = shapes.select("zone_id", geo.rings_edges(F.col("rings")).alias("all"))
+    xs, ys = (F.concat(F.transform("all", lambda e: e[f"{v}1"]), F.transform("all", lambda e: e[f"{v}2"])) for v in "xy")
+    poly = poly.where(F.size("all") > 0)
+    box = poly.select("*", F.floor(F.array_min(xs) / root).alias("x0"), F.floor(F.array_max(xs) / root).alias("x1"),
+                      F.floor(F.array_min(ys) / root).alias("y0"), F.floor(F.array_max(ys) / root).alias("y1"))
+    cells = (box.withColumn("cx", F.explode(F.sequence("x0", "x1"))).withColumn("cy", F.explode(F.sequence("y0", "y1")))
+             .select("zone_id", F.col("cx").alias("rx"), F.col("cy").alias("ry"), "cx", "cy", F.col("all").alias("near"), "all"))
+    leaves = None
+    for level in range(levels + 1):
+        side = root / 2 ** level
+        pad = side * QUAD_MARGIN
+        x0, y0 = F.col("cx") * side - pad, F.col("cy") * side - pad
+        x1, y1 = x0 + (side + 2 * pad), y0 + (side + 2 * pad)
+        cells = cells.withColumn("near", F.filter("near", lambda e: geo.edge_meets_box(e, x0, y0, x1, y1)))
+        # edges whose height range meets the cell and that are not wholly to its left
+        ray = F.filter("all", lambda e: (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1) & (F.greatest(e["x1"], e["x2"]) >= x0))
+        cells = checkpoint_table(cells.withColumn("all", ray), "quad_cells")
+        clear = F.size("near") == 0
+        middle = geo.edges_cross(F.col("all"), (F.col("cx") + 0.5) * side, (F.col("cy") + 0.5) * side)
+        columns = ["zone_id", "rx", "ry", F.lit(level).alias("level"), "cx", "cy"]
+        inside = cells.where(clear & middle).select(*columns, F.lit(True).alias("interior"), F.slice("all", 1, 0).alias("edges"))
+        border = cells.where(~clear)
+        leaves = inside if leaves is None else leaves.unionByName(inside)
+        if level == levels:
+            return leaves.unionByName(border.select(*columns, F.lit(False).alias("interior"), F.col("all").alias("edges")))
+        quarter = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
+        cells = border.withColumn("q", quarter).select("zone_id", "rx", "ry", (F.col("cx") * 2 + F.col("q.i")).alias("cx"), (F.col("cy") * 2 + F.col("q.j")).alias("cy"), "near", "all")
+
+
+def quad_index(shapes: DataFrame, root: float = 5000.0, levels: int = QUAD_LEVELS) -> DataFrame:
+    """The leaves of ``quad_cover`` by root cell, written once and broadcast only if small."""
+    leaf = F.struct("zone_id", "level", "cx", "cy", "interior", "edges")
+    grouped = quad_cover(shapes, root, levels).groupBy("rx", "ry").agg(F.sort_array(F.collect_list(leaf)).alias("leaves"))
+    return broadcast_if_small(grouped, "quad_index")
+
+
+def assign_zone_multi(points: DataFrame, x: str, y: str, index: DataFrame, out: str, root: float = 5000.0, exact: str | None = None) -> DataFrame:
+    """Adds ``out`` = the smallest zone id whose polygon (holes and parts by the even-odd rule)
+    strictly contains (x, y), or null. ``index`` is ``quad_index`` with the same ``root``.
+
+    A point meets the leaves of its root cell in an equi-join. An interior leaf that holds the
+    point decides at once; only border leaves test edges, and only those a ray can meet. With
+    ``exact`` a column of that name tells whether the point needed an edge test. Null or
+    non-finite coordinates have no zone.
+    """
+    px, py = F.col(x), F.col(y)
+    fine = F.when(F.abs(px) + F.abs(py) < F.lit(float("inf")), True)
+    pts = points.withColumn("_rx", F.when(fine, F.floor(px / root))).withColumn("_ry", F.when(fine, F.floor(py / root)))
+    j = pts.join(index, (pts["_rx"] == index["rx"]) & (pts["_ry"] == index["ry"]), "left")
+
+    def holds(c):
+        side = F.lit(root) / F.pow(F.lit(2.0), c["level"])
+        return (F.floor(px / side) == c["cx"]) & (F.floor(py / side) == c["cy"])
+    held = F.filter("leaves", holds)
+    j = j.withColumn("_held", held)
+    hit = F.filter("_held", lambda c: c["interior"] | geo.strictly_inside_edges(c["edges"], px, py))
+    j = j.withColumn(out, F.array_min(F.transform(hit, lambda c: c["zone_id"])))
+    if exact:
+        j = j.withColumn(exact, F.coalesce(F.exists("_held", lambda c: ~c["interior"]), F.lit(False)))
+    return j.drop("_rx", "_ry", "rx", "ry", "leaves", "_held")
+
+
 def assign_trip_zones(bike: DataFrame, shapes: DataFrame, cell: float = 5000.0) -> DataFrame:
     """Bike trips with station coordinates -> ``starttime, stoptime, pu_zone, do_zone``:
     both ends projected to feet, assigned by the point-in-polygon join, trips with an

@@ -507,6 +507,16 @@ def q_trip_anomalies(spark, d):
     return anomaly.anomalies(anomaly.residuals(forecast.next_step(g, p_edges(spark, d))), td.zone_dim(spark, d), REPORT_THRESHOLD * 4)
 
 
+@query("zone_assign_multi")
+def q_zone_assign_multi(spark, d):
+    """Starts of bike trips in zones with holes, islands and parts; null where in none."""
+    bike = td.bike_trips(spark, d)
+    x, y = geo.project(F.col("start station latitude"), F.col("start station longitude"))
+    pts = bike.select("starttime", "stoptime", x.alias("x"), y.alias("y"))
+    shapes = spatial.restrict_shapes(td.zone_shapes_multi(spark, d), td.area(spark, d))
+    return spatial.assign_zone_multi(pts, "x", "y", spatial.quad_index(shapes), "zone").select("starttime", "stoptime", "zone")
+
+
 @query("geo_points")
 def q_geo_points(spark, d):
     b = assigned_bike(spark, d)

@@ -304,6 +304,25 @@ q("stream_tumbling", """SELECT * FROM (
   FROM ev WHERE time IS NOT NULL AND region_id IS NOT NULL GROUP BY ALL) x
   WHERE interval_start + INTERVAL 5 MINUTE <= (SELECT max(time) FROM ev)""")
 
+_ARRIVING = """, ar AS (
+  SELECT event_type AS flow_type, ts AS time, CAST(user_id % 25 AS BIGINT) AS region_id,
+         epoch_us(ts) + 1000000 * ({wait}) AS off FROM events),
+cl AS (
+  SELECT *, time_bucket(INTERVAL 5 MINUTE, time) AS interval_start,
+         max(time) OVER (PARTITION BY flow_type ORDER BY off, time, region_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock,
+         max(time) OVER (PARTITION BY flow_type) AS last
+  FROM ar WHERE time IS NOT NULL AND region_id IS NOT NULL AND flow_type IS NOT NULL)
+"""
+
+q("stream_topics", _ARRIVING.format(wait="CASE WHEN length(event_type) % 2 = 1 THEN 36000 ELSE 0 END") + """
+  SELECT interval_start, flow_type, region_id AS zone_id, count(*) AS flow FROM cl
+  WHERE interval_start + INTERVAL 5 MINUTE <= last GROUP BY ALL""")
+q("stream_late", _ARRIVING.format(wait="(event_id * 7919) % 1800") + """,
+  jd AS (SELECT *, coalesce(interval_start + INTERVAL 5 MINUTE <= clock - INTERVAL 5 SECOND, false) AS is_late,
+                interval_start + INTERVAL 5 MINUTE <= last - INTERVAL 5 SECOND AS is_closed FROM cl)
+  SELECT interval_start, flow_type, region_id AS zone_id, count(*) AS flow, CASE WHEN is_late THEN 'late' ELSE 'closed' END AS kind
+  FROM jd WHERE is_late OR is_closed GROUP BY ALL""")
+
 # ---- spatial ---------------------------------------------------------------------------
 
 
@@ -355,6 +374,13 @@ qs("project_points", """SELECT starttime, round(slat, 6) AS lat, round(slon, 6)
 qs("zone_shapes", "SELECT * FROM summary")
 qs("zone_assign", """SELECT starttime, stoptime, pu_zone, do_zone FROM assigned
   WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
+qs("zone_assign_multi", """SELECT starttime, stoptime,
+  (SELECT min(zone_id) FROM shapes s WHERE
+     (b.sx > s.x0 AND b.sx < s.x0 + 4000.0 AND b.sy > s.y0 AND b.sy < s.y0 + 9000.0
+      AND NOT (b.sx >= s.x0 + 1000.0 AND b.sx <= s.x0 + 3000.0 AND b.sy >= s.y0 + 2000.0 AND b.sy <= s.y0 + 7000.0))
+     OR (b.sx > s.x0 + 1500.0 AND b.sx < s.x0 + 2500.0 AND b.sy > s.y0 + 3000.0 AND b.sy < s.y0 + 6000.0)
+     OR (b.sx > s.x0 + 4500.0 AND b.sx < s.x0 + 6000.0 AND b.sy > s.y0 + 1000.0 AND b.sy < s.y0 + 8000.0)) AS zone
+  FROM bxy b""")
 qs("geo_points", """SELECT starttime, pu_zone, printf('%.6f,%.6f', slat, slon) AS location FROM assigned
   WHERE pu_zone IS NOT NULL AND do_zone IS NOT NULL""")
 qs("flow_map", "SELECT w.*, s.n_vertices, s.xmin, s.xmax, s.ymin, s.ymax FROM w JOIN summary s USING (zone_id)")

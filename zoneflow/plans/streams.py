@@ -14,7 +14,7 @@ from ..functions.numeric import quantize
 from ..session import shared_path
 from ..sources import sinks
 from ..sources import testdata as td
-from ..streaming import live, source, tumbling
+from ..streaming import clocks, live, source, tumbling
 from . import catalog
 from .catalog import DAY, query
 
@@ -101,3 +101,29 @@ def q_stream_source(spark: SparkSession, d: str) -> DataFrame:
     tumbling.finish(tumbling.start_append(valid, f"{base}/events", f"{base}/ckpt", n_state_partitions=cores))
     tumbling.finish(tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects", n_state_partitions=cores))
     return spark.read.parquet(f"{base}/events")
+
+
+def topic_counts(spark: SparkSession, events: DataFrame, base: str, delay: float, per_trigger: int = FILES_PER_TRIGGER) -> clocks.TopicCounts:
+    """Counts of a log of ``events`` (with offsets), each flow type by its own clock."""
+    sinks.write_offset_log(events, f"{base}/log", LOG_FILES, "event")
+    valid, rejects = source.split_rejects(source.placed_events(source.offset_messages(spark, f"{base}/log", per_trigger)))
+    counts = clocks.TopicCounts(f"{base}/counts", 300, delay)
+    cores = spark.sparkContext.defaultParallelism
+    tumbling.finish(clocks.start_counts(valid, counts, f"{base}/ckpt", n_state_partitions=cores))
+    tumbling.finish(tumbling.start_append(rejects, f"{base}/rejects", f"{base}/ckpt_rejects", n_state_partitions=cores))
+    return counts
+
+
+@query("stream_topics")
+def q_stream_topics(spark: SparkSession, d: str) -> DataFrame:
+    """Topics whose clocks are ten hours apart in one log: the closed 5-minute windows of each."""
+    return topic_counts(spark, td.arriving_events(spark, d, lag=True), shared_path(spark, "stream_topics"), 0.0).closed(spark)
+
+
+@query("stream_late")
+def q_stream_late(spark: SparkSession, d: str) -> DataFrame:
+    """A log in disorder, delay 5 s: closed windows and, as ``late``, what came after their end."""
+    counts = topic_counts(spark, td.arriving_events(spark, d, jitter=True), shared_path(spark, "stream_late"), 5.0)
+    late = counts.late(spark).groupBy(F.window("time", "5 minutes")["start"].cast("timestamp_ntz").alias("interval_start"), "flow_type", F.col("region_id").alias("zone_id"))
+    late = late.agg(F.count(F.lit(1)).alias("flow"))
+    return counts.closed(spark).withColumn("kind", F.lit("closed")).unionByName(late.withColumn("kind", F.lit("late")))

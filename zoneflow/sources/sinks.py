@@ -66,6 +66,14 @@ def write_ordered_log(events: DataFrame, path: str, n_files: int, source: str |
     return order_files(events.sparkSession, path)
 
 
+def write_offset_log(events: DataFrame, path: str, n_files: int, source: str) -> int:
+    """A new log of messages ``topic, value, offset`` in the order of ``offset`` (the place in which
+    the records arrived), one file a range of offsets, read by file streams from the oldest on."""
+    placed = events.repartitionByRange(n_files, "offset").sortWithinPartitions("offset")
+    publish_payload(placed, source, keep=["offset"]).write.mode("overwrite").json(path)
+    return order_files(events.sparkSession, path)
+
+
 def write_kafka(events: DataFrame, servers: str, source: str) -> None:
     """Publish events to Kafka topics ``<source>_<flow_type>`` (needs the Kafka connector)."""
     (publish_payload(events, source).write.format("kafka")

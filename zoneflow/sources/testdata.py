@@ -70,6 +70,25 @@ def events_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).withColumn("flow_type", F.lit("all"))
 
 
+# Fixed values of the arrival rule: flow types with a name of odd length arrive ten hours after the
+# others; with jitter a record arrives up to 30 minutes after its time.
+LAG_SECONDS = 36_000
+JITTER_SECONDS = 1_800
+JITTER_FACTOR = 7_919
+
+
+def arriving_events(spark: SparkSession, sf_dir: str, lag: bool = False, jitter: bool = False) -> DataFrame:
+    """``events`` with ``offset``, their place in the log: the microsecond in which they arrive."""
+    e = table(spark, sf_dir, "events")
+    wait = F.lit(0).cast("long")
+    if lag:
+        wait = wait + F.when(F.length("event_type") % 2 == 1, LAG_SECONDS).otherwise(0)
+    if jitter:
+        wait = wait + F.pmod(F.col("event_id") * JITTER_FACTOR, F.lit(JITTER_SECONDS))
+    return e.select(F.col("event_type").alias("flow_type"), F.col("ts").alias("time"), (F.col("user_id") % EVENT_ZONES).cast("long").alias("region_id"),
+                    (F.unix_micros(F.col("ts").cast("timestamp")) + wait * 1_000_000).alias("offset"))
+
+
 def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bike-style trips with station coordinates (lat/lon inside a 0.1 x 0.1 degree box).
 
@@ -114,3 +133,17 @@ def zone_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ring = F.array(pt(x0, y0), pt(x0 + TILE_W, y0), pt(x0 + TILE_W, y0 + TILE_H), pt(x0, y0 + TILE_H))
     return z.select("zone_id", ring.alias("ring"))
+
+
+def zone_shapes_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``zone_id, rings``: in each tile a rectangle with a hole, an island in the hole, and a second
+    part (offsets in feet from the tile's corner)."""
+    z = zone_dim(spark, sf_dir)
+    x0 = F.lit(TILE_X0) + (F.col("graph_id") % TILES_PER_ROW).cast("double") * TILE_W
+    y0 = F.lit(TILE_Y0) + F.floor(F.col("graph_id") / TILES_PER_ROW).cast("double") * TILE_H
+
+    def ring(left, right, low, high):
+        return F.array(*[F.struct((x0 + a).alias("x"), (y0 + b).alias("y")) for a, b in ((left, low), (right, low), (right, high), (left, high))])
+
+    rings = F.array(ring(0.0, 4000.0, 0.0, 9000.0), ring(1000.0, 3000.0, 2000.0, 7000.0), ring(1500.0, 2500.0, 3000.0, 6000.0), ring(4500.0, 6000.0, 1000.0, 8000.0))
+    return z.select("zone_id", rings.alias("rings"))

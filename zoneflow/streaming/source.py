@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.events import parse_payload
 
+OFFSET_MESSAGE = "topic string, offset bigint, value string"
 MESSAGE = T.StructType([T.StructField("topic", T.StringType(), True), T.StructField("value", T.StringType(), True)])
 
 
@@ -38,6 +39,20 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return r.json(path)
 
 
+def offset_messages(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON-lines files of ``{"topic": .., "offset": .., "value": ..}``: the file form of a log whose
+    records keep their place (a Kafka source gives the same columns)."""
+    r = spark.readStream.schema(OFFSET_MESSAGE)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(path)
+
+
+def placed_events(messages: DataFrame) -> DataFrame:
+    """``topic, offset, value`` -> ``flow_type, time, region_id, offset``."""
+    return parse_payload(messages, keep=["offset"])
+
+
 def event_files(spark: SparkSession, path: str, flow_type: str, max_files_per_trigger: int | None = None,
                 fmt: str = "json") -> DataFrame:
     """Files of one topic holding plain ``{"time", "region_id"}`` rows (permissive JSON:

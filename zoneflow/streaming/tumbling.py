@@ -2,11 +2,51 @@
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+class DropCounter(StreamingQueryListener):
+    """Rows that watermarks dropped, summed over every progress report of a run."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self.lock = threading.Lock()
+
+    def end_of(self, run_id: str) -> threading.Event:
+        with self.lock:
+            return self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        run, n = str(event.progress.runId), sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self.dropped[run] = self.dropped.get(run, 0) + n
+
+    def onQueryTerminated(self, event):
+        self.end_of(str(event.runId)).set()
+
+
+_COUNTERS: dict[str, DropCounter] = {}
+EVENT_SECONDS = 60  # reports reach the listener a little after the query has ended
+
+
+def drop_counter(spark: SparkSession) -> DropCounter:
+    """The listener of the application; queries started through ``state_partitions`` report to it."""
+    app = spark.sparkContext.applicationId
+    if app not in _COUNTERS:
+        _COUNTERS[app] = DropCounter()
+        spark.streams.addListener(_COUNTERS[app])
+    return _COUNTERS[app]
 
 
 @contextmanager
@@ -20,6 +60,7 @@ def state_partitions(spark: SparkSession, n: int | None):
     """
     if n is None and not spark.sparkContext.master.startswith("local"):
         raise ValueError("give n_state_partitions: the number of state partitions is fixed when a query first starts")
+    drop_counter(spark)
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
@@ -63,11 +104,16 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_by: list[s
 
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a query that ends by itself; fail if the watermark dropped rows (the log's
-    disorder was larger than the delay), so that a count is never short without notice."""
+    disorder was larger than the delay), so that a count is never short without notice. Drops
+    are summed over all batches by a listener, however many there were. (Where late rows are
+    wanted as a table, see ``clocks``.)"""
     query.awaitTermination()
-    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p.get("stateOperators") or [])
-    if dropped:
-        raise RuntimeError(f"{dropped} rows came after their window was closed: raise the watermark delay or order the log")
+    run = str(query.runId)
+    counter = drop_counter(SparkSession.active())
+    if not counter.end_of(run).wait(EVENT_SECONDS):
+        raise RuntimeError("the query's reports did not arrive, so rows dropped by the watermark are not known")
+    if counter.dropped.get(run):
+        raise RuntimeError(f"{counter.dropped[run]} rows came after their window was closed: raise the watermark delay or order the log")
     return query
 
 
