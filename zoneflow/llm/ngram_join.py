@@ -6,7 +6,9 @@ A token is the 64-bit hash of a word shingle. Equal sets are one node. Every pai
 sets shares a token among the first ``prefix_length`` tokens of each under any common order
 of the tokens; the order used here is by hash, with frequent tokens moved back. Short lists
 of nodes that share such a token give candidate pairs, which an overlap bound thins out.
-Long lists (shared passages, large groups of near copies) are joined through the matrix.
+Long lists (shared passages, large groups of near copies) make families; a family is joined
+by what sets its members apart from its core, and members that meet there go through the
+group matrix (``_group_links``). No list is ever paired with itself.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.llm.common import release, sized, slices, small_batches, written
@@ -31,6 +33,7 @@ MAX_FREQUENT = 1 << 20  # frequent tokens broadcast (8 bytes each); the limit ab
 BLOCK_NODES = 256
 BLOCK_TOKENS = 1 << 16
 GROUP_NODES = 16
+UNLIKE, LIKE = 100 - PERCENT, 100 + PERCENT  # sets of a and b tokens are linked iff LIKE * (tokens in one only) <= UNLIKE * (a + b)
 LOW_LIMIT = int(LOW * 2 ** 64) - 2 ** 63
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -182,41 +185,50 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("x").take(pa.array(keep, pa.int64())), b.column("y").take(pa.array(keep, pa.int64()))], names=["x", "y"])
 
 
+BLOCK = ["key", "nids", "roots", "slacks", "sizes", "tokens"]
+BLOCK_SCHEMA = "key long, nids array<long>, roots array<long>, slacks array<long>, sizes array<long>, tokens array<long>"
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of consecutive nodes; ``bid`` is the first node's id."""
+    """Blocks of consecutive nodes that meet in one ``key``."""
     def block():
-        nids, roots, sets = zip(*held)
-        return pa.RecordBatch.from_arrays([pa.array([nids[0]], pa.int64()), pa.array([nids], pa.list_(pa.int64())), pa.array([roots], pa.list_(pa.int64())),
-                                           pa.array([[len(s) for s in sets]], pa.list_(pa.int64())), _lists([np.concatenate(sets)])], names=["bid", "nids", "roots", "sizes", "tokens"])
-    held, total = [], 0
+        nids, roots, slacks, sets = zip(*held)
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), *(pa.array([v], pa.list_(pa.int64())) for v in (nids, roots, slacks)),
+                                           pa.array([[len(s) for s in sets]], pa.list_(pa.int64())), _lists([np.concatenate(sets)])], names=BLOCK)
+    held, total, now = [], 0, None
     for b in batches:
-        for i in range(b.num_rows):
-            tokens = b.column("tokens")[i].values.to_numpy(zero_copy_only=False)
-            if held and (len(held) >= BLOCK_NODES or total + len(tokens) > BLOCK_TOKENS):
+        columns = [b.column(c).to_pylist() for c in ("key", "nid", "root", "s")]
+        for i, (key, nid, root, slack) in enumerate(zip(*columns)):
+            tokens = b.column("apart")[i].values.to_numpy(zero_copy_only=False)
+            if held and (key != now or len(held) >= BLOCK_NODES or total + len(tokens) > BLOCK_TOKENS):
                 yield block()
                 held, total = [], 0
-            held.append((b.column("nid")[i].as_py(), b.column("root")[i].as_py(), tokens))
+            now = key
+            held.append((nid, root, slack, tokens))
             total += len(tokens)
     if held:
         yield block()
 
 
-def group_matrix_links(nids, roots, sets, other_nids, other_roots, other_sets) -> list[tuple[int, int]]:
+def group_matrix_links(nids, roots, slacks, sets, other_nids, other_roots, other_slacks, other_sets) -> list[tuple[int, int]]:
     """Links between two blocks that join different components, one for each pair of
-    components at least. The groups are runs of GROUP_NODES nodes of the second block; a
-    query opens a group only if it shares PERCENT of its tokens with the group's union."""
-    if not sets or not other_sets:
-        return []
-    size, other_size = (np.array([len(s) for s in x]) for x in (sets, other_sets))
+    components at least. ``sets`` hold the tokens in which the nodes are apart from their
+    family's core; a pair is linked iff both slacks and 2 * LIKE times the tokens apart in both
+    add up to 0 or more. The groups are runs of GROUP_NODES nodes of the second block; a query
+    opens a group only if its overlap with the union of the group's tokens would do for the
+    largest slack of the group."""
+    size = np.array([len(s) for s in sets])
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
+    other_size = np.array([len(s) for s in other_sets])
+    slacks, other_slacks = np.asarray(slacks), np.asarray(other_slacks)
     _, ids = np.unique(np.concatenate([*sets, *other_sets]), return_inverse=True)
     flat, others = ids[:size.sum()], np.split(ids[size.sum():], np.cumsum(other_size)[:-1])
-    held = np.zeros(int(ids.max()) + 1, dtype=bool)
+    held = np.zeros(len(ids) + 1, dtype=np.int64)
 
     def overlaps(tokens: np.ndarray) -> np.ndarray:
-        held[tokens] = True
-        out = np.add.reduceat(held[flat].astype(np.int64), start)
-        held[tokens] = False
+        held[tokens] = 1
+        out = np.add.reduceat(held[flat], start)  # no set is empty: its key is in it
+        held[tokens] = 0
         return out
     joined: dict[int, int] = {}
 
@@ -227,9 +239,10 @@ def group_matrix_links(nids, roots, sets, other_nids, other_roots, other_sets) -
     out = []
     for g in range(0, len(others), GROUP_NODES):
         members = range(g, min(g + GROUP_NODES, len(others)))
-        qualify = 100 * overlaps(np.concatenate([others[m] for m in members])) >= PERCENT * size
+        bound = slacks + other_slacks[g:g + GROUP_NODES].max() + 2 * LIKE * overlaps(np.concatenate([others[m] for m in members]))
+        qualify = bound >= 0
         for m in members if qualify.any() else ():
-            for q in np.flatnonzero(qualify & linked(overlaps(others[m]), size, other_size[m])).tolist():
+            for q in np.flatnonzero(qualify & (slacks + other_slacks[m] + 2 * LIKE * overlaps(others[m]) >= 0)).tolist():
                 a, b = find(int(roots[q])), find(int(other_roots[m]))
                 if a != b:
                     out.append((int(nids[q]), int(other_nids[m])))
@@ -238,11 +251,11 @@ def group_matrix_links(nids, roots, sets, other_nids, other_roots, other_sets) -
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def sets(b, i, side):
+    def parts(b, i, side):
         tokens, sizes = (b.column(f"{side}_{c}")[i].values.to_numpy(zero_copy_only=False) for c in ("tokens", "sizes"))
-        return [b.column(f"{side}_{c}")[i].as_py() for c in ("nids", "roots")] + [np.split(tokens, np.cumsum(sizes)[:-1])]
+        return [b.column(f"{side}_{c}")[i].as_py() for c in ("nids", "roots", "slacks")] + [np.split(tokens, np.cumsum(sizes)[:-1])]
     for b in batches:
-        found = [p for i in range(b.num_rows) for p in group_matrix_links(*sets(b, i, "a"), *sets(b, i, "b"))]
+        found = [p for i in range(b.num_rows) for p in group_matrix_links(*parts(b, i, "a"), *parts(b, i, "b"))]
         yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["x", "y"])
 
 
@@ -265,31 +278,86 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return written(both.select("x", "y", "left", "right").mapInArrow(_exact, "x long, y long"), "jaccard-links")
 
 
-def _matrix_links(long_rows: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Links between different components (``roots``) inside the long lists ``long_rows`` (``token, nid``)."""
-    spark = long_rows.sparkSession
-    rows = long_rows.join(roots.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+def _mixed(long_rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``token, nid, n_hot, root`` of the long lists whose nodes are not all in one component."""
+    rows = long_rows.join(sized(roots).withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    rows = written(rows.join(sized(written(mixed, "jaccard-mixed")), "token"), "jaccard-long")
-    nodes = rows.groupBy("nid", "root").agg(F.min("token").alias("key"))
-    count = nodes.count()
-    if not count:
-        return None
+    return written(rows.join(sized(written(mixed, "jaccard-mixed")), "token"), "jaccard-long")
+
+
+def _side(blocks: DataFrame, name: str) -> DataFrame:
+    return blocks.select("key", *[F.col(c).alias(f"{name}_{c}") for c in BLOCK[1:]])
+
+
+def _in_blocks(rows: DataFrame, apart: DataFrame, name: str) -> DataFrame:
+    """Written blocks of ``rows`` (``key, lead, nid``) with what sets the nodes apart; those of one
+    key and component stand together."""
+    parts = max(1, rows.count() // (8 * BLOCK_NODES))
+    ordered = rows.join(apart, ["lead", "nid"]).repartitionByRange(parts, "key", "root", "nid").sortWithinPartitions("key", "root", "nid")
+    return written(ordered.select("key", "nid", "root", "s", "apart").mapInArrow(_blocks, BLOCK_SCHEMA), name)
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens in just one of two sets, ``left`` and ``right`` (null: empty)."""
+    for b in batches:
+        out = []
+        for i in range(b.num_rows):
+            left, right = b.column("left")[i], b.column("right")[i]
+            x = left.values.to_numpy(zero_copy_only=False)
+            out.append(np.setxor1d(x, right.values.to_numpy(zero_copy_only=False), assume_unique=True) if right.is_valid else x)
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("lead", "nid", "root", "n")), _lists(out)], names=["lead", "nid", "root", "n", "apart"])
+
+
+APART = "lead long, nid long, root long, n long, apart array<long>"
+
+
+def _group_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that join the components inside the mixed lists ``rows`` of ``_mixed``.
+
+    Lists with the same leader (the node with the most frequent tokens in its prefix) make a
+    family. Sets of a family are taken relative to its core, the tokens that most of them hold:
+    what is apart from the core is small, and two sets differ where just one of them is apart.
+    With s = UNLIKE * size - LIKE * apart, a pair is linked iff s + s' + 2 * LIKE * (apart in
+    both) >= 0. Pairs with s + s' >= 0 are all linked with the node of the largest s. Any other
+    link shares apart tokens, so many that it shares one among the rarest of both sets; nodes
+    that meet in such a token go through the group matrix. A token apart in one node is no
+    meeting point, so a node with too few shared ones is done without meeting any other.
+    """
+    spark = rows.sparkSession
+    lead = rows.groupBy("token").agg(F.max_by("nid", F.struct("n_hot", "nid")).alias("lead"))
+    members = written(rows.join(sized(written(lead, "jaccard-leads")), "token").select("lead", "nid", "root").distinct(), "jaccard-members")
+    leaders = sets.join(members.select(F.col("lead").alias("nid")).distinct(), "nid").select(F.col("nid").alias("lead"), F.col("tokens").alias("right"))
+    with small_batches(spark, 256):
+        both = members.join(sets.select("nid", F.col("tokens").alias("left")), "nid").join(sized(written(leaders, "jaccard-leaders")), "lead")
+        first = written(both.select("lead", "nid", "root", F.size("left").cast("long").alias("n"), "left", "right").mapInArrow(_differences, APART), "jaccard-from-leader")
+        held = first.select("lead", F.explode("apart").alias("token")).groupBy("lead", "token").agg(F.count(F.lit(1)).alias("c"))
+        most = sized(written(members.groupBy("lead").agg(F.count(F.lit(1)).alias("m")), "jaccard-families"))
+        turned = held.join(most, "lead").where(F.col("c") * 2 > F.col("m")).groupBy("lead").agg(F.collect_list("token").alias("right"))
+        both = first.withColumnRenamed("apart", "left").join(sized(written(turned, "jaccard-turned")), "lead", "left")
+        apart = written(both.select("lead", "nid", "root", "n", "left", "right").mapInArrow(_differences, APART), "jaccard-from-core")
+    apart = apart.select("lead", "nid", "root", "apart", (F.col("n") * UNLIKE - F.size("apart") * LIKE).alias("s"))
+    best = apart.groupBy("lead").agg(F.max("s").alias("top"), F.max_by("nid", F.struct("s", "nid")).alias("centre"))
+    placed = apart.join(sized(written(best, "jaccard-centres")), "lead").withColumn("minor", F.col("s") + F.col("top") < 0)
+    stars = placed.where("not minor and nid != centre").select(F.col("centre").alias("x"), F.col("nid").alias("y"))
+    tokens = placed.select("lead", "nid", "root", "s", "top", "minor", F.explode("apart").alias("token"))
+    shared = apart.select("lead", F.explode("apart").alias("token")).groupBy("lead", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    own = Window.partitionBy("lead", "nid")
+    tokens = tokens.join(shared, ["lead", "token"]).withColumn("rank", F.row_number().over(own.orderBy("c", "token"))).withColumn("held", F.count(F.lit(1)).over(own))
+    past = F.col("rank") - F.col("held") - 1  # to the first ``held - needed + 1`` tokens: past + needed <= 0
+    asks = F.col("minor") & (past + F.ceil(-(F.col("s") + F.col("top")) / (2 * LIKE)) <= 0)
+    stands = past + F.ceil((F.col("top") + 1 - F.col("s")) / (2 * LIKE)) <= 0
+    tokens = written(tokens.where(asks | stands).select(F.xxhash64("lead", "token").alias("key"), "lead", "root", "nid", asks.alias("asks"), stands.alias("stands")), "jaccard-meeting")
+    who = [F.bit_xor(F.xxhash64("nid", "asks", "stands", F.lit(i))).alias(f"who{i}") for i in (0, 1)]
+    meet = tokens.groupBy("lead", "key").agg(F.max("asks").alias("a"), F.max("stands").alias("b"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c"), *who)
+    # one token of those in which the same nodes meet (long texts share thousands)
+    meet = meet.where("a and b and lo < hi").groupBy("lead", "c", "who0", "who1").agg(F.min("key").alias("key")).select("key").distinct()
+    tokens = written(tokens.join(sized(written(meet, "jaccard-keys-met")), "key"), "jaccard-met-rows")
     with small_batches(spark, 256):
-        parts = max(1, count // (8 * BLOCK_NODES))
-        ordered = nodes.join(sets, "nid").repartitionByRange(parts, "key", "root", "nid").sortWithinPartitions("key", "root", "nid").select("nid", "root", "tokens")
-        blocks = written(ordered.mapInArrow(_blocks, "bid long, nids array<long>, roots array<long>, sizes array<long>, tokens array<long>"), "jaccard-blocks")
-    places = blocks.select("bid", F.explode("nids").alias("nid"))
-    held = written(rows.join(places, "nid").groupBy("token", "bid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "jaccard-held")
-    a = held.select("token", F.col("bid").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
-    b = held.select("token", F.col("bid").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
-    meet = a.join(b, "token").where((F.col("a") <= F.col("b")) & (F.least("alo", "blo") < F.greatest("ahi", "bhi"))).select("a", "b").distinct()
-    meet = written(meet, "jaccard-meet")
-
-    def side(name: str) -> DataFrame:
-        return blocks.select(F.col("bid").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("nids", "roots", "sizes", "tokens")])
-    with small_batches(spark, 2):
-        return written(meet.join(side("a"), "a").join(side("b"), "b").mapInArrow(_open, "x long, y long"), "jaccard-opened")
+        a = _in_blocks(tokens.where("asks").select("key", "lead", "nid"), apart, "jaccard-asking")
+        b = _in_blocks(tokens.where("stands").select("key", "lead", "nid"), apart, "jaccard-standing")
+    with small_batches(spark, 8):
+        opened = written(_side(a, "a").join(_side(b, "b"), "key").mapInArrow(_open, "x long, y long"), "jaccard-opened")
+    return stars.unionByName(opened)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -352,7 +420,8 @@ def _classes(docs: DataFrame) -> DataFrame:
         facts = facts.drop("cold").join(added, "nid", "left").withColumn("slack", F.col("slack") + F.coalesce("_more", F.lit(0)))
         long_rows = long_rows.unionByName(late_rows)
     facts = sized(written(facts.select("nid", "n", "slack"), "jaccard-facts"))
-    long_rows = written(long_rows.select("token", "nid"), "jaccard-long-rows")
+    hot = facts.select("nid", F.col("slack").alias("n_hot"))
+    long_rows = written(long_rows.select("token", "nid").join(hot, "nid"), "jaccard-long-rows")
 
     def fact(name: str) -> DataFrame:
         return facts.select(F.col("nid").alias(name), F.col("n").alias(f"n{name}"), F.col("slack").alias(f"s{name}"))
@@ -371,12 +440,11 @@ def _classes(docs: DataFrame) -> DataFrame:
     sets = _full_sets(docs, sketch.select("nid", "doc_id", "print").join(sized(written(wanted, "jaccard-nodes")), "nid"))
     release(spark)
     links = _verified(pairs, sets)
-    roots = components(links)
-    opened = _matrix_links(long_rows, roots, sets)
-    if opened is not None:
-        roots = components(links.unionByName(opened))
+    roots = written(components(links), "jaccard-roots")
+    rows = _mixed(long_rows, roots)
+    if not rows.isEmpty():
+        roots = written(components(links.unionByName(_group_links(rows, sets))), "jaccard-roots")
     release(spark)
-    roots = written(roots, "jaccard-roots")
     copy = sized(copies)
     own = sketch.select("nid", "doc_id", "n", "text_hash", "print").join(copy, "print", "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "nid")).otherwise(F.col("nid")))
     own = written(own.join(sized(roots.withColumnRenamed("node", "rep")), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), "text_hash", F.coalesce("first_id", "doc_id").alias("first_id"), "root", "rep"), "jaccard-rows")
