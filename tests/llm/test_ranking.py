@@ -37,8 +37,8 @@ LABELS = "doc_id long, quality int, toxic int, text string"
 
 def test_toxic_spans_and_scores(spark):
     docs, labels = toxic_table()
-    odd = [(1000, None, None, None), (1001, "", 0.0, ""), (1002, "1 2 3 _", 0.0, ""), (None, "nasty words", 0.0, ""), (1003, "İ VILE alpha vile!", 1.0, ""),
-           (1003, "İ VILE alpha vile!", 1.0, ""), (1004, "alpha " * 200_000 + "vile " * 40, 1.0, ""), (1005, "a" * 100_000, 1.0, "")]
+    odd = [(1000, None, None, None), (1001, "", 0.0, ""), (1002, "1 2 3 _", 0.0, ""), (None, "nasty words", 0.0, ""), (1003, "alpha İ beta VILE alpha vile!", 1.0, ""),
+           (1003, "alpha İ beta VILE alpha vile!", 1.0, ""), (1004, "alpha " * 200_000 + "vile " * 40, 1.0, ""), (1005, "a" * 100_000, 1.0, "")]
     df = spark.createDataFrame(docs + odd, DOCS)
     known = spark.createDataFrame([*labels, (None, 1, 1, ""), (1000, 0, 1, ""), (7, None, None, ""), (9999, 0, 1, "")], LABELS)
     model = toxicity.fit(df, known)

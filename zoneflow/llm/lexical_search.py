@@ -31,6 +31,7 @@ SHARD_CELLS = 1 << 23      # documents x query terms of a shard
 SHARD_DOCS = 4096
 BLOCK_DOCS = 64            # documents of a posting block, about
 SKETCH = 64                # dimensions of the similarity sketch
+SKETCH_ROWS = 256
 CLUSTERS = 64
 SAMPLE = 2048              # documents from which the cluster centres are chosen; all are indexed
 FIRST_BLOCKS = 2           # blocks a query opens in a shard to find its threshold
@@ -110,12 +111,12 @@ def signs(n_terms: int) -> np.ndarray:
 
 def sketches(offsets: np.ndarray, terms: np.ndarray, values: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Unit sketches of sparse vectors: random projections that keep their angles, about."""
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     out = np.zeros((len(offsets) - 1, table.shape[1]), dtype=np.float32)
     some = np.flatnonzero(np.diff(offsets))
-    if len(some):
-        out[some] = np.add.reduceat(table[terms] * values[:, None].astype(np.float32), offsets[:-1][some])
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9) if len(row) else out
+    for rows in np.split(some, range(SKETCH_ROWS, len(some), SKETCH_ROWS)) if len(some) else []:  # bounds the memory of the products
+        at = slice(offsets[rows[0]], offsets[rows[-1] + 1])
+        out[rows] = np.add.reduceat(table[terms[at]] * values[at, None].astype(np.float32), offsets[rows] - offsets[rows[0]])
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
 def centres_of(x: np.ndarray, k: int, rounds: int = 5) -> np.ndarray:
