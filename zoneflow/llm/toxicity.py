@@ -65,8 +65,8 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     def add(which: np.ndarray, h: np.ndarray, kind: int) -> None:
         h = (h + np.uint64(kind)) * MIX
-        at.append(which)
-        found.append(((h ^ (h >> np.uint64(31))) * MIX >> np.uint64(64 - BITS)).astype(np.int64))
+        at.append(which.astype(np.int32))
+        found.append(((h ^ (h >> np.uint64(31))) * MIX >> np.uint64(64 - BITS)).astype(np.int32))
     with np.errstate(over="ignore"):
         every = np.arange(len(words))
         for kind, edge, step, most in ((1, first, 1, 8), (2, last, -1, 5)):
@@ -87,7 +87,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         if len(c):
             add(every, np.add.reduceat(mixed, first - 1), 3)
-    return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, np.int64),) * 2
+    return (np.concatenate(at), np.concatenate(found)) if at else (np.zeros(0, np.int32),) * 2
 
 
 def emissions(weights: np.ndarray, words: list[str]) -> np.ndarray:
@@ -282,7 +282,7 @@ def _windows(mark, hard: bool):
                     with np.errstate(over="ignore"):
                         order = (starts.astype(np.uint64) + np.uint64(h & (1 << 62) - 1)) * MIX
                     chosen = np.lexsort((order, ~hit))
-                    chosen = chosen[hit[chosen]][:WINDOWS] if hard else np.concatenate([chosen[hit[chosen]][:WINDOWS], chosen[~hit[chosen]][:WINDOWS // 2]])
+                    chosen = chosen[hit[chosen]][:WINDOWS] if hard else np.concatenate([chosen[hit[chosen]][:WINDOWS], chosen[~hit[chosen]][:WINDOWS // 4]])
                     for i in chosen:
                         s = slice(int(starts[i]), int(starts[i]) + WINDOW)
                         out.append(ws[s])
