@@ -318,7 +318,8 @@ def _search_block(docs: DataFrame, queries: Queries, k: int) -> DataFrame:
     weights = np.array([weight(facts["n"], dfs[t]) if t in dfs else 0 for t in range(len(queries.vocabulary))], dtype=np.int64)
     table = signs(len(weights))
     with_terms = vectors.where(F.size("terms") > 0)
-    chosen = with_terms.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
+    share = min(1.0, 4 * SAMPLE / max(facts["n"], 1))  # the others are not even ranked
+    chosen = with_terms.withColumn("_h", F.xxhash64("doc_id", "terms")).where(F.pmod("_h", F.lit(1 << 30)) < share * (1 << 30)).orderBy("_h", "doc_id").limit(SAMPLE).collect()
     offsets = np.concatenate([[0], np.cumsum([len(r["terms"]) for r in chosen])]).astype(np.int64)
     terms = np.array([t for r in chosen for t in r["terms"]], dtype=np.int64)
     f = impact(np.array([t for r in chosen for t in r["tfs"]], dtype=np.int64), np.repeat(np.array([r["n"] for r in chosen], dtype=np.int64), np.diff(offsets)), facts["n"], facts["l"])
