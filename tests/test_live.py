@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from zoneflow.operators import anomaly, flows, forecast, history
 from zoneflow.plans import catalog as c
 from zoneflow.session import shared_path
+from zoneflow.sources import sinks
 from zoneflow.sources import testdata as td
 from zoneflow.streaming import live
 
@@ -33,6 +34,6 @@ def test_replayed_batches_do_not_duplicate(spark):
     want_df = anomaly.anomalies(anomaly.residuals(forecast.next_step(grid, p)), zones)
     want = sorted(tuple(r) for r in want_df.select("interval_start", "zone_id", "residual").collect())
     assert got == want
-    snap = spark.read.parquet(det.snapshot_path).collect()
+    snap = sinks.read_snapshot(spark, det.snapshot_path).collect()
     newest = [r for r in want if r[0] == days[24]]
     assert len(snap) == len(newest) and sorted(r["doc_id"] for r in snap) == list(range(len(snap)))

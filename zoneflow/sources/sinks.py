@@ -3,6 +3,8 @@ replace, event log payloads."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +32,50 @@ def with_doc_ids(report: DataFrame, order: tuple[str, ...] = ("flow_type", "grap
     return report.withColumn("doc_id", (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
 
 
-def write_snapshot(report: DataFrame, path: str) -> None:
-    """Replace the whole snapshot with the new report."""
-    report.write.mode("overwrite").parquet(path)
+def _pointer(spark: SparkSession, path: str):
+    """Hadoop's file context and the path of the snapshot's pointer."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path, "_current")
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def write_snapshot(report: DataFrame, path: str) -> str:
+    """Replace the whole snapshot with the new report: it is written to a folder of its own and
+    the pointer file is swapped last, by a rename (one step on HDFS and local file systems). Until
+    then, and if the write fails, readers get the former report. Returns the version. Former
+    versions stay for readers that have begun; expire them by the storage's lifecycle rules."""
+    spark = report.sparkSession
+    version = uuid.uuid4().hex
+    report.write.parquet(f"{path}/versions/{version}")
+    jvm = spark.sparkContext._jvm
+    files, current = _pointer(spark, path)
+    fresh = jvm.org.apache.hadoop.fs.Path(path, f"_next-{version}")
+    out = fresh.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(fresh, True)
+    out.write(bytearray(version, "ascii"))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fresh, current, overwrite)
+    return version
+
+
+def snapshot_path(spark: SparkSession, path: str) -> str | None:
+    """Folder of the report that the pointer names; None before the first."""
+    files, current = _pointer(spark, path)
+    if not files.util().exists(current):
+        return None
+    stream = files.open(current)
+    version = bytes(stream.readAllBytes()).decode("ascii")
+    stream.close()
+    return f"{path}/versions/{version}"
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The latest complete report."""
+    at = snapshot_path(spark, path)
+    if at is None:
+        raise FileNotFoundError(f"no snapshot at {path}")
+    return spark.read.parquet(at)
 
 
 def write_event_log(events: DataFrame, path: str, source: str) -> None:
