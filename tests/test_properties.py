@@ -47,7 +47,7 @@ def test_numpy_block_scorer_matches_join_forecast(spark):
     a = {(r["flow_type"], r["interval_start"], r["zone_id"]): r["forecast"]
          for r in forecast.next_step(g, p).collect()}
     b = {(r["flow_type"], r["interval_start"], r["zone_id"]): r["forecast"]
-         for r in forecast.score_windows(g, forecast.diffusion_scorer(forecast.collect_transition(p))).collect()}
+         for r in forecast.score_windows(g, p, forecast.diffusion_scorer()).collect()}
     assert a == b and len(a) > 0
 
 

@@ -7,21 +7,23 @@
   de-standardised with the zone's own mean and std and truncated to an integer.
 * ``fitted_forecast``: a linear model on the 12 lags and the diffused last step, fitted per
   flow type on steps before a cut only (one aggregation of cross products).
-* ``score_windows``: any pandas scoring function applied to each (flow type, step) block
-  of N zones x 12 steps with ``applyInPandas``.
+* ``walk_forward``: the same model fitted anew at every step on all earlier steps, from
+  running sums of the cross products.
+* ``score_windows``: any pandas scoring function applied with ``applyInPandas`` to blocks of
+  zones x 12 steps, each with a halo of the zones that feed it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import quantize
-from ..session import broadcast_if_small, checkpoint_table, measured_bytes
+from ..session import broadcast_if_small, checkpoint_table
 from .history import add_seconds, with_history
 
 KEYS = ["flow_type", "interval_start"]
@@ -180,24 +182,114 @@ def fit_check(grid: DataFrame, p_edges: DataFrame, cut, n: int = 12) -> DataFram
                  F.sum(F.col("x") * (F.col("y") - F.col("fit"))).alias("residual_x")))
 
 
-# ---- any pandas scoring function over (flow type, step) blocks ------------------------
+# ---- walk-forward fit -----------------------------------------------------------------
 
-def diffusion_scorer(p: dict[int, list[tuple[int, float]]], a: float = 0.5, b: float = 0.5) -> Callable:
-    """pandas form of the horizon-1 diffusion forecast for one (N zones x 12 steps) block.
-    ``p`` lists the in-neighbours ``(i, P_ij)`` of each zone j (``collect_transition``)."""
-    src = np.array([j for j, cells in p.items() for _ in cells], dtype=np.int64)
-    dst = np.array([i for cells in p.values() for i, _ in cells], dtype=np.int64)
-    w = np.array([x for cells in p.values() for _, x in cells], dtype=float)
+STEP_BLOCK = 512  # steps of a flow type summed in one window; the blocks' totals are summed before
 
+
+def running_gram(feats: DataFrame, n_features: int = 14, block: int = STEP_BLOCK) -> DataFrame:
+    """Per (flow type, step): ``n_train`` and ``gram``, the cross products of all rows of
+    *earlier* steps (upper triangle of X'X row by row, then X'y).
+
+    One aggregation makes a row a step; running sums go over blocks of ``block`` steps, whose
+    offsets are the running sums of the block totals, so no window holds a flow type whole.
+    """
+    f = [F.col("f")[i] for i in range(n_features)]
+    products = [f[i] * f[j] for i in range(n_features) for j in range(i, n_features)] + [f[i] * F.col("y") for i in range(n_features)]
+    width = len(products)
+    cells = [f"c{i}" for i in range(width)]
+    steps = feats.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("c_n"), *[F.sum(x).alias(c) for x, c in zip(products, cells)])
+    width_s = F.lit(block) * _step_width(feats)
+    steps = checkpoint_table(steps.withColumn("block", F.floor(F.unix_seconds(F.col("interval_start").cast("timestamp")) / width_s)), "gram_steps")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    totals = steps.groupBy("flow_type", "block").agg(*[F.sum(c).alias(c) for c in ["c_n", *cells]])
+    over = before.partitionBy("flow_type").orderBy("block")
+    offsets = broadcast_if_small(totals.select("flow_type", "block", *[F.coalesce(F.sum(c).over(over), F.lit(0)).alias(f"o{c}") for c in ["c_n", *cells]]), "gram_offsets")
+    over = before.partitionBy("flow_type", "block").orderBy("interval_start")
+    run = {c: F.coalesce(F.sum(c).over(over), F.lit(0)).alias(f"r{c}") for c in ["c_n", *cells]}
+    inside = steps.select(*KEYS, "block", *run.values())
+    return inside.join(offsets, ["flow_type", "block"]).select(
+        *KEYS, (F.col("rc_n") + F.col("oc_n")).alias("n_train"), F.array(*[F.col(f"r{c}") + F.col(f"o{c}") for c in cells]).alias("gram"))
+
+
+def _step_width(feats: DataFrame) -> Column:
+    """Seconds of the smallest step between two times of the table (1 for a single time)."""
+    times = feats.select("interval_start").distinct()
+    span = times.agg((F.unix_seconds(F.max("interval_start").cast("timestamp")) - F.unix_seconds(F.min("interval_start").cast("timestamp"))).alias("s"),
+                     F.count(F.lit(1)).alias("n"))
+    return span.select(F.greatest(F.lit(1), F.coalesce(F.floor(F.col("s") / F.greatest(F.col("n") - 1, F.lit(1))), F.lit(1)))).scalar()
+
+
+def solve_steps(gram: DataFrame, n_features: int = 14) -> DataFrame:
+    """``flow_type, interval_start, n_train, sum_xx, sum_xy, residual, coef`` of every step
+    with earlier rows: least-squares coefficients (minimum norm), the sums of the diagonal of
+    X'X and of X'y, and the largest entry of ``|X'X coef - X'y|`` against the largest of X'y."""
+    n_cells = n_features * (n_features + 1) // 2
+    upper = np.triu_indices(n_features)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            cells = np.stack(pdf["gram"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, n_cells + n_features))
+            a = np.zeros((len(pdf), n_features, n_features))
+            a[:, upper[0], upper[1]] = cells[:, :n_cells]
+            a[:, upper[1], upper[0]] = cells[:, :n_cells]
+            b = cells[:, n_cells:]
+            coef = np.einsum("nij,nj->ni", np.linalg.pinv(a, rcond=1e-12, hermitian=True), b)
+            gap = np.abs(np.einsum("nij,nj->ni", a, coef) - b).max(axis=1, initial=0.0) / np.maximum(np.abs(b).max(axis=1, initial=0.0), 1.0)
+            out = pdf[["flow_type", "interval_start", "n_train"]].copy()
+            out["sum_xx"], out["sum_xy"], out["residual"] = np.trace(a, axis1=1, axis2=2), b.sum(axis=1), gap
+            out["coef"] = list(coef)
+            yield out
+
+    return gram.filter(F.col("n_train") > 0).mapInPandas(
+        run, "flow_type string, interval_start timestamp_ntz, n_train bigint, sum_xx double, sum_xy double, residual double, coef array<double>")
+
+
+def walk_forward(feats: DataFrame, n_features: int = 14) -> tuple[DataFrame, DataFrame]:
+    """Walk-forward fit of the linear model: the written table of ``solve_steps`` and the
+    forecasts ``flow_type, interval_start, zone_id, actual, forecast``, in which each step
+    is forecast by a model fitted on earlier steps alone (the first step has none)."""
+    solved = checkpoint_table(solve_steps(running_gram(feats, n_features), n_features), "walk_models")
+    j = feats.join(broadcast_if_small(solved.select(*KEYS, "coef")), KEYS)
+    fit = F.aggregate(F.zip_with("f", "coef", lambda x, c: x * c), F.lit(0.0), lambda acc, x: acc + x)
+    return solved, j.select(*KEYS, "zone_id", F.col("y").cast("long").alias("actual"), to_count(fit).alias("forecast"))
+
+
+def backtest_models(grid: DataFrame, p_edges: DataFrame, n: int = 12) -> DataFrame:
+    """``backtest`` of the closed-form and of the walk-forward fitted forecast (column
+    ``model``: ``closed``, ``fitted``) over the same steps: those that the fitted one has."""
+    p = transition_table(p_edges)
+    fitted = checkpoint_table(walk_forward(checkpoint_table(design(grid, p, n), "features"), n + 2)[1], "walk_forecasts")
+    closed = next_step(grid, p, n=n).join(fitted.select(*KEYS, "zone_id"), [*KEYS, "zone_id"], "left_semi")
+    return (backtest(fitted).withColumn("model", F.lit("fitted"))
+            .unionByName(backtest(closed).withColumn("model", F.lit("closed"))))
+
+
+# ---- any pandas scoring function over blocks of zones with their in-neighbours --------
+
+BLOCK_ROWS = 20_000  # rows a block is made for: its own zones and the halo of their in-neighbours
+
+
+def zone_parts(p_edges: DataFrame, max_rows: int = BLOCK_ROWS) -> int:
+    """Number of parts by hash of the zone so that a part's zones and in-edges come to about
+    ``max_rows`` (a zone with more in-neighbours than that still needs them all)."""
+    n, zones = p_edges.agg(F.count(F.lit(1)), F.approx_count_distinct("src")).first()
+    return max(1, -(-(n + zones) // max_rows))
+
+
+def diffusion_scorer(a: float = 0.5, b: float = 0.5) -> Callable:
+    """pandas form of the horizon-1 diffusion forecast for a block of ``score_windows``."""
     def score(block: pd.DataFrame) -> pd.Series:
         hist = np.stack(block["history"].to_numpy()).astype(float)      # (zones, 12)
         mu = hist.mean(axis=1)
         sd = hist.std(axis=1)
         sd[sd == 0] = 1.0
         z = (hist[:, -1] - mu) / sd
-        zones = pd.Index(block["zone_id"].to_numpy())
-        j, i = zones.get_indexer(src), zones.get_indexer(dst)
-        both = (j >= 0) & (i >= 0)
+        sizes = block["targets"].str.len().to_numpy()
+        j = np.repeat(np.arange(len(block)), sizes)
+        i = pd.Index(block["zone_id"].to_numpy()).get_indexer(np.concatenate([np.asarray(t, dtype=np.int64) for t in block["targets"]]))
+        w = np.concatenate([np.asarray(x, dtype=float) for x in block["weights"]])
+        both = i >= 0
         acc = a * z
         np.add.at(acc, i[both], b * w[both] * z[j[both]])
         snapped = np.floor((acc * sd + mu) * 2.0 ** 20 + 0.5) / 2.0 ** 20
@@ -206,26 +298,35 @@ def diffusion_scorer(p: dict[int, list[tuple[int, float]]], a: float = 0.5, b: f
     return score
 
 
-def collect_transition(p_edges: DataFrame, max_bytes: int = 64 << 20) -> dict[int, list[tuple[int, float]]]:
-    """P as a dictionary for ``diffusion_scorer``; ValueError beyond ``max_bytes`` (measured)."""
-    if measured_bytes(p_edges) > max_bytes:
-        raise ValueError("the transition matrix is too large for the pandas scorer: use next_step")
-    out: dict[int, list[tuple[int, float]]] = {}
-    for r in p_edges.select("dst", "src", "w").collect():
-        out.setdefault(int(r["dst"]), []).append((int(r["src"]), float(r["w"])))
-    return out
-
+def score_windows(grid: DataFrame, p_edges: DataFrame, score: Callable[[pd.DataFrame], pd.Series], n: int = 12,
+                  n_parts: int | None = None) -> DataFrame:
+    """Apply ``score`` to every (flow type, step, part of the zones) block.
 
-def score_windows(grid: DataFrame, score: Callable[[pd.DataFrame], pd.Series], n: int = 12) -> DataFrame:
-    """Apply ``score`` to every (flow type, step) block: one group holds the N zones of the
-    zone dimension with their previous ``n`` flows (``history``). What ``score`` holds (such
-    as P) is sent once per task."""
-    h = with_history(grid, n).select(*KEYS, "zone_id", F.col("flow").alias("actual"), "history")
+    A block holds the part's zones (``own``) with their previous ``n`` flows (``history``) and,
+    as a halo, each zone outside it that feeds one inside; ``targets`` and ``weights`` list the
+    cells ``P[i, zone]`` of the zones i of the part. Zones are dealt to ``n_parts`` by hash
+    (default ``zone_parts``), so a step may hold more zones than a task; P stays on Spark.
+    The scores of halo rows are dropped.
+    """
+    parts = n_parts or zone_parts(p_edges)
+    deal = lambda z: F.pmod(F.xxhash64(z.cast("long")), F.lit(parts)).cast("int")
+    h = with_history(grid, n).select(*KEYS, F.col("zone_id").cast("long").alias("zone_id"), F.col("flow").alias("actual"), "history")
+    cells = (p_edges.groupBy(F.col("dst").cast("long").alias("_j"), deal(F.col("src")).alias("part"))
+             .agg(F.collect_list(F.struct(F.col("src").cast("long").alias("i"), F.col("w").cast("double").alias("w"))).alias("cells")))
+    cells = broadcast_if_small(cells.groupBy("_j").agg(F.collect_list(F.struct("part", "cells")).alias("_fed")), "zone_cells")
+    none = F.array().cast("array<struct<i:bigint,w:double>>")
+    fed = F.coalesce(F.col("_fed"), F.array().cast("array<struct<part:int,cells:array<struct<i:bigint,w:double>>>>"))
+    home = F.when(F.exists(fed, lambda x: x["part"] == F.col("_home")), fed).otherwise(
+        F.concat(fed, F.array(F.struct(F.col("_home").alias("part"), none.alias("cells")))))
+    sent = (h.withColumn("_home", deal(F.col("zone_id"))).join(cells, F.col("zone_id") == F.col("_j"), "left")
+            .select(*KEYS, "zone_id", "actual", "history", "_home", F.inline(home)))
+    blocks = sent.select(*KEYS, "part", "zone_id", "actual", "history", (F.col("part") == F.col("_home")).alias("own"),
+                         F.col("cells.i").alias("targets"), F.col("cells.w").alias("weights"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pdf[["flow_type", "interval_start", "zone_id", "actual"]].copy()
         out["forecast"] = score(pdf).to_numpy()
-        return out
+        return out[pdf["own"].to_numpy()]
 
-    return h.groupBy(*KEYS).applyInPandas(
+    return blocks.groupBy(*KEYS, "part").applyInPandas(
         run, "flow_type string, interval_start timestamp_ntz, zone_id bigint, actual bigint, forecast bigint")

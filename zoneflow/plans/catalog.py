@@ -411,6 +411,22 @@ def q_fitted_check(spark, d):
     return r6(forecast.fit_check(day_grid(spark, d), p_edges(spark, d), FIT_CUT), "sum_xy", "residual_x", bits=10)
 
 
+def walk_features(spark, d) -> DataFrame:
+    return checkpoint_table(forecast.design(day_grid(spark, d), p_edges(spark, d), HISTORY_STEPS), "features")
+
+
+@query("backtest_fitted")
+def q_backtest_fitted(spark, d):
+    """The model of every step: rows and sums it is fitted on, and how far its normal equations are off."""
+    models, _ = forecast.walk_forward(walk_features(spark, d), HISTORY_STEPS + 2)
+    return r6(models.drop("coef"), "sum_xx", "sum_xy", "residual", bits=10)
+
+
+@query("backtest_models")
+def q_backtest_models(spark, d):
+    return r6(forecast.backtest_models(day_grid(spark, d), p_edges(spark, d)), "mae", "mean_actual")
+
+
 @query("aligned_horizon")
 def q_aligned_horizon(spark, d):
     """Every horizon's forecast next to the actual flow of the step it forecasts."""
@@ -421,8 +437,7 @@ def q_aligned_horizon(spark, d):
 
 @query("score_windows")
 def q_score_windows(spark, d):
-    p = forecast.collect_transition(p_edges(spark, d))
-    return forecast.score_windows(day_grid(spark, d), forecast.diffusion_scorer(p))
+    return forecast.score_windows(day_grid(spark, d), p_edges(spark, d), forecast.diffusion_scorer())
 
 
 def total_grid(spark, d) -> DataFrame:

@@ -441,6 +441,14 @@ xs AS (SELECT flow_type, y, unnest(range(14)) AS feature, unnest([""" + ", ".joi
 # A least-squares fit leaves residuals that are orthogonal to every feature.
 ORACLE["fitted_check"] = BASE + GRAPH + DESIGN + """SELECT flow_type, CAST(feature AS INTEGER) AS feature, count(*) AS n_rows, round(sum(x * y), 4) AS sum_xy,
   0.0::DOUBLE AS residual_x FROM xs GROUP BY ALL"""
+# Every step's model is fitted on the rows of all earlier steps; least squares solves its normal equations exactly.
+ORACLE["backtest_fitted"] = BASE + GRAPH + DESIGN.replace("AND interval_start < TIMESTAMP '2024-01-20'", "").replace(
+    "xs AS (SELECT flow_type,", "xs AS (SELECT flow_type, interval_start,") + """,
+  st AS (SELECT flow_type, interval_start, count(*) // 14 AS n, sum(x * x) AS xx, sum(x * y) AS xy FROM xs GROUP BY ALL),
+  rs AS (SELECT flow_type, interval_start, sum(n) OVER b AS n, sum(xx) OVER b AS xx, sum(xy) OVER b AS xy FROM st
+         WINDOW b AS (PARTITION BY flow_type ORDER BY interval_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  SELECT flow_type, interval_start, CAST(n AS BIGINT) AS n_train, round(xx, 4) AS sum_xx, round(xy, 4) AS sum_xy, 0.0::DOUBLE AS residual
+  FROM rs WHERE n > 0"""
 qf("aligned_horizon", """SELECT flow_type, interval_start, zone_id, g.flow AS actual, h.forecast FROM grid g JOIN (
   SELECT fz.flow_type, fz.zone_id, fz.interval_start + INTERVAL 2 DAY AS interval_start, CAST(trunc(round(f3.z * fz.sd + fz.mu, 9)) AS BIGINT) AS forecast
   FROM fz JOIN f3 USING (flow_type, interval_start, zone_id)) h USING (flow_type, interval_start, zone_id)""")
