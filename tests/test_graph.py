@@ -2,7 +2,9 @@
 
 import math
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zoneflow.operators import graph
 from zoneflow.sources import files
@@ -96,3 +98,66 @@ def test_wide_adjacency_csv(spark, scratch):
     e = files.read_adjacency_csv(spark, path)
     assert e.count() == 16
     assert cells(e.filter("w != 0")) == {(0, 1): 2.0, (1, 0): 1.0, (1, 2): 1.0, (2, 0): 4.0}
+
+
+def test_matrix_file_reads_the_same_in_one_and_in_many_splits(spark, scratch):
+    n, rng = 60, np.random.default_rng(3)
+    m = rng.integers(0, 2, (n, n))
+    path = scratch + "/split.csv"
+    with open(path, "w") as f:
+        f.write("\n" + ",".join(map(str, range(n))) + "\r\n")
+        for i, row in enumerate(m):
+            f.write(",".join(map(str, row)) + ("\n\n \n" if i % 7 == 0 else "\n"))
+    size = "spark.sql.files.maxPartitionBytes"
+    old, opened = spark.conf.get(size), spark.conf.get("spark.sql.files.openCostInBytes")
+    want = [(i, j, float(m[i, j])) for i in range(n) for j in range(n)]
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        for limit in (old, "150", "97"):
+            spark.conf.set(size, limit)
+            assert limit == old or spark.read.text(path).rdd.getNumPartitions() > 45
+            assert sorted(map(tuple, files.read_adjacency_csv(spark, path).collect())) == want
+    finally:
+        spark.conf.set(size, old)
+        spark.conf.set("spark.sql.files.openCostInBytes", opened)
+
+
+def _table(spark, m):
+    return spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "src long, dst long, w double")
+
+
+def test_blocked_product_of_a_hub_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    a, b = [np.where(rng.random((40, 40)) < 0.1, rng.integers(-3, 4, (40, 40)), 0) for _ in range(2)]
+    a[:, 7], b[7, :], a[3, :], b[:, 9] = 1, 2, 1, 1  # a column and a row that hold every node
+    want = a @ b
+    for cell in (1, 3, 4096):
+        got = np.zeros((40, 40))
+        for r in graph.matmul_blocked(_table(spark, a), _table(spark, b), cell).collect():
+            got[r["src"], r["dst"]] = r["w"]
+        assert (got == want).all(), cell
+    assert graph.matmul_blocked(_table(spark, a).limit(0), _table(spark, b), 3).count() == 0
+
+
+def test_blocks_bound_the_products_of_a_key(spark):
+    star = spark.range(1, 4001).select(F.col("id").alias("src"), F.lit(0).cast("long").alias("dst"), F.lit(1.0).alias("w"))
+    plan = graph.matmul_blocked(star, graph.transpose(star).filter("dst <= 200"), 100)
+    assert plan.count() == 4000 * 200 and plan.agg(F.min("w"), F.max("w")).first() == (1.0, 1.0)
+
+
+def test_measured_eigenvalue_matches_numpy(spark):
+    rng = np.random.default_rng(1)
+    for n, share in ((30, 0.1), (12, 0.4)):
+        m = np.where(rng.random((n, n)) < share, rng.integers(1, 5, (n, n)), 0).astype(float)
+        np.fill_diagonal(m, 0)
+        m[:, 2] = m[2, :] = 0  # an isolated node
+        nodes = spark.range(n).withColumnRenamed("id", "node")
+        s = np.maximum(m, m.T)
+        d = s.sum(1)
+        inv = np.divide(1, np.sqrt(d), out=np.zeros(n), where=d > 0)
+        want = np.linalg.eigvalsh(np.eye(n) - inv[:, None] * s * inv[None, :])[-1]
+        value, bound = graph.lambda_max(_table(spark, m), nodes)
+        assert abs(value - want) < 1e-9 and bound < 1e-8
+    value, bound = graph.largest_eigenvalue(_table(spark, np.eye(4)), spark.range(4).withColumnRenamed("id", "node"))
+    assert abs(value - 1.0) < 1e-12
+    assert graph.largest_eigenvalue(_table(spark, np.eye(4)), spark.range(0).withColumnRenamed("id", "node")) == (0.0, 0.0)

@@ -8,6 +8,7 @@ every product joins against are broadcast only if their measured size is small (
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,13 +196,15 @@ def symmetrize_max(edges: DataFrame) -> DataFrame:
     return nonzero(both.groupBy("src", "dst").agg(F.greatest(F.max("w"), F.lit(0.0)).alias("w")))
 
 
-def scaled_laplacian(edges: DataFrame, nodes: DataFrame, lambda_max: float = 2.0,
+def scaled_laplacian(edges: DataFrame, nodes: DataFrame, lambda_max: float | None = 2.0,
                      undirected: bool = True) -> DataFrame:
     """``(2 / lambda_max) L - I`` with L the normalised Laplacian of ``max(A, A^T)``.
 
-    ``lambda_max`` is an argument (default 2); no eigen-solver runs.
+    ``lambda_max`` is an argument (default 2); None measures it (``largest_eigenvalue``).
     """
     a = symmetrize_max(edges) if undirected else edges
+    if lambda_max is None:
+        lambda_max, _ = largest_eigenvalue(checkpoint_table(normalized_laplacian(a, nodes), "laplacian"), nodes)
     lap = normalized_laplacian(a, nodes).select("src", "dst", (F.col("w") * (2.0 / lambda_max)).alias("w"))
     neg_i = identity_edges(nodes).select("src", "dst", F.lit(-1.0).alias("w"))
     return _cell_sum(lap.unionByName(neg_i))
@@ -241,6 +244,91 @@ def matmul(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("support",)) ->
                    .agg(F.sum(F.col("_aw") * F.col("_bw")).alias("w")))
 
 
+def matmul_blocked(a: DataFrame, b: DataFrame, cell: int = 4096) -> DataFrame:
+    """``C = A B`` on edge tables ``src, dst, w`` with two-dimensional blocks for hubs.
+
+    The entries of column k of A meet those of row k of B. A node k with more than ``cell``
+    entries on a side is cut there into blocks by the hash of the other index; its blocks
+    meet pairwise, each pair of about ``cell`` x ``cell`` products under a key of its own. So
+    a hub's products spread over many tasks, other nodes keep one key, and nothing is
+    replicated for them. Cells that sum to 0 are left out.
+    """
+    def blocks(n: Column) -> Column:
+        return F.ceil(F.coalesce(n, F.lit(1)) / F.lit(cell)).cast("int")
+
+    left = a.groupBy(F.col("dst").alias("_k")).agg(F.count(F.lit(1)).alias("_na"))
+    right = b.groupBy(F.col("src").alias("_k")).agg(F.count(F.lit(1)).alias("_nb"))
+    cut = left.join(right, "_k").where((F.col("_na") > cell) | (F.col("_nb") > cell))
+    cut = broadcast_if_small(cut.select("_k", blocks(F.col("_na")).alias("_rows"), blocks(F.col("_nb")).alias("_cols")), "hub_blocks")
+
+    def dealt(side: DataFrame, node: str, other: str, own: str, across: str) -> DataFrame:
+        j = side.join(cut, side[node] == cut["_k"], "left")
+        n_own, n_across = F.coalesce(own, F.lit(1)), F.coalesce(across, F.lit(1))
+        return j.select(F.col(node).alias("_mid"), F.col(other).alias(f"_{other}"), F.col("w").alias(f"_w{other}"),
+                        F.pmod(F.xxhash64(other), n_own).cast("int").alias(own), F.explode(F.sequence(F.lit(0), n_across - 1)).alias(across))
+
+    x = dealt(a.select("src", "dst", "w"), "dst", "src", "_rows", "_cols")
+    y = dealt(b.select("src", "dst", "w"), "src", "dst", "_cols", "_rows")
+    products = x.join(y, ["_mid", "_rows", "_cols"])
+    return nonzero(products.groupBy(F.col("_src").alias("src"), F.col("_dst").alias("dst"))
+                   .agg(F.sum(F.col("_wsrc") * F.col("_wdst")).alias("w")))
+
+
+def _dots(rows: DataFrame) -> list[float]:
+    """Inner products of ``v`` with the vectors whose entries ``q`` lists, and with itself."""
+    parts = rows.select("v", F.posexplode(F.concat("q", F.array("v"))).alias("i", "x"))
+    return [r[1] for r in sorted(parts.groupBy("i").agg(F.sum(F.col("x") * F.col("v"))).collect())]  # a row a basis vector
+
+
+def largest_eigenvalue(edges: DataFrame, nodes: DataFrame, tolerance: float = 1e-10, max_steps: int = 64) -> tuple[float, float]:
+    """Largest eigenvalue of the symmetric matrix ``edges`` and a bound on its error.
+
+    Lanczos steps: each multiplies the last basis vector by the edge table (a join and an
+    aggregation), makes it orthogonal to the whole basis twice, and writes the basis, one row a
+    node with at most ``max_steps`` numbers; the driver holds the small tridiagonal matrix
+    alone. It stops when the residual of the largest Ritz pair, which bounds the distance to an
+    eigenvalue, is at most ``tolerance`` times the value, or the vectors reached span an
+    invariant space, or after ``max_steps`` (the bound then says how good the value is). The
+    start has hash-random entries, so it isn't orthogonal to a wanted vector but by chance. No
+    nodes: (0, 0).
+    """
+    e = edges_of(edges)
+    unit = F.pmod(F.xxhash64(F.col("node").cast("long"), F.lit(17)), F.lit(1 << 20)) / float(1 << 19) - 1.0
+    start = nodes.select(F.col("node").cast("long")).distinct().select("node", unit.alias("x"))
+    norm = start.agg(F.sqrt(F.sum(F.col("x") * F.col("x")))).first()[0]
+    if not norm:
+        return 0.0, 0.0
+    basis = checkpoint_table(start.select("node", F.array(F.col("x") / norm).alias("q")), "lanczos")
+    alpha: list[float] = []
+    beta: list[float] = []
+    while True:
+        k = len(alpha)
+        moved = (e.join(basis.select(F.col("node").alias("dst"), F.col("q")[k].alias("x")), "dst")
+                 .groupBy(F.col("src").alias("node")).agg(F.sum(F.col("w") * F.col("x")).alias("v")))
+        rows = basis.join(moved, "node", "left").select("node", "q", F.coalesce("v", F.lit(0.0)).alias("v"))
+        rows = checkpoint_table(rows, "lanczos")
+        for turn in range(2):
+            dots = _dots(rows)  # with every basis vector, then v's own
+            alpha[k:] = [dots[k] + (alpha[k] if turn else 0.0)]
+            along = F.zip_with("q", F.array(*map(F.lit, dots[:-1])), lambda x, d: x * d)
+            rows = rows.withColumn("v", F.col("v") - F.aggregate(along, F.lit(0.0), lambda acc, x: acc + x))
+        length = float(np.sqrt(max(0.0, dots[-1] - sum(x * x for x in dots[:-1]))))
+        t = np.diag(alpha) + np.diag(beta, 1) + np.diag(beta, -1)
+        values, vectors = np.linalg.eigh(t)
+        bound = length * abs(vectors[-1, -1])
+        if bound <= tolerance * abs(values[-1]) or length <= 1e-12 or len(alpha) == max_steps:
+            return float(values[-1]), float(bound)
+        beta.append(length)
+        basis = checkpoint_table(rows.select("node", F.concat("q", F.array(F.col("v") / length)).alias("q")), "lanczos")
+
+
+def lambda_max(edges: DataFrame, nodes: DataFrame, undirected: bool = True, tolerance: float = 1e-10) -> tuple[float, float]:
+    """``largest_eigenvalue`` of the normalised Laplacian that ``scaled_laplacian`` scales (of
+    ``max(A, A^T)``; a directed graph's Laplacian must be symmetric itself)."""
+    lap = checkpoint_table(normalized_laplacian(symmetrize_max(edges) if undirected else edges, nodes), "laplacian")
+    return largest_eigenvalue(lap, nodes, tolerance)
+
+
 def chebyshev_supports(sup: DataFrame, nodes: DataFrame, order: int = 3,
                        support_ids: list[int] | None = None) -> DataFrame:
     """Chebyshev polynomials of each support: ``p = S^T``, ``T0 = I``, ``T1 = p``,

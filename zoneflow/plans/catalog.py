@@ -287,6 +287,32 @@ def q_scaled_laplacian(spark, d):
     return r6(graph.scaled_laplacian(od_edges(spark, d), nodes(spark, d), 2.0), "w")
 
 
+@query("lambda_max")
+def q_lambda_max(spark, d):
+    """The measured largest eigenvalue of the normalised Laplacian of the sparse graph, one row."""
+    value, _ = graph.lambda_max(sparse_edges(spark, d), nodes(spark, d))
+    return r6(spark.range(1).select(F.lit(value).alias("lambda_max")), "lambda_max", bits=20)
+
+
+@query("scaled_laplacian_measured")
+def q_scaled_laplacian_measured(spark, d):
+    return r6(graph.scaled_laplacian(sparse_edges(spark, d), nodes(spark, d), None), "w", bits=20)
+
+
+HUB_CELL = 4  # of the product's blocks: low enough to cut the hub of this small graph
+
+
+@query("matmul_blocked")
+def q_matmul_blocked(spark, d):
+    """Two-step transition weights of the sparse graph with one hub that every node reaches and leaves."""
+    n = nodes(spark, d)
+    hub = n.agg(F.min("node")).scalar()
+    spokes = n.filter(F.col("node") != hub).select(F.col("node").alias("src"), hub.alias("dst"), F.lit(1.0).alias("w"))
+    hubbed = checkpoint_table(sparse_edges(spark, d).unionByName(spokes).unionByName(graph.transpose(spokes))
+                              .groupBy("src", "dst").agg(F.sum("w").alias("w")), "od_hub")
+    return graph.matmul_blocked(hubbed, hubbed, HUB_CELL)
+
+
 @query("identity_edges")
 def q_identity_edges(spark, d):
     n = nodes(spark, d)  # the identity has no use for edge weights

@@ -403,6 +403,18 @@ qs("bike_windows", """SELECT time_bucket(INTERVAL 5 MINUTE, time) AS interval_st
 # The OD graph without its lighter edges (isolated nodes), and its dense kernel.
 GRAPH_SPARSE = GRAPH.replace("g AS (SELECT pu_zone", "gall AS (SELECT pu_zone").replace("deg AS (SELECT src, sum(w) AS d FROM g",
                              "g AS (SELECT * FROM gall WHERE w > (SELECT avg(w) FROM gall) * 1.5),\ndeg AS (SELECT src, sum(w) AS d FROM g", 1)
+# The trace of high powers of L (symmetric, positive semidefinite): tr(L^(2^k + 1)) / tr(L^(2^k)) is its largest eigenvalue.
+POWERS = """,
+l0 AS MATERIALIZED (SELECT src, dst, w FROM snlap)""" + "".join(f""",
+m{i} AS MATERIALIZED (SELECT a.src, b.dst, sum(a.w * b.w) AS w FROM l{i} a JOIN l{i} b ON a.dst = b.src GROUP BY ALL),
+l{i + 1} AS MATERIALIZED (SELECT src, dst, w / (SELECT sum(w) FROM m{i} WHERE src = dst) AS w FROM m{i})""" for i in range(18)) + """,
+top AS (SELECT sum(a.w * b.w) AS lam FROM l18 a JOIN l0 b ON a.dst = b.src AND a.src = b.dst)
+"""
+HUB = """,
+h AS (SELECT src, dst, sum(w) AS w FROM (SELECT * FROM g UNION ALL
+        SELECT node, (SELECT min(node) FROM nodes), 1.0 FROM nodes WHERE node <> (SELECT min(node) FROM nodes) UNION ALL
+        SELECT (SELECT min(node) FROM nodes), node, 1.0 FROM nodes WHERE node <> (SELECT min(node) FROM nodes)) GROUP BY ALL)
+"""
 KERNEL = """,
 kd AS (SELECT a.node AS i, b.node AS j, CASE WHEN g.w IS NULL THEN 1.0::DOUBLE WHEN isfinite(g.w) THEN exp(-((g.w / sigma) ^ 2)) ELSE 0.0 END AS w
        FROM nodes a CROSS JOIN nodes b CROSS JOIN ksig LEFT JOIN g ON g.src = a.node AND g.dst = b.node),
@@ -425,6 +437,11 @@ qsparse("double_transition_sparse", "SELECT support, src, dst, round(w, 6) AS w
 qsparse("sym_normalize_sparse", "SELECT src, dst, round(w, 6) AS w FROM sym WHERE w <> 0")
 qsparse("normalized_laplacian_sparse", "SELECT src, dst, round(w, 6) AS w FROM nlap")
 qsparse("scaled_laplacian_sparse", "SELECT src, dst, round(w, 6) AS w FROM scal")
+qsparse("lambda_max", "SELECT round(lam, 9) AS lambda_max FROM top", POWERS)
+qsparse("scaled_laplacian_measured", """SELECT src, dst, round(sum(w), 9) AS w FROM (
+  SELECT src, dst, w * 2 / (SELECT lam FROM top) AS w FROM snlap UNION ALL SELECT node, node, -1.0 FROM nodes)
+  GROUP BY ALL HAVING sum(w) <> 0""", POWERS)
+qsparse("matmul_blocked", "SELECT a.src, b.dst, sum(a.w * b.w) AS w FROM h a JOIN h b ON a.dst = b.src GROUP BY ALL HAVING sum(a.w * b.w) <> 0", HUB)
 qsparse("kernel_row_sums", "SELECT i AS node, round(d, 6) AS d FROM kr WHERE support = 0", KERNEL)
 qsparse("kernel_diffusion", """SELECT flow_type, interval_start, CAST(support * 3 + degree AS BIGINT) AS k, zone_id, round(x, 9) AS value FROM (
   SELECT 0 AS degree, * FROM x0 UNION ALL SELECT 1, support, flow_type, interval_start, zone_id, x FROM x1

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import broadcast_if_small, checkpoint_table
 
 
 def read_taxi_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -28,30 +29,37 @@ def read_zone_shapes(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     return spark.read.schema(schemas.ZONE_SHAPES).format(fmt).load(path)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a text file that aren't blank, with their number from 0: ``number, line``.
+
+    Every split is read by a task of its own. A line's number is its place in its split plus
+    the lines of the splits before (one row a split), so a large file is many tasks and blank
+    lines, also at split borders, don't count. The numbered table is written once: places
+    come from the order of reading and must not be computed twice.
+    """
+    line = F.regexp_replace("value", "\r", "")
+    read = spark.read.text(path).select(line.alias("line"), F.col("_metadata.file_path").alias("file"),
+                                        F.col("_metadata.file_block_start").alias("start"))
+    placed = read.filter(F.length(F.trim("line")) > 0).withColumn("place", F.monotonically_increasing_id())
+    placed = checkpoint_table(placed, "numbered_lines")
+    splits = placed.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
+    splits = splits.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return placed.join(broadcast_if_small(splits), ["file", "start"]).select(
+        (F.col("place") - F.col("first") + F.col("offset")).alias("number"), "line")
+
+
 def read_adjacency_csv(spark: SparkSession, path: str) -> DataFrame:
     """Wide N x N adjacency CSV (header = column ids, one row per source, blank lines allowed)
     -> edge list ``src, dst, w`` with every cell kept (zeros included).
 
-    A CSV scan carries no row number, so the file is read as whole text and the row index
-    comes from ``posexplode`` over its lines. The matrix is zone-dimension sized (N^2 cells
-    for N zones); large graphs should be stored as edge lists instead.
+    The source of a row is its line number after the header (``numbered_lines``), so the file
+    is read in splits. The header's ids reach the rows as one array, N numbers long.
     """
-    text = spark.read.text(path, wholetext=True)
-    lines = text.select(
-        F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda s: F.length(F.trim(s)) > 0)
-        .alias("lines"))
-    header = F.split(F.col("lines")[0], ",")
-    rows = lines.select(
-        header.alias("header"),
-        F.posexplode(F.slice("lines", 2, F.size("lines"))).alias("src", "line"))
-    cells = rows.select(
-        F.col("src").cast("long").alias("src"),
-        F.col("header"),
-        F.posexplode(F.split("line", ",")).alias("pos", "cell"))
-    return cells.select(
-        "src",
-        F.trim(F.element_at("header", F.col("pos") + 1)).cast("long").alias("dst"),
-        F.trim("cell").cast("double").alias("w"))
+    lines = numbered_lines(spark, path)
+    header = lines.filter(F.col("number") == 0).select(F.transform(F.split("line", ","), lambda c: F.trim(c).cast("long"))).scalar()
+    cells = lines.filter(F.col("number") > 0).select((F.col("number") - 1).alias("src"), F.posexplode(F.split("line", ",")).alias("pos", "cell"))
+    return cells.select("src", F.element_at(header, F.col("pos") + 1).alias("dst"), F.trim("cell").cast("double").alias("w"))
 
 
 def wide_to_edges(wide: DataFrame, row_col: str, value_cols: list[str], col_ids: list[int] | None = None) -> DataFrame:
