@@ -4,6 +4,8 @@ slots content. Menus, adverts and other page furniture are left out by their mar
 
 from __future__ import annotations
 
+import bisect
+import collections
 import hashlib
 import html as entities
 import json
@@ -20,7 +22,7 @@ from zoneflow.llm.url_filter import host_path
 
 MIN_PAGES = 5           # distinct pages of a host that must share a slot before it can be template
 TEMPLATE_SHARE = 0.9    # of them with the same text in it
-MAX_DEPTH = 100         # deeper nodes are taken as part of their ancestor at this depth
+MAX_DEPTH = 100         # of the trees that are aligned; texts of deeper nodes fill their ancestor's slot there
 
 # HTML vocabulary (fixed values of the language).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -38,16 +40,18 @@ LAYOUT_WORDS = {"sidebar", "side", "menu", "nav", "navbar", "navigation", "heade
 STRONG_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup",
                 "modal", "overlay", "newsletter", "subscribe", "subscription", "share", "sharing", "social", "related", "recommended", "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies",
                 "login", "signup", "signin", "register", "pagination", "pager", "tags", "hidden", "disclaimer", "alert"}
+REMARK_WORDS = {"comment", "comments", "reply", "replies"}  # an article of these is a reader's
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "label", "parent", "children", "skip", "layout", "blocks", "sig", "slot")
+    __slots__ = ("tag", "label", "parent", "children", "skip", "layout", "blocks", "sig", "slot", "depth")
 
     def __init__(self, tag: str, parent: Node | None, label: str = "", skip: bool = False, layout: bool = False):
         self.tag, self.parent, self.label, self.skip, self.layout = tag, parent, label or tag, skip, layout
         self.children, self.blocks, self.sig, self.slot = [], [], "", -1
+        self.depth = 0 if parent is None else parent.depth + 1
 
 
 def _markup(tag: str, attrs: str) -> tuple[str, bool, bool]:
@@ -58,6 +62,9 @@ def _markup(tag: str, attrs: str) -> tuple[str, bool, bool]:
     layout = tag == "header"
     for name in names:
         parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        if tag in ("article", "main"):  # a topic may use such words ("social-science"): only whole names tell
+            skip = skip or name in STRONG_WORDS or bool(parts) and parts[0] in REMARK_WORDS
+            continue
         if name in STRONG_WORDS or parts and (parts[0] in STRONG_WORDS or parts[-1] in STRONG_WORDS):
             skip = True
         if name in LAYOUT_WORDS or parts and (parts[0] in LAYOUT_WORDS or parts[-1] in LAYOUT_WORDS):
@@ -71,7 +78,8 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
     node. Missing end tags are implied as browsers do; inline markup is dissolved."""
     root = Node("#root", None)
     stack, blocks, run = [root], [], []
-    at, deep = 0, 0
+    open_at: dict[str, list[int]] = collections.defaultdict(list)  # places on the stack of each open tag
+    at = 0
 
     def flush() -> None:
         if run:
@@ -82,6 +90,8 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
 
     def pop_to(n: int) -> None:
         flush()
+        for node in stack[n:]:
+            open_at[node.tag].pop()
         del stack[n:]
 
     while at < len(text):
@@ -97,17 +107,10 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
             continue
         tag, end, attrs = tag.lower(), m["end"] or m["end2"], m["attrs"] or m["attrs2"] or ""
         if end:
-            if deep and tag in BLOCK:
-                deep -= 1
+            if open_at[tag]:
+                pop_to(open_at[tag][-1])
+            elif tag in BLOCK:
                 flush()
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    pop_to(i)
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(text, at)
@@ -124,32 +127,23 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
             continue
         if tag in BLOCK:
             flush()
-            if deep:
-                deep += 1
-                continue
             if stack[-1].tag == "p":
                 pop_to(len(stack) - 1)
             if tag in CLOSED_BY:
                 closed, scope = CLOSED_BY[tag]
-                i = len(stack) - 1
-                while i > 0 and stack[i].tag not in scope:
-                    if stack[i].tag in closed:
-                        pop_to(i)
-                    i -= 1
-            if tag == "body":
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == "head":
-                        pop_to(i)
-                        break
+                floor = max((open_at[t][-1] for t in scope if open_at[t]), default=0)
+                first = [open_at[t][i] for t in closed if (i := bisect.bisect(open_at[t], floor)) < len(open_at[t])]
+                if first:
+                    pop_to(min(first))
+            if tag == "body" and open_at["head"]:
+                pop_to(open_at["head"][-1])
         else:
             flush()
-        if len(stack) > MAX_DEPTH:
-            deep += tag in BLOCK
-            continue
         if attrs.rstrip().endswith("/") and tag == "svg":
             continue
         node = Node(tag, stack[-1], label, skip, layout)
         stack[-1].children.append(node)
+        open_at[tag].append(len(stack))
         stack.append(node)
     flush()
     return root, blocks
@@ -167,58 +161,59 @@ def _walk(root: Node) -> Iterator[Node]:
 def _regions(root: Node) -> set[Node] | None:
     """Top-level articles, else main elements, that are not furniture; None if there are none.
     A layout name on an ancestor of such a region is only a layout name."""
-    def open_path(n: Node) -> bool:
-        n = n.parent
-        while n is not None:
-            if n.skip or n.tag == "article":
-                return False
-            n = n.parent
-        return True
-    for kinds in (("article",), ("main",)):
-        found = [n for n in _walk(root) if n.tag in kinds and not n.skip and open_path(n)]
-        if found:
-            return set(found)
-    return None
-
-
-def _content(node: Node, regions: set[Node] | None) -> bool:
-    inside, heading = regions is None, node.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-    while node is not None:
-        if regions is not None and node in regions:
-            inside = True
-            break
-        if node.skip or node.layout and not (heading and node.tag == "header"):
-            return False
-        if node.tag == "article" and regions is not None:
-            return False
-        node = node.parent
-    return inside
+    shut, found = {}, {"article": set(), "main": set()}
+    for n in _walk(root):
+        up = n.parent
+        shut[n] = up is not None and (shut[up] or up.skip or up.tag == "article")
+        if n.tag in found and not n.skip and not shut[n]:
+            found[n.tag].add(n)
+    return found["article"] or found["main"] or None
+
+
+def _content(root: Node, regions: set[Node] | None) -> dict[Node, bool]:
+    """Whether the text of each node is content: decided from the root down, for its children
+    that are headings (which may stand in a header element) and for others."""
+    headings = ("h1", "h2", "h3", "h4", "h5", "h6")
+    known: dict[Node, tuple[bool, bool]] = {}
+    for n in _walk(root):
+        plain, heading = known[n.parent] if n.parent is not None else (regions is None, regions is None)
+        if regions is not None and n in regions:
+            plain = heading = True
+        elif n.skip or n.tag == "article" and regions is not None:
+            plain = heading = False
+        elif n.layout:
+            plain, heading = False, heading and n.tag == "header"
+        known[n] = (plain, heading)
+    return {n: heading if n.tag in headings else plain for n, (plain, heading) in known.items()}
 
 
 def _fold(root: Node) -> None:
     """Signatures from the leaves up; consecutive siblings of equal structure become one node,
-    whose slots stand for all of them. Furniture has no inner structure."""
+    whose slots stand for all of them. Furniture and nodes at ``MAX_DEPTH`` have no inner structure."""
     order = list(_walk(root))
     for n in reversed(order):
         kept = []
-        for c in ([] if n.skip else n.children):
+        closed = n.skip or n.depth >= MAX_DEPTH
+        for c in ([] if closed else n.children):
             if kept and kept[-1].sig == c.sig:
                 for a, b in zip(_walk(kept[-1]), _walk(c)):
                     b.slot = a  # the text of b counts for a
             else:
                 kept.append(c)
-        if n.skip:
-            for d in _walk(n):
-                if d is not n:
-                    d.slot = n
-            n.children = []
+        if closed:
+            for c in n.children:  # deeper nodes have handed their texts on to these
+                c.slot = n
         n.children = kept
         n.sig = hashlib.md5((n.label + "(" + ",".join(c.sig for c in kept) + ")").encode("utf-8", "surrogatepass")).hexdigest()
 
 
 def _slot_of(n: Node) -> int:
+    path = []
     while isinstance(n.slot, Node):
+        path.append(n)
         n = n.slot
+    for m in path:  # the next of a long chain finds its end at once
+        m.slot = n
     return n.slot
 
 
@@ -231,7 +226,8 @@ def analyse(text: str) -> tuple[str, str, list[tuple[int, str]]]:
     """(hash of the folded tree, the tree, content blocks with their slots)."""
     root, blocks = parse(text)
     regions = _regions(root)
-    kept = [(n, t) for n, t in blocks if _content(n, regions)]
+    content = _content(root, regions)
+    kept = [(n, t) for n, t in blocks if content[n]]
     _fold(root)
     for i, n in enumerate(_walk(root)):
         n.slot = i
