@@ -477,3 +477,34 @@ def test_frequent_lines_leave_the_text(spark, odd):
     got = line_quality.keep_good(df)
     assert got.columns == df.columns and sum(w["text"] not in {r["text"] for r in table} for w in want) > 30
     assert sorted((repr(r.asDict()) for r in got.collect())) == sorted(map(repr, want))
+
+
+def test_markup_counts_at_any_depth():
+    def texts(page):
+        return [t for _, t in html_extract.analyse(page)[2]]
+    deep = "<div>" * 300
+    assert texts(deep + "<nav>menu</nav><p>z</p><form>ask</form><div class='comments'>me too</div>") == ["z"]
+    assert texts("<p>out</p>" + deep + "<article><p>in</p><footer>end</footer></article>") == ["in"]
+    assert texts("<article class='social-science'><p>x</p></article>") == ["x"]
+    assert texts("<article><p>a</p></article><article class='comment-body'><p>no</p></article>") == ["a"]
+    assert len(texts("<body>" + "<div>x " * 20_000)) == 20_000
+    assert len(texts("<li><ul>" + "<div>" * 20_000 + "<li>y" * 20_000)) == 20_000
+
+
+CLASHING = ["_row", "_rid", "_id", "_hash", "_host", "_d", "_g", "_t", "_kept", "_lines", "quality", "n_words", "kept", "stays", "n", "component", "x", "label", "text_hash"]
+
+
+def test_helpers_that_keep_rows_take_any_column_name(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 60) if i % 5 else prose(random.Random(1), 80), "en", "h") for i in range(30)]
+    df = docs_of(spark, rows + [rows[0], (None, None, None, None), (77, "", "en", None)])
+    wide = df.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASHING if c not in df.columns])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    model = quality_model.fit(df, labels)
+    assert quality_model.fit(wide, labels) == model
+    for keep in (lambda d: quality_model.keep_good(d, model), line_quality.keep_good, ngram_join.keep_one):
+        got, want = keep(wide), keep(df)
+        assert got.columns == wide.columns
+        assert sorted(map(repr, got.select(df.columns).collect())) == sorted(map(repr, want.collect()))
+        assert all(r["_kept"] == f"_kept{'-' if r['doc_id'] is None else r['doc_id']}" for r in got.collect())
+        assert keep(wide.limit(0)).count() == 0

@@ -134,12 +134,16 @@ def keep_good(docs: DataFrame, host: str = "source", min_line_docs: int = MIN_LI
     """The rows of ``docs`` that ``judge`` keeps, without their frequent lines: the other lines,
     blank ones too, stay as they are and in order, the other columns as they came. Rows are
     matched by id, host and text hash (equal rows are judged equally), against the smaller
-    list of rows that go or lose lines."""
+    list of rows that go or lose lines. Rows travel as one struct, so their other columns may
+    have any name. Null and blank texts go; an empty table gives no rows."""
     judged = _judged(docs.select("doc_id", "text", host), host, min_line_docs, max_line_share, max_removed_share)
     changed = judged.where(~F.col("kept") | F.col("removed_lines").isNotNull()).select(
         F.col("doc_id").alias("_d"), F.col("host").alias("_g"), F.col("text_hash").alias("_t"), F.col("kept").alias("_kept"), F.when(F.col("kept"), F.col("removed_lines")).alias("_lines"))
     changed = sized(written(changed.dropDuplicates(["_d", "_g", "_t"]), "line-changes"))
-    same = docs["doc_id"].eqNullSafe(changed["_d"]) & (group_key(docs[host]) == changed["_g"]) & (F.xxhash64(docs["text"]) == changed["_t"])
-    other = F.array_join(F.filter(F.split(docs["text"], "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
-    text = F.when(F.col("_lines").isNull(), docs["text"]).otherwise(other)
-    return docs.join(changed, same, "left").where(F.coalesce("_kept", F.lit(True))).select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), group_key(F.col(host)).alias("_host"), F.xxhash64("text").alias("_hash"))
+    same = F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_host") == F.col("_g")) & (F.col("_hash") == F.col("_t"))
+    whole = F.col("_row").getField("text")
+    other = F.array_join(F.filter(F.split(whole, "\n"), lambda _, i: ~F.array_contains("_lines", i)), "\n")
+    text = F.when(F.col("_lines").isNull(), whole).otherwise(other)
+    kept = rows.join(changed, same, "left").where(F.coalesce("_kept", F.lit(True)))
+    return kept.select(*[(text if c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns])

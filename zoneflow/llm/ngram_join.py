@@ -454,18 +454,20 @@ def _classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their class: the smallest
-    (doc_id, nulls last; then text hash), once. Texts without words stay."""
+    (doc_id, nulls last; then text hash), once. Texts without words stay. Rows travel as one
+    struct, so their columns may have any name; an empty table gives no rows."""
     rows = written(classes(docs), "jaccard-rows")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     first = rows.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     many = rows.join(sized(written(first, "jaccard-first")), "component").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), (place == F.col("first")).alias("stays"))
     keys = written(many.groupBy("_d", "_t").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")), "jaccard-keys")
-    same = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_t"))
+    packed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    same = F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_t"))
     gone = sized(written(keys.where("not stays").select("_d", "_t"), "jaccard-gone"))
     twice = written(keys.where("stays and n > 1").select("_d", "_t"), "jaccard-twice")
-    kept = docs.join(gone, same, "left_anti")
-    if not twice.count():
-        return kept
-    twice = sized(twice)
-    one = docs.join(twice, same).dropDuplicates(["_d", "_t"]).select(*[docs[c] for c in docs.columns])
-    return kept.join(twice, same, "left_anti").unionByName(one)
+    kept = packed.join(gone, same, "left_anti")
+    if twice.count():
+        twice = sized(twice)
+        one = packed.join(twice, same).dropDuplicates(["_d", "_t"]).select("_row", "_id", "_hash")
+        kept = kept.join(twice, same, "left_anti").unionByName(one)
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     the id; documents matched by ``doc_id``). Rows without label or id are left out."""
     asked = labels.where("quality is not null and doc_id is not null").where(~is_held_out(F.col("doc_id")))
     asked = written(asked.select("doc_id", F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample), "quality-sample")
-    rows = with_statistics(docs.join(F.broadcast(asked), "doc_id"), "doc_id", "quality")  # at most ``sample`` short rows
+    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(asked), "doc_id"), "doc_id", "quality")  # at most ``sample`` short rows
     rows = sorted(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect())
     x = np.array([r[2:] for r in rows], dtype=float).reshape(len(rows), len(STATISTICS))
     return fit_rules(x, np.array([r[1] for r in rows], dtype=int))
@@ -179,9 +179,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model predicts good, with all their columns."""
+    """The rows of ``docs`` that the model predicts good, with all their columns, whatever
+    these are called (rows travel as one struct). Null and empty texts are judged as in
+    ``score``; repeated rows stay or go together; an empty table gives no rows."""
     # the row number keeps the filter above the projection: pushed below it, every rule would
     # compute its statistics anew
     packed = docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_rid"),
                          *[c.cast("double").alias(n) for n, c in statistics(docs["text"]).items()])
-    return packed.where((model.column() >= 0.5) & (F.col("_rid") >= 0)).select("_row.*")
+    return packed.where((model.column() >= 0.5) & (F.col("_rid") >= 0)).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
