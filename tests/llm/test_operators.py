@@ -351,6 +351,29 @@ def test_language_edges(spark, odd):
     assert language_id.predict(odd.limit(0), m).count() == 0
 
 
+def test_language_sample_covers_whole_texts(spark):
+    """Letterless heads and words far into a text: segments come from everywhere, and rows that
+    cannot teach (held out, null, without a letter) take no place in the sample."""
+    head = "12 34 !! " * 600
+    late = [(i, head + " ".join(f"wort{'abcdefgh'[j % 8]}" for j in range(400)) + " ende", "de", "a") for i in range(40)]
+    junk = [(100 + i, "1 2 3", "de", "a") for i in range(3000)] + [(5000, None, "de", "a"), (5001, "text", None, "a")]
+    docs = docs_of(spark, late + junk + [(6000 + i, "the words here", "en", "a") for i in range(10)]).withColumn("_share", F.lit(1)).withColumn("_key", F.lit("k"))
+    usable = docs.where(~language_id.is_held_out(F.col("doc_id")) & F.rlike("text", F.lit("[a-z]")) & F.col("lang").isNotNull())
+    got = language_id.training_texts(docs, 600, 10)
+    assert len(got) == usable.count()
+    places = [w for w, lang in got if lang == "de"]
+    assert all(len(w) <= 10 * language_id.SEGMENT for w in places) and len({tuple(w) for w in places}) > 1
+    assert any("ende" in w for w in places)
+    few = language_id.training_texts(docs, 5, 10)
+    assert sorted(lang for _, lang in few) == ["de"] * 5 + ["en"] * 5
+    assert {lang for _, lang in language_id.training_texts(docs, 600, 10, languages=1)} == {"de"}
+    assert len(language_id.training_texts(docs, 600, 10, cells=12)) == 6
+    long = [" ".join(f"w{'abcdefghij'[i // 100]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}" for i in range(1000))]
+    words = language_id.training_texts(docs_of(spark, [(1, long[0], "en", "a"), (2, long[0], "en", "a"), (3, long[0], "en", "a")]), 9, 24)[0][0]
+    at = [long[0].split().index(w) for w in words]
+    assert at == sorted(at) and max(b - a for a, b in zip(at, at[1:])) < 150 and at[0] < 150 and at[-1] > 850
+
+
 # --- near duplicates --------------------------------------------------------------------
 
 

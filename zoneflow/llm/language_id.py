@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import sized, slices, written
+from zoneflow.llm.common import slices
 
 DOCS_PER_LANGUAGE = 600   # training documents of a language, at most
-TRAIN_CHARS = 1500        # characters of a training document
+SEGMENTS = 24             # training segments of a document, spread over its whole text
+LANGUAGES = 64            # languages learned, at most
+FIT_CELLS = 16_000        # training documents times languages, at most: the driver's arrays grow with it
 BITS = 15                 # hashed feature space
 SEGMENT = 12              # words of one document in a training sequence
 STEPS = 60
@@ -218,18 +220,55 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, chars: int = TRAIN_CHARS) -> Model:
-    """Fits on at most ``docs_per_language`` documents of each language (the first by a hash
-    of id and language, at most ``chars`` characters of each) that are not held out and have
-    a language and letters."""
-    ready = docs.where("lang is not null and text is not null").where(~is_held_out(F.col("doc_id"))).where(F.rlike(F.col("text"), F.lit(r"\p{L}")))
-    ready = ready.select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_h"), F.substring("text", 1, chars).alias("text"))
-    # only the share of the hash range that holds about four times the sample goes on to be ranked
-    share = docs.groupBy("lang").agg(F.least(F.lit(1.0), 4.0 * docs_per_language / F.count(F.lit(1))).alias("_share"))
-    ready = ready.join(sized(written(share, "language-shares")), "lang").where(F.pmod("_h", F.lit(1 << 30)) < F.col("_share") * (1 << 30))
-    first = Window.partitionBy("lang").orderBy("_h", "doc_id", "text")
-    rows = ready.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= docs_per_language).select("lang", "_n", "text").collect()
-    return fit_crf([(words_of(r["text"]), r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["_n"]))])
+def _pick_segments(segments: int):
+    """Replaces each text by at most ``segments`` of its segments of SEGMENT words. A
+    multiplicative hash of the place, started at the row's own hash, spreads them evenly over
+    the whole text; they stay in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                picked = []
+                for start, text in zip(part.column("_h").to_pylist(), part.column("text").to_pylist()):
+                    words = words_of(text)
+                    places = np.arange(-(-len(words) // SEGMENT))
+                    if len(places) > segments:
+                        with np.errstate(over="ignore"):
+                            key = places.astype(np.uint64) * MIX + np.int64(start).astype(np.uint64)
+                        places = np.sort(np.argsort(key, kind="stable")[:segments])
+                    picked.append(" ".join(w for i in places for w in words[i * SEGMENT:(i + 1) * SEGMENT]))
+                yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(picked, pa.string()))
+    return run
+
+
+def training_texts(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, segments: int = SEGMENTS,
+                   languages: int = LANGUAGES, cells: int = FIT_CELLS) -> list[tuple[list[str], str]]:
+    """(words, language) of the training documents: of each language the first
+    ``docs_per_language`` usable ones by a hash of id and language (usable: not held out, with a
+    language and a letter), each by segments from all over its text.
+
+    The share of the hash range that goes on to be ranked follows from the usable documents of
+    a language. Bounds: the ``languages`` with the most usable documents (ties to the smaller
+    name) are learned, with at most ``cells // k`` documents for k languages together.
+    """
+    usable = docs.where("lang is not null and text is not null").where(~is_held_out(F.col("doc_id"))).where(F.rlike(F.col("text"), F.lit(r"\p{L}")))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    if not counts:
+        return []
+    each = max(1, min(docs_per_language, cells // len(counts) ** 2))
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 4.0 * each / r["n"])) for r in counts], "lang string, _share double")
+    rows = usable.select("doc_id", "lang", "text", F.xxhash64("doc_id", "lang").alias("_h")).withColumn("_key", F.pmod("_h", F.lit(1 << 30)))
+    rows = rows.join(F.broadcast(share), "lang").where(F.col("_key") < F.col("_share") * (1 << 30)).select("doc_id", "lang", "_h", "_key", "text")
+    rows = rows.mapInArrow(_pick_segments(segments), rows.schema)
+    first = Window.partitionBy("lang").orderBy("_key", "_h", "doc_id", "text")
+    rows = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= each).select("lang", "_n", "text").collect()
+    return [(r["text"].split(), r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["_n"]))]
+
+
+def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, segments: int = SEGMENTS) -> Model:
+    """Fits on the sample of ``training_texts``. Columns ``doc_id, text, lang`` are read; null
+    languages, null texts and texts without letters teach nothing, repeated rows count each;
+    without usable rows the model knows no language."""
+    return fit_crf(training_texts(docs, docs_per_language, segments))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
