@@ -12,9 +12,10 @@ from ..functions import geo
 from ..functions.numeric import quantize
 from ..operators import anomaly, flows, forecast, graph, history, spatial, trips
 from ..operators import events as ev
-from ..session import checkpoint_table
+from ..session import checkpoint_table, shared_path
 from ..sources import files
 from ..sources import testdata as td
+from ..sources.window_table import WindowTable
 
 DAY = 86_400
 HISTORY_STEPS = 12
@@ -165,6 +166,34 @@ def q_load_step(spark, d):
     return files.load_step(w, history.origin(w), DAY, HISTORY_STEPS)
 
 
+def compacted_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The day windows as a live table: one batch every three days, all but the last two compacted
+    in two steps, then a replay of a compacted batch."""
+    table = WindowTable(shared_path(spark, "compacted"))
+    days = F.datediff(F.to_date("interval_start"), F.lit("1990-01-01").cast("date"))
+    w = day_windows(spark, d).filter(F.col("interval_start").isNotNull())
+    first = w.agg(F.min(days)).scalar()
+    table.write_batches(w.withColumn("batch_id", F.floor((days - first) / 3)))
+    ids = table.batch_ids(spark)
+    for upto in (ids[len(ids) // 2], ids[max(0, len(ids) - 3)]):
+        table.compact(spark, upto)
+    replay = table.read(spark).filter(F.col("batch_id") == ids[0]).select("interval_start", "flow_type", "zone_id", "flow")
+    table.write_batch(checkpoint_table(replay, "replay"), ids[0])
+    return table.read(spark).drop("batch_id")
+
+
+@query("windows_compacted")
+def q_windows_compacted(spark, d):
+    return compacted_windows(spark, d).drop("interval_date")
+
+
+@query("load_step_pruned")
+def q_load_step_pruned(spark, d):
+    """One step of the compacted table: only the folders of its day are read."""
+    w = compacted_windows(spark, d)
+    return files.load_step(w, history.origin(w), DAY, HISTORY_STEPS).drop("interval_date")
+
+
 @query("bounded_fetch")
 def q_bounded_fetch(spark, d):
     return day_windows(spark, d).orderBy("interval_start", "flow_type", "zone_id").limit(FETCH_ROWS)

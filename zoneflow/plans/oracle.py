@@ -134,6 +134,8 @@ q("time_steps", """SELECT * FROM (
 q("load_history", """SELECT w.* FROM w, rng
   WHERE w.interval_start >= rng.t0 AND w.interval_start < rng.t0 + INTERVAL 12 DAY""")
 q("load_step", "SELECT w.* FROM w, rng WHERE w.interval_start = rng.t0 + INTERVAL 12 DAY")
+q("windows_compacted", "SELECT * FROM w WHERE interval_start IS NOT NULL")
+q("load_step_pruned", "SELECT w.* FROM w, rng WHERE w.interval_start = rng.t0 + INTERVAL 12 DAY")
 q("bounded_fetch", "SELECT * FROM w ORDER BY interval_start, flow_type, zone_id LIMIT 1000")
 q("dense_grid", "SELECT * FROM grid")
 q("dense_grid_rebinned", """, w5 AS (

@@ -39,35 +39,46 @@ def _pointer(spark: SparkSession, path: str):
     return jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def write_snapshot(report: DataFrame, path: str) -> str:
-    """Replace the whole snapshot with the new report: it is written to a folder of its own and
-    the pointer file is swapped last, by a rename (one step on HDFS and local file systems). Until
-    then, and if the write fails, readers get the former report. Returns the version. Former
-    versions stay for readers that have begun; expire them by the storage's lifecycle rules."""
-    spark = report.sparkSession
-    version = uuid.uuid4().hex
-    report.write.parquet(f"{path}/versions/{version}")
+def swap_pointer(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces the pointer of ``path`` in one step: written beside it, then renamed over it
+    (one step on HDFS and local file systems)."""
     jvm = spark.sparkContext._jvm
     files, current = _pointer(spark, path)
-    fresh = jvm.org.apache.hadoop.fs.Path(path, f"_next-{version}")
+    fresh = jvm.org.apache.hadoop.fs.Path(path, f"_next-{uuid.uuid4().hex}")
     out = fresh.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(fresh, True)
-    out.write(bytearray(version, "ascii"))
+    out.write(bytearray(text, "ascii"))
     out.close()
     overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     files.rename(fresh, current, overwrite)
-    return version
 
 
-def snapshot_path(spark: SparkSession, path: str) -> str | None:
-    """Folder of the report that the pointer names; None before the first."""
+def read_pointer(spark: SparkSession, path: str) -> str | None:
+    """Text of the pointer of ``path``; None before the first."""
     files, current = _pointer(spark, path)
     if not files.util().exists(current):
         return None
     stream = files.open(current)
-    version = bytes(stream.readAllBytes()).decode("ascii")
+    text = bytes(stream.readAllBytes()).decode("ascii")
     stream.close()
-    return f"{path}/versions/{version}"
+    return text
+
+
+def write_snapshot(report: DataFrame, path: str) -> str:
+    """Replace the whole snapshot with the new report: it is written to a folder of its own and
+    the pointer is swapped last. Until then, and if the write fails, readers get the former
+    report. Returns the version. Former versions stay for readers that have begun; expire
+    them by the storage's lifecycle rules."""
+    version = uuid.uuid4().hex
+    report.write.parquet(f"{path}/versions/{version}")
+    swap_pointer(report.sparkSession, path, version)
+    return version
+
+
+def snapshot_path(spark: SparkSession, path: str) -> str | None:
+    """Folder of the report that the pointer names; None before the first."""
+    version = read_pointer(spark, path)
+    return None if version is None else f"{path}/versions/{version}"
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import anomaly, forecast, history
 from ..operators.flows import zone_lookup
 from ..sources import sinks
+from ..sources.window_table import WindowTable
 from .tumbling import state_partitions
 
 
@@ -41,6 +42,7 @@ class LiveDetector:
     threshold: float = anomaly.DETECT_THRESHOLD
     a: float = 0.5
     b: float = 0.5
+    compact_every: int = 64  # batches of the window table that are compacted together
 
     def __post_init__(self) -> None:
         # Decided once for the whole stream: the broadcast of the zone lookup and of the
@@ -52,9 +54,13 @@ class LiveDetector:
         # failed batch or a replay the progress table is read instead.
         self._seen: tuple[int, list] | None = None
 
+    @property
+    def windows(self) -> WindowTable:
+        return WindowTable(f"{self.base}/windows")
+
     @property
     def windows_path(self) -> str:
-        return f"{self.base}/windows"
+        return self.windows.batches_path
 
     @property
     def progress_path(self) -> str:
@@ -104,12 +110,11 @@ class LiveDetector:
             if self._seen is not None and self._seen[0] == batch_id - 1:
                 self._seen = (batch_id, self._seen[1])
             return
-        # Windows partitioned by day and batch: a replay overwrites only its own batch, and
-        # the history read below lists only the days it needs.
-        (batch.withColumn("interval_date", F.to_date("interval_start"))
-         .withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("interval_date", "batch_id")
-         .parquet(self.windows_path))
+        # Windows partitioned by batch and day: a replay overwrites only its own batch, and
+        # the history read below lists only the days it needs. All earlier batches are finished.
+        self.windows.write_batch(batch, batch_id)
+        if batch_id and batch_id % self.compact_every == 0:
+            self.windows.compact(spark, batch_id - 1)
         _write_partition(spark.createDataFrame(now_rows, _PROGRESS_ROW), self.progress_path, batch_id)
         before = [tuple(r) for r in self._earlier_progress(spark, batch_id)]
         types = sorted({r[0] for r in now_rows} | {r[0] for r in before})
@@ -121,10 +126,8 @@ class LiveDetector:
             return
         # Only the steps closed now, and the n steps before them, are read.
         start = lo if prev_max is None else max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
-        hist = (spark.read.parquet(self.windows_path)
-                .filter((F.col("interval_date") >= F.lit(start.date())) & (F.col("batch_id") <= batch_id)
-                        & (F.col("interval_start") >= history.ts_literal(start)))
-                .drop("interval_date", "batch_id"))
+        hist = (self.windows.read(spark, start.date(), batch_id)
+                .filter(F.col("interval_start") >= history.ts_literal(start)).drop("interval_date", "batch_id"))
         grid = history.dense_grid(hist, self.zones, self.step_seconds, t0=start, t1=new_max,
                                   flow_types=types)
         pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
