@@ -37,3 +37,26 @@ def test_replayed_batches_do_not_duplicate(spark):
     snap = sinks.read_snapshot(spark, det.snapshot_path).collect()
     newest = [r for r in want if r[0] == days[24]]
     assert len(snap) == len(newest) and sorted(r["doc_id"] for r in snap) == list(range(len(snap)))
+
+
+def test_compacted_windows_and_a_new_detector_give_the_same_anomalies(spark):
+    """Batches of six days; the window table is compacted every two batches, and every batch is run by
+    a detector that has just started (as after a restart), each twice."""
+    zones = td.zone_dim(spark, D)
+    p = c.p_edges(spark, D)
+    w = flows.tumbling_flow(td.events_total(spark, D), "1 day").persist()
+    days = sorted(r[0] for r in w.select("interval_start").distinct().collect())[:30]
+    base = shared_path(spark, "live_test")
+    for k in range(5):
+        b = w.filter(F.col("interval_start").isin(days[6 * k:6 * k + 6]))
+        for _ in range(2):
+            det = live.LiveDetector(base, zones, p, c.DAY, compact_every=2)
+            det(b, k)
+    runs = det.windows.manifest(spark)
+    assert runs and runs[-1]["last"] == 3 and det.windows.open_batches(spark) == [4]
+    kept = w.filter(F.col("interval_start") <= days[-1])
+    assert det.windows.read(spark).count() == kept.count()
+    got = sorted(tuple(r) for r in live.read_anomalies(spark, det).select("interval_start", "zone_id", "residual").collect())
+    want = anomaly.anomalies(anomaly.residuals(forecast.next_step(history.dense_grid(kept, zones, c.DAY), p)), zones)
+    assert got == sorted(tuple(r) for r in want.select("interval_start", "zone_id", "residual").collect())
+    w.unpersist()

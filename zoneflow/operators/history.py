@@ -4,8 +4,9 @@ sliding 12-step history and per-zone standardisation."""
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import BROADCAST_MAX_BYTES, broadcast_if_small, measured_table
@@ -57,7 +58,32 @@ def channels(windows: DataFrame) -> DataFrame:
     return windows.select("flow_type").filter(F.col("flow_type").isNotNull()).distinct()
 
 
-def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None, t1=None,
+@dataclass(frozen=True)
+class GridAxis:
+    """A numbered dimension of the grid (``_zone`` or ``_type`` = 0..) with its rows and size."""
+    table: DataFrame
+    n: int
+    size: int
+
+    def joined(self, grid: DataFrame, number: str) -> DataFrame:
+        return grid.join(F.broadcast(self.table) if self.size <= BROADCAST_MAX_BYTES else self.table, number)
+
+
+def zone_axis(zones: DataFrame) -> GridAxis:
+    """The zones, numbered and written once; a caller that builds many grids keeps it."""
+    return GridAxis(*measured_table(_indexed(zones.select(F.col("zone_id").cast("long"), F.col("graph_id").cast("long")), "zone_id")
+                                    .withColumnRenamed("_i", "_zone"), "grid_zones"))
+
+
+def type_axis(spark: SparkSession, flow_types: DataFrame | list[str]) -> GridAxis:
+    """The flow types, numbered; a list of names is not written, it is part of the plan."""
+    if isinstance(flow_types, list):
+        rows = [(t, i) for i, t in enumerate(sorted(flow_types))]
+        return GridAxis(spark.createDataFrame(rows, "flow_type string, _type bigint"), len(rows), sum(len(t.encode()) + 48 for t in flow_types))
+    return GridAxis(*measured_table(_indexed(flow_types, "flow_type").withColumnRenamed("_i", "_type"), "grid_types"))
+
+
+def dense_grid(windows: DataFrame, zones: DataFrame | GridAxis, step_seconds: int, t0=None, t1=None,
                flow_types: DataFrame | list[str] | None = None) -> DataFrame:
     """Zero-filled grid ``flow_type x step x zone`` between ``t0`` and ``t1`` (inclusive;
     by default the first and last window start).
@@ -70,13 +96,9 @@ def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None,
     by series and summed per cell.
     """
     spark = windows.sparkSession
-    if flow_types is None:
-        types = channels(windows)
-    else:
-        types = spark.createDataFrame([(t,) for t in flow_types], "flow_type string") if isinstance(flow_types, list) else flow_types
-    zone_dim = _indexed(zones.select(F.col("zone_id").cast("long"), F.col("graph_id").cast("long")), "zone_id").withColumnRenamed("_i", "_zone")
-    zone_dim, n_zones, zone_bytes = measured_table(zone_dim, "grid_zones")
-    type_dim, n_types, type_bytes = measured_table(_indexed(types, "flow_type").withColumnRenamed("_i", "_type"), "grid_types")
+    types = type_axis(spark, channels(windows) if flow_types is None else flow_types)
+    zones = zones if isinstance(zones, GridAxis) else zone_axis(zones)
+    n_types, n_zones = types.n, zones.n
     if t0 is None or t1 is None:
         lo, hi = windows.filter(F.col("flow_type").isNotNull()).agg(F.min("interval_start"), F.max("interval_start")).first()
         t0 = lo if t0 is None else t0
@@ -90,8 +112,7 @@ def dense_grid(windows: DataFrame, zones: DataFrame, step_seconds: int, t0=None,
     grid = spark.range(0, cells, 1, math.ceil(cells / GRID_ROWS_PER_PARTITION)).select(
         F.floor(number / (n_types * n_zones)).cast("long").alias("_step"),
         F.pmod(F.floor(number / n_zones).cast("long"), F.lit(n_types)).alias("_type"), F.pmod(number, F.lit(n_zones)).alias("_zone"))
-    grid = (grid.join(F.broadcast(type_dim) if type_bytes <= BROADCAST_MAX_BYTES else type_dim, "_type")
-            .join(F.broadcast(zone_dim) if zone_bytes <= BROADCAST_MAX_BYTES else zone_dim, "_zone"))
+    grid = zones.joined(types.joined(grid, "_type"), "_zone")
     start = ts_literal(t0)
     zeros = grid.select("flow_type", F.col("_step"), "zone_id", "graph_id", F.lit(0).cast("long").alias("flow"), F.lit(True).alias("_cell"))
     obs = (windows.withColumn("_step", step_number(F.col("interval_start"), start, step_seconds))

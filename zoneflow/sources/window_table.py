@@ -66,6 +66,12 @@ class WindowTable:
         text = read_pointer(spark, self.path)
         return json.loads(text) if text else []
 
+    def open_batches(self, spark: SparkSession, upto: int | None = None, runs: list[dict] | None = None) -> list[int]:
+        """Numbers of the batches, up to ``upto``, that are in no run."""
+        runs = self.manifest(spark) if runs is None else runs
+        through = runs[-1]["last"] if runs else -1
+        return [k for k in self.batch_ids(spark) if k > through and (upto is None or k <= upto)]
+
     def write_batches(self, windows: DataFrame) -> None:
         """Writes the batches of ``windows`` (``rows`` and ``batch_id``); a batch that is there
         is replaced, others are left alone."""
@@ -91,10 +97,9 @@ class WindowTable:
         batches up to ``upto``. The files are settled when this is called: batches and runs
         written later do not show, and replaced ones stay until ``expire``."""
         runs = self.manifest(spark)
-        through = runs[-1]["last"] if runs else -1
+        batches = self.open_batches(spark, upto, runs)
         if upto is not None:
             runs = [r for r in runs if r["first"] <= upto]
-        batches = [k for k in self.batch_ids(spark) if k > through and (upto is None or k <= upto)]
         out = self._read(spark, [r["id"] for r in runs], batches)
         if since is not None:
             out = out.filter(F.col("interval_date") >= F.lit(since))
@@ -105,8 +110,7 @@ class WindowTable:
         if no batch is waiting). Rows are range-partitioned by day and time, so a day of any
         size is dealt over tasks, and the run has about one file a day or ``file_bytes``."""
         runs = self.manifest(spark)
-        through = runs[-1]["last"] if runs else -1
-        batches = [k for k in self.batch_ids(spark) if through < k <= upto]
+        batches = self.open_batches(spark, upto, runs)
         if not batches:
             return None
         size = sum(self._bytes(spark, f"{self.batches_path}/batch_id={k}") for k in batches)

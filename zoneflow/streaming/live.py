@@ -9,8 +9,9 @@ overwrite, so a replayed batch replaces its own output instead of duplicating it
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +47,10 @@ class LiveDetector:
 
     def __post_init__(self) -> None:
         # Decided once for the whole stream: the broadcast of the zone lookup and of the
-        # transition matrix (each by its measured size).
+        # transition matrix (each by its measured size), and the numbered zones of the grid.
+        self._axis = history.zone_axis(self.zones)
         self._lookup = zone_lookup(self.zones)
         self._p = forecast.transition_table(self.p_edges)
-        # (k, rows): per flow type first/last step over every batch <= k, kept by this
-        # instance after finishing batch k. Used only for batch k + 1; after a restart, a
-        # failed batch or a replay the progress table is read instead.
-        self._seen: tuple[int, list] | None = None
 
     @property
     def windows(self) -> WindowTable:
@@ -74,24 +72,23 @@ class LiveDetector:
     def snapshot_path(self) -> str:
         return f"{self.base}/snapshot"
 
-    def _earlier_progress(self, spark: SparkSession, batch_id: int) -> list:
-        """Per flow type, first and last closed step over the batches before ``batch_id``
-        (a few rows per batch, not a scan of the window table)."""
-        if self._seen is not None and self._seen[0] == batch_id - 1:
-            return self._seen[1]
-        if not _exists(spark, self.progress_path):  # first batch
-            return []
-        prog = spark.read.schema(_PROGRESS).parquet(self.progress_path)
-        per_type = (prog.filter(F.col("batch_id") < batch_id).groupBy("flow_type")
-                    .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-        return [tuple(r) for r in per_type.select("flow_type", "lo", "hi").collect()]  # a row a flow type
-
-    def _remember(self, batch_id: int, before: list, now_rows: list) -> None:
-        merged: dict = {}
-        for t, lo, hi in [*before, *now_rows]:
-            plo, phi = merged.get(t, (lo, hi))
-            merged[t] = (min(plo, lo), max(phi, hi))
-        self._seen = (batch_id, sorted((t, lo, hi) for t, (lo, hi) in merged.items()))
+    def _earlier(self, spark: SparkSession, batch_id: int) -> dict:
+        """Per flow type, first and last closed step over the batches before ``batch_id``. The
+        progress file names the last batch with closed windows, and the state before and after
+        it: a batch that is replayed starts from the former."""
+        text = sinks.read_pointer(spark, self.progress_path)
+        if text is None:
+            return {}
+        kept = json.loads(text)
+        steps = kept["before"] if kept["batch"] >= batch_id else kept["after"]
+        return {t: (datetime.fromisoformat(lo), datetime.fromisoformat(hi)) for t, lo, hi in steps}
+
+    def _remember(self, spark: SparkSession, batch_id: int, before: dict, now: dict) -> None:
+        """Replaces the progress file (a line a flow type) in one step."""
+        after = {t: (min(r[0] for r in rs), max(r[1] for r in rs)) for t in before | now
+                 for rs in [[d[t] for d in (before, now) if t in d]]}
+        lines = [[[t, lo.isoformat(), hi.isoformat()] for t, (lo, hi) in sorted(d.items())] for d in (before, after)]
+        sinks.swap_pointer(spark, self.progress_path, json.dumps({"batch": batch_id, "before": lines[0], "after": lines[1]}))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.select("interval_start", "flow_type", "zone_id", "flow").persist()
@@ -104,32 +101,28 @@ class LiveDetector:
         # The micro-batch belongs to the stream's cloned session, which runs without AQE;
         # the tables are read through the caller's session so their batch jobs keep it.
         spark = self.zones.sparkSession
-        now = batch.groupBy("flow_type").agg(F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"))
-        now_rows = [tuple(r) for r in now.select("flow_type", "lo", "hi").collect() if r[0] is not None]
-        if not now_rows:  # no window closed in this trigger (also true on its replay)
-            if self._seen is not None and self._seen[0] == batch_id - 1:
-                self._seen = (batch_id, self._seen[1])
+        steps = batch.groupBy("flow_type").agg(F.min("interval_start").alias("lo"), F.max("interval_start").alias("hi"))
+        now = {t: (lo, hi) for t, lo, hi in steps.select("flow_type", "lo", "hi").collect() if t is not None}  # a row a flow type
+        if not now:  # no window closed in this trigger (also true on its replay)
             return
         # Windows partitioned by batch and day: a replay overwrites only its own batch, and
         # the history read below lists only the days it needs. All earlier batches are finished.
         self.windows.write_batch(batch, batch_id)
-        if batch_id and batch_id % self.compact_every == 0:
+        if len(self.windows.open_batches(spark, batch_id - 1)) >= self.compact_every:
             self.windows.compact(spark, batch_id - 1)
-        _write_partition(spark.createDataFrame(now_rows, _PROGRESS_ROW), self.progress_path, batch_id)
-        before = [tuple(r) for r in self._earlier_progress(spark, batch_id)]
-        types = sorted({r[0] for r in now_rows} | {r[0] for r in before})
-        lo = min(r[1] for r in [*now_rows, *before])
-        new_max = max(r[2] for r in [*now_rows, *before])
-        prev_max = max((r[2] for r in before), default=None)
+        before = self._earlier(spark, batch_id)
+        types = sorted(before | now)
+        lo = min(r[0] for r in [*now.values(), *before.values()])
+        new_max = max(r[1] for r in [*now.values(), *before.values()])
+        prev_max = max((r[1] for r in before.values()), default=None)
         if prev_max is not None and new_max <= prev_max:
-            self._remember(batch_id, before, now_rows)
+            self._remember(spark, batch_id, before, now)
             return
         # Only the steps closed now, and the n steps before them, are read.
         start = lo if prev_max is None else max(lo, prev_max - timedelta(seconds=self.n * self.step_seconds))
         hist = (self.windows.read(spark, start.date(), batch_id)
                 .filter(F.col("interval_start") >= history.ts_literal(start)).drop("interval_date", "batch_id"))
-        grid = history.dense_grid(hist, self.zones, self.step_seconds, t0=start, t1=new_max,
-                                  flow_types=types)
+        grid = history.dense_grid(hist, self._axis, self.step_seconds, t0=start, t1=new_max, flow_types=types)
         pred = forecast.next_step(grid, self._p, self.a, self.b, self.n)
         if prev_max is not None:
             pred = pred.filter(F.col("interval_start") > history.ts_literal(prev_max))
@@ -144,13 +137,11 @@ class LiveDetector:
         last = (written.filter((F.col("batch_id") == batch_id)
                                & (F.col("interval_start") == history.ts_literal(new_max))).drop("batch_id"))
         sinks.write_snapshot(sinks.with_doc_ids(last), self.snapshot_path)
-        self._remember(batch_id, before, now_rows)
+        self._remember(spark, batch_id, before, now)
 
 
 _ANOMALIES = ("interval_start timestamp_ntz, flow_type string, zone_id bigint, graph_id bigint, zone_name string, "
               "actual bigint, forecast bigint, residual bigint")
-_PROGRESS_ROW = "flow_type string, lo timestamp_ntz, hi timestamp_ntz"
-_PROGRESS = "flow_type string, lo timestamp_ntz, hi timestamp_ntz, batch_id bigint"
 
 
 def start_live(closed_windows: DataFrame, detector: LiveDetector, checkpoint: str, available_now: bool = True,
