@@ -175,6 +175,8 @@ def compacted_windows(spark: SparkSession, d: str) -> DataFrame:
     first = w.agg(F.min(days)).scalar()
     table.write_batches(w.withColumn("batch_id", F.floor((days - first) / 3)))
     ids = table.batch_ids(spark)
+    if not ids:  # no windows
+        return table.read(spark).drop("batch_id")
     for upto in (ids[len(ids) // 2], ids[max(0, len(ids) - 3)]):
         table.compact(spark, upto)
     replay = table.read(spark).filter(F.col("batch_id") == ids[0]).select("interval_start", "flow_type", "zone_id", "flow")
