@@ -2,11 +2,14 @@
 ties, repeated rows, empty tables and clashing columns."""
 
 import collections
+import glob
+import gzip
 import hashlib
 import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,6 +237,16 @@ def test_archive_round_trip(spark):
     assert warc.sha1_base32(b"a") == __import__("base64").b32encode(hashlib.sha1(b"a").digest()).decode()
 
 
+def test_archives_are_compressed_at_the_fastest_level(spark, scratch):
+    rng = random.Random(3)
+    rows = [(i, f"http://h/{i}", prose(rng, 300)) for i in range(200)]
+    warc.write_arc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), scratch + "/arc")
+    files = [open(f, "rb").read() for f in glob.glob(scratch + "/arc/part-*")]
+    raw = [gzip.decompress(f) for f in files]
+    assert sum(r["content"].endswith(rows[int(r["url"].rsplit("/", 1)[1])][2].encode()) for x in raw for r in warc.parse_arc(x)) == 200
+    assert sum(map(len, files)) > 1.05 * sum(len(gzip.compress(x, 6)) for x in raw)
+
+
 # --- mixing -----------------------------------------------------------------------------
 
 
