@@ -437,6 +437,14 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, seed, long_list):
     assert one(ngram_join.classes(df).select("doc_id", "n_shingles", "component_id")) == brute_classes(rows)
 
 
+def test_core_by_vote_has_few_rows():
+    """A family's core is found from the tokens that most members of a run have apart, not from a row for every token of every member."""
+    apart = [np.array([1, 2, 3, 100 + i]) for i in range(60)] + [np.array([7, 200 + i % 2]) for i in range(5)]
+    batch = pa.RecordBatch.from_arrays([pa.array([4] * 60 + [9] * 5, pa.int64()), ngram_join._lists(apart)], names=["lead", "apart"])
+    got = [tuple(r.values()) for b in ngram_join._votes(iter([batch, batch.slice(0, 0), batch.slice(58, 4)])) for r in b.to_pylist()]
+    assert got == [(4, 1, 60), (4, 2, 60), (4, 3, 60), (9, 7, 5), (9, 200, 5), (4, 1, 2), (4, 2, 2), (4, 3, 2), (9, 7, 2)]
+
+
 def test_near_duplicate_edges(spark, odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert one(ngram_join.classes(odd).select("doc_id", "n_shingles", "component_id")) == brute_classes(rows)

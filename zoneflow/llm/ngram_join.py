@@ -297,6 +297,21 @@ def _in_blocks(rows: DataFrame, apart: DataFrame, name: str) -> DataFrame:
     return written(ordered.select("key", "nid", "root", "s", "apart").mapInArrow(_blocks, BLOCK_SCHEMA), name)
 
 
+def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by lead: the tokens that most members of a run (the rows of one lead in a
+    batch) have apart, with the run's size."""
+    for b in batches:
+        lead, apart = b.column("lead").to_numpy(), b.column("apart")
+        start = np.concatenate([[0], np.flatnonzero(np.diff(lead)) + 1, [len(lead)]]) if len(lead) else [0]
+        leads, tokens, sizes = [], [], []
+        for i, j in zip(start, start[1:]):
+            run, count = np.unique(apart[i:j].flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            tokens.append(run[count * 2 > j - i])
+            leads.append(np.full(len(tokens[-1]), lead[i]))
+            sizes.append(np.full(len(tokens[-1]), j - i))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v) if v else [], pa.int64()) for v in (leads, tokens, sizes)], names=["lead", "token", "c"])
+
+
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens in just one of two sets, ``left`` and ``right`` (null: empty)."""
     for b in batches:
@@ -315,13 +330,16 @@ def _group_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Links that join the components inside the mixed lists ``rows`` of ``_mixed``.
 
     Lists with the same leader (the node with the most frequent tokens in its prefix) make a
-    family. Sets of a family are taken relative to its core, the tokens that most of them hold:
-    what is apart from the core is small, and two sets differ where just one of them is apart.
-    With s = UNLIKE * size - LIKE * apart, a pair is linked iff s + s' + 2 * LIKE * (apart in
-    both) >= 0. Pairs with s + s' >= 0 are all linked with the node of the largest s. Any other
-    link shares apart tokens, so many that it shares one among the rarest of both sets; nodes
-    that meet in such a token go through the group matrix. A token apart in one node is no
-    meeting point, so a node with too few shared ones is done without meeting any other.
+    family. Links with the leader come first; a family all of whose components have one is
+    done. In the others, sets are taken relative to the core, the tokens that most of them
+    hold by a vote of runs of members (any core gives the same links): what is apart from the
+    core is small, and two sets differ where just one of them is apart. With s = UNLIKE *
+    size - LIKE * apart, a pair is linked iff s + s' + 2 * LIKE * (apart in both) >= 0. Pairs
+    with s + s' >= 0 are all linked with the node of the largest s, so only nodes whose
+    component has no link with it ask for others. Any other link shares apart tokens, so many
+    that it shares one among the rarest of both sets; nodes that meet in such a token go
+    through the group matrix. A token apart in one node, or in none that asks, is no meeting
+    point, so a node with too few shared ones is done without meeting any other.
     """
     spark = rows.sparkSession
     lead = rows.groupBy("token").agg(F.max_by("nid", F.struct("n_hot", "nid")).alias("lead"))
@@ -330,7 +348,18 @@ def _group_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     with small_batches(spark, 256):
         both = members.join(sets.select("nid", F.col("tokens").alias("left")), "nid").join(sized(written(leaders, "jaccard-leaders")), "lead")
         first = written(both.select("lead", "nid", "root", F.size("left").cast("long").alias("n"), "left", "right").mapInArrow(_differences, APART), "jaccard-from-leader")
-        held = first.select("lead", F.explode("apart").alias("token")).groupBy("lead", "token").agg(F.count(F.lit(1)).alias("c"))
+        ends = sized(written(first.where("nid = lead").select("lead", F.col("n").alias("lead_n")), "jaccard-ends"))
+        close = (F.col("n") + F.col("lead_n")) * UNLIKE - F.size("apart") * LIKE >= 0
+        near = written(first.join(ends, "lead").where(close).select("lead", "nid", "root"), "jaccard-near-leader")
+        from_leader = near.where("nid != lead").select(F.col("lead").alias("x"), F.col("nid").alias("y"))
+        joined = sized(written(near.select("lead", "root").distinct(), "jaccard-joined"))
+        left = written(first.join(joined, ["lead", "root"], "left_anti").select("lead").distinct(), "jaccard-open-families")
+        if left.isEmpty():
+            return from_leader
+        first = first.join(sized(left), "lead", "left_semi")
+        parts = max(1, first.count() // (8 * BLOCK_NODES))
+        ordered = first.repartitionByRange(parts, "lead", "nid").sortWithinPartitions("lead", "nid").select("lead", "apart")
+        held = ordered.mapInArrow(_votes, "lead long, token long, c long").groupBy("lead", "token").agg(F.sum("c").alias("c"))
         most = sized(written(members.groupBy("lead").agg(F.count(F.lit(1)).alias("m")), "jaccard-families"))
         turned = held.join(most, "lead").where(F.col("c") * 2 > F.col("m")).groupBy("lead").agg(F.collect_list("token").alias("right"))
         both = first.withColumnRenamed("apart", "left").join(sized(written(turned, "jaccard-turned")), "lead", "left")
@@ -338,13 +367,16 @@ def _group_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     apart = apart.select("lead", "nid", "root", "apart", (F.col("n") * UNLIKE - F.size("apart") * LIKE).alias("s"))
     best = apart.groupBy("lead").agg(F.max("s").alias("top"), F.max_by("nid", F.struct("s", "nid")).alias("centre"))
     placed = apart.join(sized(written(best, "jaccard-centres")), "lead").withColumn("minor", F.col("s") + F.col("top") < 0)
-    stars = placed.where("not minor and nid != centre").select(F.col("centre").alias("x"), F.col("nid").alias("y"))
-    tokens = placed.select("lead", "nid", "root", "s", "top", "minor", F.explode("apart").alias("token"))
-    shared = apart.select("lead", F.explode("apart").alias("token")).groupBy("lead", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    stars = from_leader.unionByName(placed.where("not minor and nid != centre").select(F.col("centre").alias("x"), F.col("nid").alias("y")))
+    settled = written(placed.where("not minor").select("lead", "root").distinct(), "jaccard-settled").withColumn("settled", F.lit(True))
+    placed = placed.join(sized(settled), ["lead", "root"], "left").withColumn("alone", F.col("settled").isNull()).drop("settled", "minor")
+    asking = written(placed.where("alone").select("lead").distinct(), "jaccard-asking-families")
+    tokens = written(placed.join(sized(asking), "lead", "left_semi").select("lead", "nid", "root", "s", "top", "alone", F.explode("apart").alias("token")), "jaccard-apart-rows")
+    shared = tokens.groupBy("lead", "token").agg(F.count(F.lit(1)).alias("c"), F.max("alone").alias("asked")).where("asked and c > 1").drop("asked")
     own = Window.partitionBy("lead", "nid")
     tokens = tokens.join(shared, ["lead", "token"]).withColumn("rank", F.row_number().over(own.orderBy("c", "token"))).withColumn("held", F.count(F.lit(1)).over(own))
     past = F.col("rank") - F.col("held") - 1  # to the first ``held - needed + 1`` tokens: past + needed <= 0
-    asks = F.col("minor") & (past + F.ceil(-(F.col("s") + F.col("top")) / (2 * LIKE)) <= 0)
+    asks = F.col("alone") & (past + F.ceil(-(F.col("s") + F.col("top")) / (2 * LIKE)) <= 0)
     stands = past + F.ceil((F.col("top") + 1 - F.col("s")) / (2 * LIKE)) <= 0
     tokens = written(tokens.where(asks | stands).select(F.xxhash64("lead", "token").alias("key"), "lead", "root", "nid", asks.alias("asks"), stands.alias("stands")), "jaccard-meeting")
     who = [F.bit_xor(F.xxhash64("nid", "asks", "stands", F.lit(i))).alias(f"who{i}") for i in (0, 1)]
